@@ -7,13 +7,13 @@ row rules are evaluated in one narrow pass; only key rules (see
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
-from millrace.functions.clean import col
+from millrace.functions.clean import text_literal
 
 # The closed domain of fuel labels.
 FUELS = (
@@ -62,7 +62,7 @@ class Field:
 class TableContract:
     name: str
     fields: tuple[Field, ...]
-    checks: tuple[tuple[str, str], ...] = ()  # (rule name, SQL predicate); null passes
+    checks: tuple[tuple[str, str, str], ...] = ()  # (rule name, column, SQL test); null passes
     unique: tuple[tuple[str, ...], ...] = ()
     parent: tuple[str, str, str] | None = None  # (own column, parent table, parent column)
     partition_by: tuple[str, ...] = ()
@@ -79,24 +79,28 @@ class TableContract:
         """Columns the transform must deliver: all but the key and the stamps."""
         return [f.name for f in self.fields if f.name != self.key and not f.stamped]
 
-    def rules(self, columns: list[str] | None = None) -> dict[str, Column]:
-        """Rule name to a boolean that is true for a good row (never null)."""
-        present = set(self.loaded_columns if columns is None else columns)
-        out: dict[str, Column] = {}
+    def rules(self, values: Mapping[str, str]) -> dict[str, str]:
+        """Rule name to an SQL predicate, never null and true for a good row.
+
+        ``values`` gives the SQL text of each column to check; rules of others are left out.
+        """
+        out: dict[str, str] = {}
         for f in self.fields:
-            if f.name not in present:
+            if f.name not in values:
                 continue
-            value = col(f.name)
-            if f.required:
-                out[f"{f.name}_required"] = value.isNotNull()
+            value = values[f.name]
+            if f.required and not (f.stamped or f.name == self.key):
+                out[f"{f.name}_required"] = f"{value} IS NOT NULL"
             if f.max_length:
-                out[f"{f.name}_max_{f.max_length}"] = _passes(F.length(value) <= f.max_length)
+                out[f"{f.name}_max_{f.max_length}"] = _passes(f"length({value}) <= {f.max_length}")
             if f.exact_length:
-                out[f"{f.name}_exactly_{f.exact_length}"] = _passes(F.length(value) == f.exact_length)
+                out[f"{f.name}_exactly_{f.exact_length}"] = _passes(f"length({value}) = {f.exact_length}")
             if f.domain:
-                out[f"{f.name}_domain"] = _passes(value.isin(list(f.domain)))
-        for name, predicate in self.checks:
-            out[name] = _passes(F.expr(predicate))
+                labels = ", ".join(text_literal(x) for x in f.domain)
+                out[f"{f.name}_domain"] = _passes(f"{value} IN ({labels})")
+        for name, column, test in self.checks:
+            if column in values:
+                out[name] = _passes(f"{values[column]} {test}")
         return out
 
     def create_sql(self, database: str) -> str:
@@ -106,8 +110,9 @@ class TableContract:
         return f"CREATE TABLE IF NOT EXISTS `{database}`.`{self.name}` ({columns}) USING parquet{tail}"
 
 
-def _passes(test: Column) -> Column:
-    return F.coalesce(test, F.lit(True))
+def _passes(test: str) -> str:
+    """A comparison with null passes, as a check constraint does."""
+    return f"coalesce({test}, true)"
 
 
 PLANTS = TableContract(
@@ -136,9 +141,9 @@ PLANTS = TableContract(
         Field("updated_at", "timestamp", stamped=True),
     ),
     checks=(
-        ("capacity_positive", "capacity_mw > 0"),
-        ("latitude_range", "latitude BETWEEN -90 AND 90"),
-        ("longitude_range", "longitude BETWEEN -180 AND 180"),
+        ("capacity_positive", "capacity_mw", "> 0"),
+        ("latitude_range", "latitude", "BETWEEN -90 AND 90"),
+        ("longitude_range", "longitude", "BETWEEN -180 AND 180"),
     ),
     unique=(("gppd_idnr",),),
     partition_by=("primary_fuel",),
@@ -155,10 +160,9 @@ GENERATION = TableContract(
         Field("estimation_method", "string", max_length=50),
         Field("data_source", "string", max_length=200),
     ),
-    checks=(("year_range", "year BETWEEN 2000 AND 2030"),),
+    checks=(("year_range", "year", "BETWEEN 2000 AND 2030"),),
     unique=(("power_plant_id", "year"),),
     parent=("power_plant_id", "power_plants", "id"),
-    partition_by=("year",),
 )
 
 # Parents first; drop in the reverse order.

@@ -1,7 +1,8 @@
 """Turning all-text columns into typed ones.
 
-Everything is a built-in expression, so a cleaning step stays inside one codegen
-stage with the scan and never shuffles.
+Everything is a built-in expression, so a cleaning step stays inside one codegen stage
+with the scan and never shuffles.  The expressions are SQL text: a wide table is then
+one ``selectExpr`` instead of thousands of small calls into the JVM.
 """
 
 from __future__ import annotations
@@ -35,13 +36,27 @@ NULL_TOKENS = (
     "null",
 )
 
-# Text accepted as a number.  Spark's own cast also takes '1d', '1f' and 'NaN'.
-NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# The only characters a number may have.  Spark's cast alone also takes '1d', '1f', '0x1p3',
+# 'NaN' and 'Infinity'; what is left of the grammar is its own.
+NUMBER_TEXT = r"^[\s0-9+.eE-]*$"
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL text, dots and blanks included."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def col(name: str) -> Column:
-    """Column by exact name, dots and blanks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def text_literal(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _labels(values: Iterable[str]) -> str:
+    return ", ".join(text_literal(v) for v in values)
 
 
 def null_tokens(
@@ -51,56 +66,71 @@ def null_tokens(
 ) -> DataFrame:
     """Blank out missing-value tokens in the given (default: all) text columns."""
     wanted = set(df.columns if columns is None else columns)
-    tokens = [*NULL_TOKENS, *extra]
-    return df.select(
+    tokens = _labels([*NULL_TOKENS, *extra])
+    return df.selectExpr(
         *[
-            F.when(~col(c).isin(tokens), col(c)).alias(c) if c in wanted else col(c)
+            f"CASE WHEN {quoted(c)} NOT IN ({tokens}) THEN {quoted(c)} END AS {quoted(c)}"
+            if c in wanted
+            else quoted(c)
             for c in df.columns
         ]
     )
 
 
-def safe_numeric(text: Column) -> Column:
-    """Text to double; anything that is not a finite number becomes null, never NaN."""
-    number = F.when(text.rlike(NUMERIC_TEXT), text.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+def number_sql(text: str) -> str:
+    """Text to double, null when it is no number; only '1e400' and the like overflow to infinity."""
+    return f"CASE WHEN {text} RLIKE r'{NUMBER_TEXT}' THEN try_cast({text} AS double) END"
 
 
-def safe_int(text: Column) -> Column:
+def int_sql(text: str) -> str:
     """Text to int, cutting fractions toward zero; null when absent or out of range."""
-    return safe_numeric(text).try_cast("int")
+    return f"try_cast({number_sql(text)} AS int)"
 
 
-def safe_decimal(number: Column, precision: int, scale: int) -> Column:
-    """Round half away from zero to the declared scale; overflow becomes null."""
-    return number.try_cast(f"decimal({precision},{scale})")
+def decimal_sql(number: str, precision: int, scale: int) -> str:
+    """Round half away from zero to the declared scale; overflow and infinity become null."""
+    return f"try_cast({number} AS decimal({precision},{scale}))"
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Replace NaN by null in float and double columns; other columns are untouched."""
-    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
-    return df.select(
-        *[F.when(~F.isnan(col(c)), col(c)).alias(c) if c in floats else col(c) for c in df.columns]
-    )
+def domain_sql(value: str, domain: Iterable[str]) -> str:
+    """The value itself when it is a known label, else null."""
+    return f"CASE WHEN {value} IN ({_labels(domain)}) THEN {value} END"
 
 
-def fill_default(value: Column, default: str) -> Column:
-    return F.coalesce(value, F.lit(default))
+def default_sql(value: str, default: str) -> str:
+    return f"coalesce({value}, {text_literal(default)})"
 
 
-def in_domain(value: Column, domain: Iterable[str]) -> Column:
-    """The value itself when it is a known label, else null."""
-    return F.when(value.isin(list(domain)), value)
+def safe_numeric(column: str) -> Column:
+    """Text column to double; anything that is not a finite number becomes null, never NaN."""
+    number = number_sql(quoted(column))
+    return F.expr(f"CASE WHEN abs({number}) < double('Infinity') THEN {number} END")
+
+
+def safe_int(column: str) -> Column:
+    return F.expr(int_sql(quoted(column)))
+
 
+def safe_decimal(column: str, precision: int, scale: int) -> Column:
+    return F.expr(decimal_sql(quoted(column), precision, scale))
 
-def map_values(value: Column, mapping: Mapping[str, str]) -> Column:
+
+def in_domain(column: str, domain: Iterable[str]) -> Column:
+    return F.expr(domain_sql(quoted(column), domain))
+
+
+def fill_default(column: str, default: str) -> Column:
+    return F.expr(default_sql(quoted(column), default))
+
+
+def map_values(column: str, mapping: Mapping[str, str]) -> Column:
     """Dictionary lookup with a literal map; unmapped values become null.
 
     For dictionaries that belong in a table use :func:`map_values_from`.
     """
     if all(k == v for k, v in mapping.items()):
-        return in_domain(value, mapping)
-    return F.try_element_at(F.create_map(*[F.lit(x) for x in chain(*mapping.items())]), value)
+        return in_domain(column, mapping)
+    return F.expr(f"try_element_at(map({_labels(chain(*mapping.items()))}), {quoted(column)})")
 
 
 def map_values_from(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str) -> DataFrame:
@@ -111,3 +141,14 @@ def map_values_from(df: DataFrame, column: str, mapping: DataFrame, key: str, va
     lookup = mapping.select(col(key).alias("_map_key"), col(value).alias("_map_value"))
     joined = df.join(lookup, col(column) == F.col("_map_key"), "left")
     return joined.select(*[F.col("_map_value").alias(c) if c == column else df[c] for c in df.columns])
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Replace NaN by null in float and double columns; other columns are untouched."""
+    floats = {f.name for f in df.schema if f.dataType.typeName() in ("float", "double")}
+    return df.selectExpr(
+        *[
+            f"CASE WHEN NOT isnan({quoted(c)}) THEN {quoted(c)} END AS {quoted(c)}" if c in floats else quoted(c)
+            for c in df.columns
+        ]
+    )

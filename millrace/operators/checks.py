@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.contract import TableContract
-from millrace.functions.clean import col
+from millrace.functions.clean import col, quoted
 
 VIOLATIONS = "violations"
 
 
+def _values(df: DataFrame) -> dict[str, str]:
+    return {c: quoted(c) for c in df.columns}
+
+
+def all_pass_sql(rules: Mapping[str, str]) -> str:
+    return " AND ".join(f"({ok})" for ok in rules.values()) or "true"
+
+
+def broken_rules_sql(rules: Mapping[str, str]) -> str:
+    """Names of the broken rules as an array, empty for a good row."""
+    names = [f"CASE WHEN NOT {ok} THEN '{name}' END" for name, ok in rules.items()]
+    return f"array_compact(array({', '.join(names) or 'CAST(NULL AS string)'}))"
+
+
 def with_violations(df: DataFrame, contract: TableContract) -> DataFrame:
-    """Adds the names of the broken row rules as an array, empty for a good row."""
-    broken = [F.when(~ok, F.lit(name)) for name, ok in contract.rules(df.columns).items()]
-    return df.withColumn(VIOLATIONS, F.array_compact(F.array(*broken)))
+    """Adds the names of the broken row rules."""
+    return df.withColumn(VIOLATIONS, F.expr(broken_rules_sql(contract.rules(_values(df)))))
 
 
 def split_valid(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
@@ -22,9 +37,8 @@ def split_valid(df: DataFrame, contract: TableContract) -> tuple[DataFrame, Data
 
     Both are narrow views of the same input: stage the input first when it is costly.
     """
-    tagged = with_violations(df, contract)
-    clean = F.size(VIOLATIONS) == 0
-    return tagged.where(clean).drop(VIOLATIONS), tagged.where(~clean)
+    clean = all_pass_sql(contract.rules(_values(df)))
+    return df.where(clean), with_violations(df, contract).where(f"NOT ({clean})")
 
 
 def enforce(df: DataFrame, contract: TableContract) -> DataFrame:
@@ -37,8 +51,8 @@ def enforce(df: DataFrame, contract: TableContract) -> DataFrame:
 
 def violation_counts(df: DataFrame, contract: TableContract) -> DataFrame:
     """One row per rule with the number of rows breaking it, in one pass."""
-    rules = contract.rules(df.columns)
-    counted = df.agg(*[F.count_if(~ok).alias(name) for name, ok in rules.items()])
+    rules = contract.rules(_values(df))
+    counted = df.agg(*[F.expr(f"count_if(NOT {ok}) AS {name}") for name, ok in rules.items()])
     return counted.unpivot([], list(rules), "rule", "n_rows")
 
 
@@ -52,7 +66,9 @@ def column_profile(df: DataFrame, contract: TableContract) -> DataFrame:
             for i, f in enumerate(fields)
         ],
     )
-    slots = ", ".join(f"'{f.name}', '{f.type}', {str(f.required).lower()}, n_{i}, l_{i}" for i, f in enumerate(fields))
+    slots = ", ".join(
+        f"'{f.name}', '{f.type}', {str(f.required).lower()}, n_{i}, l_{i}" for i, f in enumerate(fields)
+    )
     return counted.selectExpr(
         f"stack({len(fields)}, {slots}) AS (column_name, column_type, required, n_null, max_length)"
     )

@@ -97,11 +97,22 @@ def nearby_join(
     return pairs.withColumn("distance_km", distance).where(F.col("distance_km") < radius)
 
 
-def nearest_per_centre(pairs: DataFrame, limit: int | None = None, centre_id: str = "centre_id") -> DataFrame:
-    """The nearest plants of every centre, ranked.
+def nearest_join(
+    centres: DataFrame,
+    plants: DataFrame,
+    radius_km: float | None = None,
+    limit: int | None = None,
+    centre_id: str = "centre_id",
+) -> DataFrame:
+    """The nearest plants of every centre inside the radius, ranked.
 
-    Spark trims each task's rows to the k best per centre before the shuffle.
+    Plants at one and the same point are equally far from any centre, so only the first k
+    of them can be among a centre's k nearest: a crowded point is trimmed before the join.
+    Spark also trims each task's pairs to the k best per centre before the shuffle.
     """
     k = clamp_limit(limit, 20, 100)
-    window = Window.partitionBy(col(centre_id)).orderBy("distance_km", "id")
-    return pairs.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
+    here = Window.partitionBy("latitude", "longitude").orderBy("id")
+    candidates = plants.withColumn("_place", F.row_number().over(here)).where(F.col("_place") <= k)
+    pairs = nearby_join(centres, candidates.drop("_place"), radius_km, centre_id)
+    nearest = Window.partitionBy(col(centre_id)).orderBy("distance_km", "id")
+    return pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.contract import FUELS, GENERATION_YEARS, PLANTS
-from millrace.functions.clean import col, fill_default, in_domain, safe_decimal, safe_int, safe_numeric
-from millrace.functions.predicates import all_of
-
-# Source column to target column, copied unchanged.
+from millrace.functions.clean import (
+    col,
+    decimal_sql,
+    default_sql,
+    domain_sql,
+    int_sql,
+    number_sql,
+    quoted,
+)
+
+# Target column to source column, copied unchanged.
 COPIED = {
     "gppd_idnr": "gppd_idnr",
-    "country": "country_code",
-    "country_long": "country",
+    "country_code": "country",
+    "country": "country_long",
     "owner": "owner",
     "source": "source",
     "url": "url",
@@ -27,82 +34,99 @@ COPIED = {
 NEEDED = ("capacity_mw", "latitude", "longitude", "primary_fuel")
 
 
-def column_or_null(df: DataFrame, name: str) -> Column:
-    """The column, or a typed null when the file does not carry it."""
-    return col(name) if name in df.columns else F.lit(None).cast("string")
-
-
-def generation_columns(raw: DataFrame) -> list[str]:
-    """The yearly columns this file carries."""
-    return [c for c in raw.columns if c.startswith(("generation_", "estimated_generation_"))]
+def column_or_null(df: DataFrame, name: str) -> str:
+    """The column, or a typed null when the file does not carry it (as SQL text)."""
+    return quoted(name) if name in df.columns else "CAST(NULL AS string)"
 
 
-def plants_transform(raw: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+def plants_transform(raw: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Typed plant rows, one per raw row, valid or not; a single projection.
 
-    ``keep`` names raw columns to carry along unchanged.
+    ``extra`` expressions are computed from the raw row and carried along.
     """
 
-    def source(name: str) -> Column:
-        return column_or_null(raw, name)
+    def number(name: str, precision: int, scale: int) -> str:
+        return decimal_sql(number_sql(column_or_null(raw, name)), precision, scale)
 
-    typed = {target: source(name) for name, target in COPIED.items()}
-    typed["name"] = fill_default(source("name"), "Unknown")
-    typed["capacity_mw"] = safe_decimal(safe_numeric(source("capacity_mw")), 12, 2)
-    typed["latitude"] = safe_decimal(safe_numeric(source("latitude")), 10, 6)
-    typed["longitude"] = safe_decimal(safe_numeric(source("longitude")), 11, 6)
+    typed = {target: column_or_null(raw, name) for target, name in COPIED.items()}
+    typed["name"] = default_sql(column_or_null(raw, "name"), "Unknown")
+    typed["capacity_mw"] = number("capacity_mw", 12, 2)
+    typed["latitude"] = number("latitude", 10, 6)
+    typed["longitude"] = number("longitude", 11, 6)
     for name in ("primary_fuel", "other_fuel1", "other_fuel2", "other_fuel3"):
-        typed[name] = in_domain(source(name), FUELS)
+        typed[name] = domain_sql(column_or_null(raw, name), FUELS)
     for name in ("commissioning_year", "year_of_capacity_data"):
-        typed[name] = safe_int(source(name))
-    names = PLANTS.loaded_columns
-    return raw.select(*[typed[name].alias(name) for name in names], *[col(c) for c in keep])
+        typed[name] = int_sql(column_or_null(raw, name))
+    return raw.selectExpr(*[f"{typed[name]} AS {name}" for name in PLANTS.loaded_columns], *extra)
 
 
 def with_reject_reason(plants: DataFrame) -> DataFrame:
     """Adds ``reject_reason``: the first needed column that is missing, null for a valid row."""
-    reason = F.coalesce(*[F.when(col(c).isNull(), F.lit(f"{c} missing")) for c in NEEDED])
-    return plants.withColumn("reject_reason", reason)
+    reasons = " ".join(f"WHEN {c} IS NULL THEN '{c} missing'" for c in NEEDED)
+    return plants.withColumn("reject_reason", F.expr(f"CASE {reasons} END"))
 
 
 def valid_plants(plants: DataFrame) -> DataFrame:
-    return plants.where(all_of(col(c).isNotNull() for c in NEEDED))
+    return plants.where(" AND ".join(f"{c} IS NOT NULL" for c in NEEDED))
 
 
 def reject_counts(plants: DataFrame) -> DataFrame:
     """Rejected rows per reason; at most one partial row per reason leaves each task."""
-    tagged = with_reject_reason(plants).where(F.col("reject_reason").isNotNull())
+    tagged = with_reject_reason(plants).where("reject_reason IS NOT NULL")
     return tagged.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def generation_unpivot(
-    raw: DataFrame,
-    years: Iterable[int] = GENERATION_YEARS,
-    keep: Iterable[str] = ("gppd_idnr",),
+def year_column(year: int) -> str:
+    return f"year_{year}"
+
+
+def year_figures(raw: DataFrame, years: Iterable[int] = GENERATION_YEARS) -> list[str]:
+    """One struct expression per year with that year's figures, null for a year without any.
+
+    Year columns the file lacks read as null.
+    """
+    out = []
+    for year in years:
+        reported = number_sql(column_or_null(raw, f"generation_gwh_{year}"))
+        estimated = number_sql(column_or_null(raw, f"estimated_generation_gwh_{year}"))
+        out.append(
+            f"""CASE WHEN {reported} IS NOT NULL OR {estimated} IS NOT NULL THEN named_struct(
+              'generation_gwh', {decimal_sql(reported, 12, 2)},
+              'estimated_generation_gwh', {decimal_sql(estimated, 12, 2)},
+              'estimation_method', {column_or_null(raw, f"estimated_generation_note_{year}")},
+              'data_source', {column_or_null(raw, "generation_data_source")}) END AS {year_column(year)}"""
+        )
+    return out
+
+
+def first_figures(wide: DataFrame, key: str, years: Iterable[int] = GENERATION_YEARS) -> DataFrame:
+    """One row per key, keeping the smallest figures of each year.
+
+    An aggregate, so copies of a key are merged inside each task before the shuffle.
+    """
+    return wide.groupBy(col(key)).agg(*[F.min(year_column(y)).alias(year_column(y)) for y in years])
+
+
+def years_to_rows(
+    wide: DataFrame, keep: Iterable[str], years: Iterable[int] = GENERATION_YEARS
 ) -> DataFrame:
-    """Wide year columns to one row per plant and year.
+    """Year structs to one row per year that has figures.
 
-    Year columns the file lacks read as null; years without any figure give no row.
     ``stack`` is a narrow generator: no shuffle, however many years.
     """
-    keep = list(keep)
     years = list(years)
-    wide = [col(c) for c in keep]
-    wide.append(column_or_null(raw, "generation_data_source").alias("data_source"))
-    slots = []
-    for year in years:
-        reported = safe_numeric(column_or_null(raw, f"generation_gwh_{year}"))
-        estimated = safe_numeric(column_or_null(raw, f"estimated_generation_gwh_{year}"))
-        wide += [
-            safe_decimal(reported, 12, 2).alias(f"_r{year}"),
-            safe_decimal(estimated, 12, 2).alias(f"_e{year}"),
-            column_or_null(raw, f"estimated_generation_note_{year}").alias(f"_m{year}"),
-        ]
-        slots.append(f"{year}, _r{year}, _e{year}, _m{year}")
-    names = "year, generation_gwh, estimated_generation_gwh, estimation_method"
-    long = raw.select(*wide).select(
-        *[col(c) for c in keep],
-        F.expr(f"stack({len(years)}, {', '.join(slots)}) AS ({names})"),
-        F.col("data_source"),
-    )
-    return long.where(F.coalesce("generation_gwh", "estimated_generation_gwh").isNotNull())
+    kept = [quoted(c) for c in keep]
+    slots = ", ".join(f"{y}, {year_column(y)}" for y in years)
+    long = wide.selectExpr(*kept, f"stack({len(years)}, {slots}) AS (year, figures)")
+    return long.where("figures IS NOT NULL").selectExpr(*kept, "year", "figures.*")
+
+
+def generation_unpivot(
+    raw: DataFrame,
+    years: Iterable[int] = GENERATION_YEARS,
+    keep: Iterable[str] = ("gppd_idnr",),
+) -> DataFrame:
+    """Wide text columns to one row per raw row and year with a figure."""
+    keep, years = list(keep), list(years)
+    wide = raw.selectExpr(*[quoted(c) for c in keep], *year_figures(raw, years))
+    return years_to_rows(wide, keep, years)

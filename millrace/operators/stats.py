@@ -1,9 +1,9 @@
 """Grouped statistics.
 
-Every report over the plants starts from the same small cells, one per country and fuel:
-the scan is aggregated inside each task, and distinct counts become plain counts over the
-cells.  Cells do not grow with the number of plants, and a country or fuel that holds
-most of the plants sends one row per task like any other.
+Every report over the plants starts from small cells, one per country and fuel: the scan
+is aggregated inside each task, and distinct counts become plain counts over the cells.
+Cells do not grow with the number of plants, and a country or fuel that holds most of the
+plants sends one row per task like any other.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from millrace.functions.labels import fixed_label
 from millrace.operators.paging import clamp_limit
 
 
-def capacity_cells(plants: DataFrame) -> DataFrame:
-    """One row per (country_code, country, primary_fuel)."""
-    return plants.groupBy("country_code", "country", "primary_fuel").agg(
+def capacity_cells(plants: DataFrame, *keys: str) -> DataFrame:
+    """One row per combination of the keys, by default country code and fuel."""
+    return plants.groupBy(*(keys or ("country_code", "primary_fuel"))).agg(
         F.count(F.lit(1)).alias("n"),
         F.count("capacity_mw").alias("n_capacity"),
         F.sum("capacity_mw").cast("decimal(38,2)").alias("capacity"),
@@ -54,7 +54,8 @@ def summary(plants: DataFrame) -> DataFrame:
 def by_country(plants: DataFrame, limit: int | None = None) -> DataFrame:
     """Countries by total capacity, 20 by default and 200 at most."""
     k = clamp_limit(limit, 20, 200)
-    grouped = capacity_cells(plants).groupBy("country_code", "country").agg(
+    cells = capacity_cells(plants, "country_code", "country", "primary_fuel")
+    grouped = cells.groupBy("country_code", "country").agg(
         F.sum("n").alias("plant_count"),
         _total_mw().alias("total_capacity_mw"),
         (_total_mw() / 1000).alias("total_capacity_gw"),
@@ -66,13 +67,7 @@ def by_country(plants: DataFrame, limit: int | None = None) -> DataFrame:
 
 def by_fuel(plants: DataFrame) -> DataFrame:
     """Fuels with count, capacity and number of countries."""
-    # Countries are counted by code; the name is folded away first.
-    per_code = capacity_cells(plants).groupBy("primary_fuel", "country_code").agg(
-        F.sum("n").alias("n"),
-        F.sum("n_capacity").alias("n_capacity"),
-        F.sum("capacity").cast("decimal(38,2)").alias("capacity"),
-    )
-    return per_code.groupBy(col("primary_fuel").alias("fuel")).agg(
+    return capacity_cells(plants).groupBy(col("primary_fuel").alias("fuel")).agg(
         F.sum("n").alias("plant_count"),
         _total_mw().alias("total_capacity_mw"),
         (_total_mw() / 1000).alias("total_capacity_gw"),

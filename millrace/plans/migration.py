@@ -1,12 +1,12 @@
 """The power-plant migration: wide text files to plants and generation tables.
 
-Each stage reads what the stage before wrote, and a load skips keys that are already
-there, so a run that died can simply be started again:
-
-1. stage     parse, blank out missing values, type and tag; one narrow pass over the text
-2. plants    contract, unique natural key, not yet loaded, dense ids, append
-3. facts     key lookup on the *wide* rows, then years to rows, contract, append
+1. stage     parse, blank out missing values, type, check every row rule: one narrow pass
+2. plants    one row per natural key, not yet loaded, dense ids, append
+3. facts     merge and look up ids on the *wide* rows, years to rows, append
 4. validate
+
+Each stage reads what the stage before wrote, and a load skips keys that are already
+there, so a run that died can simply be started again.
 """
 
 from __future__ import annotations
@@ -16,34 +16,34 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import GENERATION, PLANTS, TABLES, TableContract, text_schema
-from millrace.functions.clean import col, null_tokens
+from millrace.contract import GENERATION, GENERATION_YEARS, PLANTS, TABLES, TableContract, text_schema
+from millrace.functions.clean import col, null_tokens, quoted
 from millrace.operators import stats
-from millrace.operators.checks import split_valid
-from millrace.operators.keys import keep_first, orphans, surrogate_key, unique_id, unique_violations
+from millrace.operators.checks import all_pass_sql, broken_rules_sql
+from millrace.operators.keys import merge_copies, orphans, surrogate_key, unique_id, unique_violations
 from millrace.operators.reshape import (
-    generation_columns,
-    generation_unpivot,
+    first_figures,
     plants_transform,
     with_reject_reason,
+    year_column,
+    year_figures,
+    years_to_rows,
 )
 from millrace.plans.pipeline import discard
-from millrace.sources.files import RAW_LINE, header_columns, is_ragged, scan_csv
+from millrace.sources.files import RAW_LINE, header_columns, ragged_sql, scan_csv
 from millrace.sources.tables import append, ensure_table, not_yet_loaded, read_table, stamp_new
 from millrace.sources.workspace import materialize
 
 NATURAL_KEY = "gppd_idnr"
-NOT_RAGGED = "ragged_line IS NULL"
 
 
 @dataclass
 class Migration:
     """Files under ``source`` to ``power_plants`` and ``power_plant_generation`` under ``target``.
 
-    Rows that cannot be loaded go to ``quarantine/*`` there, replaced by every run:
-    ``rejected`` (too many fields, with the untouched line, or a needed value is missing),
-    ``broken`` and ``broken_generation`` (contract rules, by name) and ``duplicates``
-    (every copy of a repeated natural key, the loaded one included).
+    What cannot be loaded goes to ``quarantine/*`` there, replaced by every run: ``rows``
+    (with their problems; a row with too many fields keeps its untouched line), ``figures``
+    (years that break a rule) and ``copies`` (natural keys that occur more than once).
     """
 
     spark: SparkSession
@@ -61,28 +61,28 @@ class Migration:
 
     def run(self, dry_run: bool = False) -> dict[str, int]:
         """Run all stages; gives the row counts of the run."""
-        typed = self._typed()
-        counts = Observation("staged")
-        observed = typed.observe(
-            counts,
+        seen = Observation("staged")
+        typed = self._typed().observe(
+            seen,
             F.count(F.lit(1)).alias("plants_extracted"),
-            F.count("reject_reason").alias("errors"),
+            F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
+            F.count_if(F.col("reject_reason").isNull() & ~F.col("loadable")).alias("broken"),
+            F.sum(F.expr(" + ".join(f"int({year_column(y)} IS NOT NULL)" for y in GENERATION_YEARS))).alias("figures"),
         )
         if dry_run:
-            discard(observed)
-            facts = Observation("facts")
-            long = generation_unpivot(typed.where(NOT_RAGGED))
-            discard(long.observe(facts, F.count(F.lit(1)).alias("generation_records")))
-            self.metrics = {**counts.get, **facts.get}
-            self.metrics["plants_valid"] = self.metrics["plants_extracted"] - self.metrics["errors"]
+            discard(typed)
+            self.metrics = dict(seen.get)
             return self.metrics
         for contract in TABLES:
             ensure_table(self.spark, self.path(contract.name), contract.schema)
-        staged = materialize(observed, "staged")
-        self.metrics = dict(counts.get)
-        self._quarantine(staged.where("reject_reason IS NOT NULL"), "rejected")
-        self.metrics["plants_loaded"] = self._load_plants(staged)
-        self.metrics["generation_records"] = self._load_generation(staged.where(NOT_RAGGED))
+        staged = materialize(typed, "staged", partition_by=["loadable"])
+        self.metrics = dict(seen.get)
+        self._quarantine(staged.where("NOT loadable").drop("loadable"), "rows")
+        self._quarantine(
+            staged.where("size(broken_years) > 0").selectExpr(NATURAL_KEY, "inline(broken_years)"), "figures"
+        )
+        self.metrics["plants_loaded"] = self._load_plants(staged.where("loadable"))
+        self.metrics["generation_records"] = self._load_generation(staged)
         return self.metrics
 
     def validate(self) -> dict[str, DataFrame]:
@@ -99,7 +99,7 @@ class Migration:
     # -- stages ----------------------------------------------------------------
 
     def _typed(self) -> DataFrame:
-        """Typed plant columns, the yearly text columns, and why a row is not loaded."""
+        """Typed plant columns, the figures of each year, and what is wrong with a row."""
         columns = header_columns(self.spark, self.source, self.encoding)
         scan = scan_csv(
             self.spark,
@@ -110,37 +110,48 @@ class Migration:
             keep_raw_line=True,
         )
         text = null_tokens(scan, columns)
-        line = F.when(is_ragged(len(columns)), col(RAW_LINE)).alias("ragged_line")
-        rows = text.select(*[col(c) for c in columns], line)
-        typed = with_reject_reason(plants_transform(rows, keep=[*generation_columns(rows), "ragged_line"]))
-        reason = F.when(F.expr(NOT_RAGGED), F.col("reject_reason")).otherwise("too many fields")
-        return typed.withColumn("reject_reason", reason)
-
-    def _load_plants(self, staged: DataFrame) -> int:
-        columns = PLANTS.loaded_columns
-        typed = staged.where("reject_reason IS NULL").select(*[col(c) for c in columns])
-        good, broken = split_valid(typed, PLANTS)
-        self._quarantine(broken, "broken")
-        repeated = unique_violations(good, [NATURAL_KEY])
-        self._quarantine(good.join(repeated, NATURAL_KEY), "duplicates")
+        line = f"CASE WHEN {ragged_sql(len(columns))} THEN {RAW_LINE} END AS ragged_line"
+        plants = with_reject_reason(plants_transform(text, extra=[*year_figures(text), line]))
+
+        rules = PLANTS.rules({c: quoted(c) for c in PLANTS.loaded_columns})
+        names = PLANTS.loaded_columns
+        year_rules = {y: GENERATION.rules(_figure_values(y)) for y in GENERATION_YEARS}
+        checked = [
+            # A row with too many fields has its values in the wrong columns.
+            f"CASE WHEN ragged_line IS NULL AND {all_pass_sql(r)} THEN {year_column(y)} END AS {year_column(y)}"
+            for y, r in year_rules.items()
+        ]
+        broken = ", ".join(
+            f"""CASE WHEN ragged_line IS NULL AND {year_column(y)} IS NOT NULL AND NOT ({all_pass_sql(r)})
+            THEN named_struct('year', {y}, 'broken_rules', {broken_rules_sql(r)}, 'figures', {year_column(y)}) END"""
+            for y, r in year_rules.items()
+        )
+        return plants.selectExpr(
+            *names,
+            *checked,
+            f"array_compact(array({broken})) AS broken_years",
+            "CASE WHEN ragged_line IS NOT NULL THEN 'too many fields' ELSE reject_reason END AS reject_reason",
+            f"{broken_rules_sql(rules)} AS broken_rules",
+            "ragged_line",
+            f"ragged_line IS NULL AND reject_reason IS NULL AND {all_pass_sql(rules)} AS loadable",
+        )
+
+    def _load_plants(self, loadable: DataFrame) -> int:
+        rows = loadable.select(*[col(c) for c in PLANTS.loaded_columns])
         existing = self.table(PLANTS)
-        first = keep_first(good, [NATURAL_KEY], [c for c in columns if c != NATURAL_KEY])
-        new = not_yet_loaded(first, existing, [NATURAL_KEY])
+        new = not_yet_loaded(merge_copies(rows, NATURAL_KEY), existing, [NATURAL_KEY])
         numbered = surrogate_key(new, [NATURAL_KEY], start_after=_last_id(existing))
+        self._quarantine(numbered.where("copies > 1").select(NATURAL_KEY, "copies"), "copies")
         return self._append(stamp_new(numbered), PLANTS)
 
     def _load_generation(self, staged: DataFrame) -> int:
-        # The lookup runs on wide rows, a seventh of the long ones.  The natural key stays
-        # in the rows so that the year rows of a plant keep the join's partitioning.
+        # Repeated plants are merged and ids looked up on *wide* rows, a seventh of the long
+        # ones; both need the natural key's partitioning, so there is one shuffle of the facts.
         ids = self.table(PLANTS).select(col(NATURAL_KEY), F.col("id").alias("power_plant_id"))
-        linked = staged.select(col(NATURAL_KEY), *generation_columns(staged)).join(ids, NATURAL_KEY)
-        long = generation_unpivot(linked, keep=[NATURAL_KEY, "power_plant_id"])
-        good, broken = split_valid(long, GENERATION)
-        self._quarantine(broken, "broken_generation")
-        figures = ["generation_gwh", "estimated_generation_gwh", "estimation_method", "data_source"]
-        first = keep_first(good, [NATURAL_KEY, "year"], figures)
+        wide = first_figures(staged.where(col(NATURAL_KEY).isNotNull()), NATURAL_KEY)
+        long = years_to_rows(wide.join(ids, NATURAL_KEY), keep=["power_plant_id"])
         existing = self.table(GENERATION)
-        new = not_yet_loaded(first, existing, GENERATION.unique[0])
+        new = not_yet_loaded(long, existing, GENERATION.unique[0])
         return self._append(unique_id(new, start_after=_last_id(existing)), GENERATION)
 
     def _append(self, df: DataFrame, contract: TableContract) -> int:
@@ -153,5 +164,11 @@ class Migration:
         df.write.mode("overwrite").parquet(self.path(f"quarantine/{reason}"))
 
 
+def _figure_values(year: int) -> dict[str, str]:
+    struct = year_column(year)
+    names = ("generation_gwh", "estimated_generation_gwh", "estimation_method", "data_source")
+    return {"year": str(year)} | {n: f"{struct}.{n}" for n in names}
+
+
 def _last_id(existing: DataFrame) -> int:
     return existing.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]

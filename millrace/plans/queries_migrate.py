@@ -132,7 +132,7 @@ def null_token_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def safe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = null_tokens(standin.raw_plants(spark, sf_dir), ["capacity_mw"])
-    return raw.select("gppd_idnr", clean.safe_numeric(col("capacity_mw")).alias("capacity"))
+    return raw.select("gppd_idnr", clean.safe_numeric("capacity_mw").alias("capacity"))
 
 
 @query(
@@ -145,7 +145,7 @@ def safe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = null_tokens(standin.raw_plants(spark, sf_dir), ["commissioning_year"])
-    return raw.select("gppd_idnr", clean.safe_int(col("commissioning_year")).alias("year"))
+    return raw.select("gppd_idnr", clean.safe_int("commissioning_year").alias("year"))
 
 
 @query(
@@ -158,7 +158,7 @@ def map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A literal dictionary for the status, and tables as dictionaries for the country."""
     orders = standin.table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        clean.map_values(col("o_orderstatus"), {"F": "reported", "O": "estimated"}).alias("kind"),
+        clean.map_values("o_orderstatus", {"F": "reported", "O": "estimated"}).alias("kind"),
         col("o_custkey").alias("country"),
     )
     customer = standin.table(spark, sf_dir, "customer")
@@ -175,13 +175,12 @@ def map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def decimal_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rounding to the declared scale, and null where the declared precision overflows."""
-    price = col("l_extendedprice")
     return plain(
         standin.table(spark, sf_dir, "lineitem").select(
             "l_orderkey",
             "l_linenumber",
-            clean.safe_decimal(price, 12, 1).alias("price"),
-            clean.safe_decimal(price, 6, 2).alias("small_price"),
+            clean.safe_decimal("l_extendedprice", 12, 1).alias("price"),
+            clean.safe_decimal("l_extendedprice", 6, 2).alias("small_price"),
         )
     )
 

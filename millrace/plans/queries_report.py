@@ -478,18 +478,14 @@ _PAIRS_SQL = f"""SELECT c.country_code AS centre_id, p.id,
     row_number() OVER (PARTITION BY country_code ORDER BY capacity_mw DESC, id) = 1) c, plants p"""
 
 
-def _pairs(spark: SparkSession, sf_dir: str, radius_km: float) -> DataFrame:
-    plants = standin.plants(spark, sf_dir).select("id", "latitude", "longitude")
-    return proximity.nearby_join(_centres(spark, sf_dir), plants, radius_km)
-
-
 @query(
     "nearby_join",
     with_views(f"SELECT centre_id, id, round(d, 2) AS distance_km FROM ({_PAIRS_SQL}) WHERE d < 800", PLANTS_CTE),
 )
 def nearby_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All plants around each country's largest plant."""
-    pairs = _pairs(spark, sf_dir, 800)
+    plants = standin.plants(spark, sf_dir).select("id", "latitude", "longitude")
+    pairs = proximity.nearby_join(_centres(spark, sf_dir), plants, 800)
     return pairs.select("centre_id", "id", F.round("distance_km", 2).alias("distance_km"))
 
 
@@ -503,7 +499,8 @@ def nearby_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def nearest_per_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = proximity.nearest_per_centre(_pairs(spark, sf_dir, 2500), limit=5)
+    plants = standin.plants(spark, sf_dir).select("id", "latitude", "longitude")
+    ranked = proximity.nearest_join(_centres(spark, sf_dir), plants, 2500, limit=5)
     return ranked.select("centre_id", "id", "rank")
 
 

@@ -12,7 +12,7 @@ generation figures.  Every row of the tables is used; nothing is sampled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.contract import ESTIMATE_YEARS, FUELS, GENERATION_YEARS
@@ -118,28 +118,26 @@ def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     figures = order_figures(spark, sf_dir)
 
-    def yearly(measure: str, prefix: str, years: tuple[int, ...]) -> list:
+    def yearly(measure: str, years: tuple[int, ...]) -> list[Column]:
         return [
-            F.sum(F.when(F.col("year") == y, F.col(measure)))
-            .cast("decimal(12,2)")
-            .cast("string")
-            .alias(f"{prefix}_{y}")
+            F.expr(
+                f"""CAST(CAST(sum({measure}) FILTER (WHERE year = {y}) AS decimal(12,2)) AS string)
+                AS {measure}_{y}"""
+            )
             for y in years
         ]
 
     wide = figures.groupBy("power_plant_id").agg(
-        *yearly("generation_gwh", "generation_gwh", GENERATION_YEARS),
-        *yearly("estimated_generation_gwh", "estimated_generation_gwh", ESTIMATE_YEARS),
+        *yearly("generation_gwh", GENERATION_YEARS), *yearly("estimated_generation_gwh", ESTIMATE_YEARS)
     )
     keyed = _customers(spark, sf_dir).selectExpr("c_custkey", *[f"{e} AS {c}" for c, e in _RAW.items()])
     joined = keyed.join(wide, F.col("c_custkey") == F.col("power_plant_id"), "left")
     notes = [
-        F.when(F.col(f"estimated_generation_gwh_{y}").isNotNull(), F.lit("CAPACITY-FACTOR-V1")).alias(
-            f"estimated_generation_note_{y}"
-        )
+        f"""CASE WHEN estimated_generation_gwh_{y} IS NOT NULL THEN 'CAPACITY-FACTOR-V1' END
+        AS estimated_generation_note_{y}"""
         for y in ESTIMATE_YEARS
     ]
-    return joined.select("*", F.lit("orders").alias("generation_data_source"), *notes).drop(
+    return joined.selectExpr("*", "'orders' AS generation_data_source", *notes).drop(
         "c_custkey", "power_plant_id"
     )
 

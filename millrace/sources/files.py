@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,18 +54,14 @@ def header_columns(spark: SparkSession, path: str, encoding: str = "UTF-8") -> l
     return spark.read.options(**options).csv(path).columns
 
 
-def _field_count(line: Column) -> Column:
-    unquoted = F.regexp_replace(line, r'"([^"]|"")*"', "")
-    return F.size(F.split(unquoted, ",", -1))
-
-
-def is_ragged(n_columns: int) -> Column:
-    """True for a scanned row with more fields than the header.
+def ragged_sql(n_columns: int) -> str:
+    """True for a scanned row with more fields than the header; never null.
 
     A shorter row is not ragged: its missing tail reads as null, as the source rules say.
+    Fields are counted after dropping quoted parts, whose commas do not separate.
     """
-    line = col(RAW_LINE)
-    return line.isNotNull() & (_field_count(line) > n_columns)
+    unquoted = f"""regexp_replace({RAW_LINE}, r'"([^"]|"")*"', '')"""
+    return f"({RAW_LINE} IS NOT NULL AND size(split({unquoted}, ',', -1)) > {n_columns})"
 
 
 def split_ragged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -76,8 +72,8 @@ def split_ragged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     a row that is too long cannot be told apart.
     """
     data = [c for c in scanned.columns if c != RAW_LINE]
-    ragged = is_ragged(len(data))
-    rows = scanned.where(~ragged).select(*[col(c) for c in data])
+    ragged = ragged_sql(len(data))
+    rows = scanned.where(f"NOT {ragged}").select(*[col(c) for c in data])
     return rows, scanned.where(ragged).select(col(RAW_LINE).alias("raw_line"))
 
 
