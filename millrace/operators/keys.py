@@ -62,14 +62,15 @@ def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> Da
     return df.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").drop("_rank")
 
 
-def merge_copies(df: DataFrame, key: str, copies: str = "copies") -> DataFrame:
+def merge_copies(df: DataFrame, key: Sequence[str], copies: str = "copies") -> DataFrame:
     """One row per key (the smallest by the other columns) and how many rows it stands for.
 
     An aggregate, so copies are merged inside each task before the shuffle.
     """
-    rest = [col(c) for c in df.columns if c != key]
-    merged = df.groupBy(col(key)).agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias(copies))
-    return merged.select(col(key), "_row.*", col(copies))
+    keys = [col(k) for k in key]
+    rest = [col(c) for c in df.columns if c not in key]
+    merged = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias(copies))
+    return merged.select(*keys, "_row.*", col(copies))
 
 
 def resolve_keys(children: DataFrame, parents: DataFrame, natural: str, key: str, as_name: str) -> DataFrame:

@@ -76,49 +76,9 @@ def reject_counts(plants: DataFrame) -> DataFrame:
     return tagged.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def year_column(year: int) -> str:
-    return f"year_{year}"
-
-
-def year_figures(raw: DataFrame, years: Iterable[int] = GENERATION_YEARS) -> list[str]:
-    """One struct expression per year with that year's figures, null for a year without any.
-
-    Year columns the file lacks read as null.
-    """
-    out = []
-    for year in years:
-        reported = number_sql(column_or_null(raw, f"generation_gwh_{year}"))
-        estimated = number_sql(column_or_null(raw, f"estimated_generation_gwh_{year}"))
-        out.append(
-            f"""CASE WHEN {reported} IS NOT NULL OR {estimated} IS NOT NULL THEN named_struct(
-              'generation_gwh', {decimal_sql(reported, 12, 2)},
-              'estimated_generation_gwh', {decimal_sql(estimated, 12, 2)},
-              'estimation_method', {column_or_null(raw, f"estimated_generation_note_{year}")},
-              'data_source', {column_or_null(raw, "generation_data_source")}) END AS {year_column(year)}"""
-        )
-    return out
-
-
-def first_figures(wide: DataFrame, key: str, years: Iterable[int] = GENERATION_YEARS) -> DataFrame:
-    """One row per key, keeping the smallest figures of each year.
-
-    An aggregate, so copies of a key are merged inside each task before the shuffle.
-    """
-    return wide.groupBy(col(key)).agg(*[F.min(year_column(y)).alias(year_column(y)) for y in years])
-
-
-def years_to_rows(
-    wide: DataFrame, keep: Iterable[str], years: Iterable[int] = GENERATION_YEARS
-) -> DataFrame:
-    """Year structs to one row per year that has figures.
-
-    ``stack`` is a narrow generator: no shuffle, however many years.
-    """
-    years = list(years)
-    kept = [quoted(c) for c in keep]
-    slots = ", ".join(f"{y}, {year_column(y)}" for y in years)
-    long = wide.selectExpr(*kept, f"stack({len(years)}, {slots}) AS (year, figures)")
-    return long.where("figures IS NOT NULL").selectExpr(*kept, "year", "figures.*")
+def year_columns(raw: DataFrame) -> list[str]:
+    """The yearly text columns this file carries, and the source they share."""
+    return [c for c in raw.columns if c.startswith(("generation_", "estimated_generation_"))]
 
 
 def generation_unpivot(
@@ -126,7 +86,28 @@ def generation_unpivot(
     years: Iterable[int] = GENERATION_YEARS,
     keep: Iterable[str] = ("gppd_idnr",),
 ) -> DataFrame:
-    """Wide text columns to one row per raw row and year with a figure."""
-    keep, years = list(keep), list(years)
-    wide = raw.selectExpr(*[quoted(c) for c in keep], *year_figures(raw, years))
-    return years_to_rows(wide, keep, years)
+    """Wide text columns to one typed row per raw row and year with a figure.
+
+    Year columns the file lacks read as null.  ``stack`` is a narrow generator: no shuffle,
+    however many years.  Text is parsed after it, by one expression for all years: parsing
+    every year column of the wide row generates a method too large for the JIT compiler.
+    """
+    years = list(years)
+    kept = [quoted(c) for c in keep]
+    measures = ("generation_gwh", "estimated_generation_gwh", "estimated_generation_note")
+    slots = ", ".join(
+        f"{y}, " + ", ".join(column_or_null(raw, f"{measure}_{y}") for measure in measures) for y in years
+    )
+    source = column_or_null(raw, "generation_data_source")
+    text = raw.selectExpr(
+        *kept, f"{source} AS data_source", f"stack({len(years)}, {slots}) AS (year, reported, estimated, method)"
+    )
+    typed = text.where("reported IS NOT NULL OR estimated IS NOT NULL").selectExpr(
+        *kept,
+        "year",
+        f"{decimal_sql(number_sql('reported'), 12, 2)} AS generation_gwh",
+        f"{decimal_sql(number_sql('estimated'), 12, 2)} AS estimated_generation_gwh",
+        "method AS estimation_method",
+        "data_source",
+    )
+    return typed.where("generation_gwh IS NOT NULL OR estimated_generation_gwh IS NOT NULL")

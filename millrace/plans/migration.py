@@ -2,7 +2,7 @@
 
 1. stage     parse, blank out missing values, type, check every row rule: one narrow pass
 2. plants    one row per natural key, not yet loaded, dense ids, append
-3. facts     merge and look up ids on the *wide* rows, years to rows, append
+3. facts     look up ids on the wide rows, years to rows, one row per plant and year, append
 4. validate
 
 Each stage reads what the stage before wrote, and a load skips keys that are already
@@ -16,18 +16,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import GENERATION, GENERATION_YEARS, PLANTS, TABLES, TableContract, text_schema
+from millrace.contract import GENERATION, PLANTS, TABLES, TableContract, text_schema
 from millrace.functions.clean import col, null_tokens, quoted
 from millrace.operators import stats
-from millrace.operators.checks import all_pass_sql, broken_rules_sql
+from millrace.operators.checks import VIOLATIONS, with_violations
 from millrace.operators.keys import merge_copies, orphans, surrogate_key, unique_id, unique_violations
 from millrace.operators.reshape import (
-    first_figures,
+    generation_unpivot,
     plants_transform,
     with_reject_reason,
-    year_column,
-    year_figures,
-    years_to_rows,
+    year_columns,
 )
 from millrace.plans.pipeline import discard
 from millrace.sources.files import RAW_LINE, header_columns, ragged_sql, scan_csv
@@ -35,6 +33,7 @@ from millrace.sources.tables import append, ensure_table, not_yet_loaded, read_t
 from millrace.sources.workspace import materialize
 
 NATURAL_KEY = "gppd_idnr"
+NOT_RAGGED = "ragged_line IS NULL"
 
 
 @dataclass
@@ -67,22 +66,20 @@ class Migration:
             F.count(F.lit(1)).alias("plants_extracted"),
             F.count_if(F.col("reject_reason").isNotNull()).alias("errors"),
             F.count_if(F.col("reject_reason").isNull() & ~F.col("loadable")).alias("broken"),
-            F.sum(F.expr(" + ".join(f"int({year_column(y)} IS NOT NULL)" for y in GENERATION_YEARS))).alias("figures"),
         )
         if dry_run:
-            discard(typed)
-            self.metrics = dict(seen.get)
+            figures = Observation("figures")
+            long = generation_unpivot(typed.where(NOT_RAGGED))
+            discard(long.observe(figures, F.count(F.lit(1)).alias("figures")))
+            self.metrics = seen.get | figures.get
             return self.metrics
         for contract in TABLES:
             ensure_table(self.spark, self.path(contract.name), contract.schema)
         staged = materialize(typed, "staged", partition_by=["loadable"])
         self.metrics = dict(seen.get)
         self._quarantine(staged.where("NOT loadable").drop("loadable"), "rows")
-        self._quarantine(
-            staged.where("size(broken_years) > 0").selectExpr(NATURAL_KEY, "inline(broken_years)"), "figures"
-        )
         self.metrics["plants_loaded"] = self._load_plants(staged.where("loadable"))
-        self.metrics["generation_records"] = self._load_generation(staged)
+        self.metrics["generation_records"] = self._load_generation(staged.where(NOT_RAGGED))
         return self.metrics
 
     def validate(self) -> dict[str, DataFrame]:
@@ -99,7 +96,7 @@ class Migration:
     # -- stages ----------------------------------------------------------------
 
     def _typed(self) -> DataFrame:
-        """Typed plant columns, the figures of each year, and what is wrong with a row."""
+        """Typed plant columns, the yearly text, and what is wrong with a row."""
         columns = header_columns(self.spark, self.source, self.encoding)
         scan = scan_csv(
             self.spark,
@@ -111,48 +108,45 @@ class Migration:
         )
         text = null_tokens(scan, columns)
         line = f"CASE WHEN {ragged_sql(len(columns))} THEN {RAW_LINE} END AS ragged_line"
-        plants = with_reject_reason(plants_transform(text, extra=[*year_figures(text), line]))
-
-        rules = PLANTS.rules({c: quoted(c) for c in PLANTS.loaded_columns})
-        names = PLANTS.loaded_columns
-        year_rules = {y: GENERATION.rules(_figure_values(y)) for y in GENERATION_YEARS}
-        checked = [
-            # A row with too many fields has its values in the wrong columns.
-            f"CASE WHEN ragged_line IS NULL AND {all_pass_sql(r)} THEN {year_column(y)} END AS {year_column(y)}"
-            for y, r in year_rules.items()
-        ]
-        broken = ", ".join(
-            f"""CASE WHEN ragged_line IS NULL AND {year_column(y)} IS NOT NULL AND NOT ({all_pass_sql(r)})
-            THEN named_struct('year', {y}, 'broken_rules', {broken_rules_sql(r)}, 'figures', {year_column(y)}) END"""
-            for y, r in year_rules.items()
-        )
-        return plants.selectExpr(
-            *names,
-            *checked,
-            f"array_compact(array({broken})) AS broken_years",
-            "CASE WHEN ragged_line IS NOT NULL THEN 'too many fields' ELSE reject_reason END AS reject_reason",
-            f"{broken_rules_sql(rules)} AS broken_rules",
+        carried = [quoted(c) for c in year_columns(text)]
+        plants = with_reject_reason(plants_transform(text, extra=[*carried, line]))
+        checked = with_violations(plants, PLANTS)
+        return checked.selectExpr(
+            *PLANTS.loaded_columns,
+            *carried,
             "ragged_line",
-            f"ragged_line IS NULL AND reject_reason IS NULL AND {all_pass_sql(rules)} AS loadable",
+            "CASE WHEN ragged_line IS NOT NULL THEN 'too many fields' ELSE reject_reason END AS reject_reason",
+            VIOLATIONS,
+            f"ragged_line IS NULL AND reject_reason IS NULL AND size({VIOLATIONS}) = 0 AS loadable",
         )
 
     def _load_plants(self, loadable: DataFrame) -> int:
         rows = loadable.select(*[col(c) for c in PLANTS.loaded_columns])
         existing = self.table(PLANTS)
-        new = not_yet_loaded(merge_copies(rows, NATURAL_KEY), existing, [NATURAL_KEY])
+        new = not_yet_loaded(merge_copies(rows, [NATURAL_KEY]), existing, [NATURAL_KEY])
         numbered = surrogate_key(new, [NATURAL_KEY], start_after=_last_id(existing))
         self._quarantine(numbered.where("copies > 1").select(NATURAL_KEY, "copies"), "copies")
         return self._append(stamp_new(numbered), PLANTS)
 
     def _load_generation(self, staged: DataFrame) -> int:
-        # Repeated plants are merged and ids looked up on *wide* rows, a seventh of the long
-        # ones; both need the natural key's partitioning, so there is one shuffle of the facts.
+        # Ids are looked up on wide rows, which are fewer than the long ones.  The second
+        # shuffle, by plant and year, serves both the merge and the check against the table.
+        key = GENERATION.unique[0]
         ids = self.table(PLANTS).select(col(NATURAL_KEY), F.col("id").alias("power_plant_id"))
-        wide = first_figures(staged.where(col(NATURAL_KEY).isNotNull()), NATURAL_KEY)
-        long = years_to_rows(wide.join(ids, NATURAL_KEY), keep=["power_plant_id"])
+        wide = staged.select(col(NATURAL_KEY), *[col(c) for c in year_columns(staged)])
+        long = generation_unpivot(wide.join(ids, NATURAL_KEY), keep=[NATURAL_KEY, "power_plant_id"])
+        broken = Observation("broken")
+        checked = with_violations(long, GENERATION).observe(
+            broken, F.count_if(F.size(VIOLATIONS) > 0).alias("n")
+        )
+        good = checked.where(F.size(VIOLATIONS) == 0).drop(NATURAL_KEY, VIOLATIONS)
         existing = self.table(GENERATION)
-        new = not_yet_loaded(long, existing, GENERATION.unique[0])
-        return self._append(unique_id(new, start_after=_last_id(existing)), GENERATION)
+        new = not_yet_loaded(merge_copies(good, key), existing, key)
+        loaded = self._append(unique_id(new, start_after=_last_id(existing)), GENERATION)
+        # Only worth a second pass when there are any.
+        figures = checked.where(F.size(VIOLATIONS) > 0) if broken.get["n"] else checked.limit(0)
+        self._quarantine(figures, "figures")
+        return loaded
 
     def _append(self, df: DataFrame, contract: TableContract) -> int:
         written = Observation(contract.name)
@@ -164,11 +158,5 @@ class Migration:
         df.write.mode("overwrite").parquet(self.path(f"quarantine/{reason}"))
 
 
-def _figure_values(year: int) -> dict[str, str]:
-    struct = year_column(year)
-    names = ("generation_gwh", "estimated_generation_gwh", "estimation_method", "data_source")
-    return {"year": str(year)} | {n: f"{struct}.{n}" for n in names}
-
-
 def _last_id(existing: DataFrame) -> int:
     return existing.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]

@@ -7,11 +7,13 @@ from pyspark.sql import SparkSession
 # AQE does the size-dependent work: it picks join sides from measured sizes, merges
 # small shuffle partitions and splits the partitions of a hot key.  Forcing the skew
 # split accepts one more shuffle where a later stage wanted the join's partitioning.
+# Concurrent writers spare a partitioned write the sort by partition value.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
