@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.contract import FUELS, GENERATION, PLANTS, text_schema
 from millrace.functions import clean
 from millrace.functions.clean import col, null_tokens
-from millrace.operators import checks, keys, reshape
+from millrace.operators import checks, keys, reshape, stats
 from millrace.operators.paging import order
 from millrace.plans import standin
 from millrace.plans.migration import Migration
@@ -557,3 +557,25 @@ def migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     plants = job.table(PLANTS).select(col("id").alias("plant_id"), "gppd_idnr")
     joined = plants.join(per_plant, col("plant_id") == col("power_plant_id"), "left")
     return plain(joined.drop("power_plant_id"))
+
+
+@query(
+    "migration_bulk",
+    f"""SELECT year, count(*) AS plants_with_data,
+      CAST(sum(coalesce(reported, estimated)) AS DOUBLE) AS total_generation_gwh,
+      CAST(sum(coalesce(reported, estimated)) AS DOUBLE) / 1000 AS total_generation_twh
+    FROM (
+      SELECT l_orderkey, CAST(year(l_shipdate) + {standin.YEAR_SHIFT} AS INTEGER) AS year,
+        sum(CAST(l_extendedprice AS DECIMAL(12,2))) FILTER (WHERE l_returnflag <> 'N') AS reported,
+        sum(CAST(l_extendedprice AS DECIMAL(12,2))) FILTER (WHERE l_returnflag = 'N' AND
+          year(l_shipdate) + {standin.YEAR_SHIFT} <= 2017) AS estimated
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2)
+    WHERE reported IS NOT NULL OR estimated IS NOT NULL GROUP BY year""",
+)
+def migration_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job over the two large tables; yearly totals of what was loaded."""
+    source = new_path(spark, "bulk-csv")
+    files.write_csv(standin.raw_wide_orders(spark, sf_dir), source)
+    job = Migration(spark, source, new_path(spark, "tables"))
+    job.run()
+    return stats.generation_trends(job.table(GENERATION))

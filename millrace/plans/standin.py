@@ -111,12 +111,11 @@ def raw_plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customers(spark, sf_dir).selectExpr(*[f"{e} AS {c}" for c, e in _RAW.items()])
 
 
-def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text rows with reported 2013..2019 and estimated 2013..2017; one per customer.
+def _wide(keyed: DataFrame, key: str, figures: DataFrame) -> DataFrame:
+    """Raw rows joined with their yearly figures as text columns, one set per row.
 
     Estimates of the last two years are left out, as in the real file.
     """
-    figures = order_figures(spark, sf_dir)
 
     def yearly(measure: str, years: tuple[int, ...]) -> list[Column]:
         return [
@@ -130,16 +129,44 @@ def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = figures.groupBy("power_plant_id").agg(
         *yearly("generation_gwh", GENERATION_YEARS), *yearly("estimated_generation_gwh", ESTIMATE_YEARS)
     )
-    keyed = _customers(spark, sf_dir).selectExpr("c_custkey", *[f"{e} AS {c}" for c, e in _RAW.items()])
-    joined = keyed.join(wide, F.col("c_custkey") == F.col("power_plant_id"), "left")
+    joined = keyed.join(wide, F.col(key) == F.col("power_plant_id"), "left")
     notes = [
         f"""CASE WHEN estimated_generation_gwh_{y} IS NOT NULL THEN 'CAPACITY-FACTOR-V1' END
         AS estimated_generation_note_{y}"""
         for y in ESTIMATE_YEARS
     ]
-    return joined.selectExpr("*", "'orders' AS generation_data_source", *notes).drop(
-        "c_custkey", "power_plant_id"
+    return joined.selectExpr("*", "'orders' AS generation_data_source", *notes).drop(key, "power_plant_id")
+
+
+def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text rows with reported 2013..2019 and estimated 2013..2017; one per customer."""
+    keyed = _customers(spark, sf_dir).selectExpr("c_custkey", *[f"{e} AS {c}" for c, e in _RAW.items()])
+    return _wide(keyed, "c_custkey", order_figures(spark, sf_dir))
+
+
+_RAW_ORDER = {
+    "country": "concat('P0', left(o_orderpriority, 1))",
+    "country_long": "o_orderpriority",
+    "name": "concat('Order ', o_orderkey)",
+    "gppd_idnr": "concat('Order#', lpad(CAST(o_orderkey AS string), 12, '0'))",
+    "capacity_mw": "CAST(CAST(o_totalprice AS decimal(12,2)) AS string)",
+    "latitude": "CAST(o_orderkey * 7919 % 180 - 90 AS string)",
+    "longitude": "CAST(o_orderkey * 104729 % 360 - 180 AS string)",
+    "primary_fuel": f"element_at(array({_FUEL_LIST}), CAST(o_orderkey % {len(FUELS)} + 1 AS int))",
+    "commissioning_year": "concat(CAST(year(o_orderdate) AS string), '.5')",
+}
+
+
+def raw_wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same shape from the two large tables: orders as plants, line items as figures."""
+    keyed = table(spark, sf_dir, "orders").selectExpr("o_orderkey", *[f"{e} AS {c}" for c, e in _RAW_ORDER.items()])
+    figures = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS power_plant_id",
+        f"year(l_shipdate) + {YEAR_SHIFT} AS year",
+        "CASE WHEN l_returnflag <> 'N' THEN CAST(l_extendedprice AS decimal(12,2)) END AS generation_gwh",
+        "CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS decimal(12,2)) END AS estimated_generation_gwh",
     )
+    return _wide(keyed, "o_orderkey", figures)
 
 
 # The same views for the oracle.  Names: plants, order_figures, generation, raw.

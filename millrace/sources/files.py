@@ -44,7 +44,8 @@ def scan_csv(
         schema = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType(), True)])
     reader = spark.read.schema(schema).options(**csv_options(encoding, multi_line, header))
     if keep_raw_line:
-        reader = reader.option("columnNameOfCorruptRecord", RAW_LINE)
+        # Without all columns the parser would not notice a wrong number of fields.
+        reader = reader.option("columnNameOfCorruptRecord", RAW_LINE).option("columnPruning", "false")
     return reader.csv(path)
 
 
