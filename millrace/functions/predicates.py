@@ -72,8 +72,6 @@ def has_all_tokens(column: str, query: str) -> Column:
 
     A row-local test, so a search is one narrow pass; there is no stemming.
     """
-    terms = sorted({t for t in "".join(ch if ch.isalnum() else " " for ch in query.lower()).split()})
-    if not terms:
+    if not any(character.isalnum() for character in query):
         raise ValueError("token search needs at least one word")
-    found = tokens(col(column))
-    return all_of(F.array_contains(found, t) for t in terms)
+    return F.size(F.array_except(tokens(F.lit(query)), tokens(col(column)))) == 0

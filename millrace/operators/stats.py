@@ -145,30 +145,27 @@ def validate_fuel_breakdown(plants: DataFrame) -> DataFrame:
 
 
 def quality_profile(plants: DataFrame, generation: DataFrame) -> DataFrame:
-    """Data quality rates, one row per measure.
+    """Data quality rates, one row per measure, from one scan of each table.
 
     Missing commissioning years, plants with a reported figure, estimated figures.
     """
-    years = plants.agg(
-        F.lit("commissioning_year_missing").alias("measure"),
-        F.count_if(F.col("commissioning_year").isNull()).alias("n"),
-        F.count(F.lit(1)).alias("out_of"),
+    # One row per plant before the join, however many figures a plant has.
+    per_plant = generation.groupBy("power_plant_id").agg(
+        F.count(F.lit(1)).alias("n_figures"), F.count("generation_gwh").alias("n_reported")
     )
-    reported = F.col("generation_gwh").isNotNull()
-    # One row per plant before the plants are counted.
-    per_plant = generation.groupBy("power_plant_id").agg(F.max(reported).alias("has_reported"))
-    covered = plants.select("id").join(
-        per_plant.where("has_reported"), F.col("id") == F.col("power_plant_id"), "left"
+    both = plants.select("id", "commissioning_year").join(
+        per_plant, F.col("id") == F.col("power_plant_id"), "full"
     )
-    coverage = covered.agg(
-        F.lit("plants_with_reported_generation").alias("measure"),
-        F.count("power_plant_id").alias("n"),
-        F.count(F.lit(1)).alias("out_of"),
+    counted = both.selectExpr(
+        "count_if(id IS NOT NULL AND commissioning_year IS NULL) AS no_year",
+        "count_if(id IS NOT NULL AND n_reported > 0) AS covered",
+        "count(id) AS n_plants",
+        "coalesce(sum(n_figures - n_reported), 0) AS estimated",
+        "coalesce(sum(n_figures), 0) AS n_figures",
     )
-    estimates = generation.agg(
-        F.lit("generation_estimated").alias("measure"),
-        F.count_if(~reported).alias("n"),
-        F.count(F.lit(1)).alias("out_of"),
+    rows = counted.selectExpr(
+        """stack(3, 'commissioning_year_missing', no_year, n_plants,
+        'plants_with_reported_generation', covered, n_plants,
+        'generation_estimated', estimated, n_figures) AS (measure, n, out_of)"""
     )
-    rows = years.unionByName(coverage).unionByName(estimates)
-    return rows.withColumn("rate", F.col("n") / F.nullif(F.col("out_of"), F.lit(0)))
+    return rows.selectExpr("*", "n / nullif(out_of, 0) AS rate")

@@ -133,7 +133,9 @@ class Migration:
         # shuffle, by plant and year, serves both the merge and the check against the table.
         key = GENERATION.unique[0]
         ids = self.table(PLANTS).select(col(NATURAL_KEY), F.col("id").alias("power_plant_id"))
-        wide = staged.select(col(NATURAL_KEY), *[col(c) for c in year_columns(staged)])
+        years = year_columns(staged)
+        has_text = f"coalesce({', '.join(quoted(c) for c in years)}) IS NOT NULL" if years else "false"
+        wide = staged.select(col(NATURAL_KEY), *[col(c) for c in years]).where(has_text)
         long = generation_unpivot(wide.join(ids, NATURAL_KEY), keep=[NATURAL_KEY, "power_plant_id"])
         broken = Observation("broken")
         checked = with_violations(long, GENERATION).observe(
