@@ -168,6 +168,7 @@ GENERATION = TableContract(
 # Parents first; drop in the reverse order.
 TABLES = (PLANTS, GENERATION)
 
+# The columns of the raw file.
 SOURCE_COLUMNS = (
     "country",
     "country_long",

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value.
 EARTH_RADIUS_KM = 6371
 # Widening of every bound, far above double rounding and far below a metre.
 _SLACK = 1 + 1e-9

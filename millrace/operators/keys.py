@@ -121,8 +121,8 @@ def lookup(df: DataFrame, key: str, value: int) -> DataFrame:
 
 
 def lookup_many(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows whose key is listed in the first column of ``wanted``."""
-    keys = wanted.select(col(wanted.columns[0]).alias("_wanted"))
+    """Rows whose key is listed, any number of times, in the first column of ``wanted``."""
+    keys = wanted.select(col(wanted.columns[0]).alias("_wanted")).distinct()
     return df.join(keys, col(key) == F.col("_wanted"), "left_semi")
 
 

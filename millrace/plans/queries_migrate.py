@@ -443,7 +443,7 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     "audit_stamp",
     with_views(
         """SELECT id, coalesce(owner, 'State') AS owner, owner IS NULL AS changed,
-          TIMESTAMP '2020-01-01 00:00:00' AS created_at FROM plants""",
+          '2020-01-01' AS created_on FROM plants""",
         PLANTS_CTE,
     ),
 )
@@ -455,7 +455,9 @@ def audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     changes = existing.where("owner IS NULL").select("id", F.lit("State").alias("owner"))
     after = tables.upsert(existing, changes, "id")
-    return after.select("id", "owner", (col("updated_at") > col("created_at")).alias("changed"), "created_at")
+    return after.selectExpr(
+        "id", "owner", "updated_at > created_at AS changed", "date_format(created_at, 'yyyy-MM-dd') AS created_on"
+    )
 
 
 def _fan_out(spark: SparkSession, sf_dir: str) -> tuple[Pipeline, dict[str, str]]:
@@ -479,14 +481,14 @@ def _fan_out(spark: SparkSession, sf_dir: str) -> tuple[Pipeline, dict[str, str]
 
 
 @query(
-    "pipeline_fanout",
+    "fan_out",
     with_views(
         """SELECT gppd_idnr, CASE WHEN reject_reason IS NULL THEN 'plants' ELSE 'rejects' END AS output,
           reject_reason FROM tagged""",
         TYPED_CTE,
     ),
 )
-def pipeline_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One source, two outputs, each with its own writer; read back from what was written."""
     pipeline, paths = _fan_out(spark, sf_dir)
     pipeline.run()

@@ -380,7 +380,7 @@ def plant_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plants_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch lookup: the plants that have an urgent order."""
     orders = standin.table(spark, sf_dir, "orders")
-    wanted = orders.where(where_all([Condition("o_orderpriority", "=", "1-URGENT")])).select("o_custkey").distinct()
+    wanted = orders.where(where_all([Condition("o_orderpriority", "=", "1-URGENT")])).select("o_custkey")
     return plain(keys.lookup_many(standin.plants(spark, sf_dir), "id", wanted))
 
 

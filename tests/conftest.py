@@ -14,7 +14,8 @@ def spark():
     session = build_session(
         "millrace-tests",
         "local[8]",
-        spark__sql__shuffle__partitions=8,
+        spark__sql__shuffle__partitions=4,
+        spark__python__sql__dataFrameDebugging__enabled="false",
         spark__driver__memory="6g",
         spark__sql__maxMetadataStringLength=5000,
     )

@@ -125,3 +125,17 @@ def test_command_line(job, capsys, monkeypatch):
     command.main(["--source", job.source, "--target", job.target, "--validate"])
     out = capsys.readouterr().out
     assert "plants_loaded: 4" in out and "fuel_breakdown" in out
+
+
+def test_list_filters_reach_the_loaded_table(job):
+    from millrace.contract import FUELS
+    from millrace.operators.paging import PlantFilter
+
+    job.run()
+    chosen = PlantFilter(country="usa", fuel="Gas", min_capacity=2.5, max_capacity=900).predicate(FUELS)
+    plan = job.table(PLANTS).where(chosen)._jdf.queryExecution().executedPlan().toString()
+    assert "primary_fuel#" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
+    pushed = plan[plan.index("PushedFilters") :]
+    for part in ("EqualTo(country_code,USA)", "GreaterThanOrEqual(capacity_mw,2.50)", "LessThanOrEqual(capacity_mw,900.00)"):
+        assert part in pushed
+    assert job.table(PLANTS).where(chosen).count() == 1
