@@ -40,13 +40,14 @@ NOT_RAGGED = "ragged_line IS NULL"
 class Migration:
     """Files under ``source`` to ``power_plants`` and ``power_plant_generation`` under ``target``.
 
+    ``source`` may also be a frame of text columns, such as rows a stream has staged.
     What cannot be loaded goes to ``quarantine/*`` there, replaced by every run: ``rows``
     (with their problems; a row with too many fields keeps its untouched line), ``figures``
     (years that break a rule) and ``copies`` (natural keys that occur more than once).
     """
 
     spark: SparkSession
-    source: str
+    source: str | DataFrame
     target: str
     encoding: str = "UTF-8"
     multi_line: bool = False
@@ -95,8 +96,10 @@ class Migration:
 
     # -- stages ----------------------------------------------------------------
 
-    def _typed(self) -> DataFrame:
-        """Typed plant columns, the yearly text, and what is wrong with a row."""
+    def _text(self) -> DataFrame:
+        """All-text rows with missing values blanked, and the line of a row with too many fields."""
+        if isinstance(self.source, DataFrame):
+            return null_tokens(self.source).selectExpr("*", "CAST(NULL AS string) AS ragged_line")
         columns = header_columns(self.spark, self.source, self.encoding)
         scan = scan_csv(
             self.spark,
@@ -106,10 +109,14 @@ class Migration:
             multi_line=self.multi_line,
             keep_raw_line=True,
         )
-        text = null_tokens(scan, columns)
         line = f"CASE WHEN {ragged_sql(len(columns))} THEN {RAW_LINE} END AS ragged_line"
+        return null_tokens(scan, columns).selectExpr(*[quoted(c) for c in columns], line)
+
+    def _typed(self) -> DataFrame:
+        """Typed plant columns, the yearly text, and what is wrong with a row."""
+        text = self._text()
         carried = [quoted(c) for c in year_columns(text)]
-        plants = with_reject_reason(plants_transform(text, extra=[*carried, line]))
+        plants = with_reject_reason(plants_transform(text, extra=[*carried, "ragged_line"]))
         checked = with_violations(plants, PLANTS)
         return checked.selectExpr(
             *PLANTS.loaded_columns,

@@ -528,25 +528,20 @@ def dry_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _metrics(spark, _fan_out(spark, sf_dir)[0].run(dry_run=True))
 
 
-@query(
-    "migration",
-    with_views(
-        f"""SELECT row_number() OVER (ORDER BY t.gppd_idnr) AS plant_id, t.gppd_idnr, g.n_years, g.reported, g.estimated
-        FROM tagged t LEFT JOIN (
-          SELECT gppd_idnr, count(*) AS n_years, CAST(sum(CAST(generation_gwh AS DECIMAL(12,2))) AS DOUBLE) AS reported,
-            CAST(sum(CAST(estimated_generation_gwh AS DECIMAL(12,2))) AS DOUBLE) AS estimated
-          FROM ({_UNPIVOT_SQL}) GROUP BY gppd_idnr) g ON g.gppd_idnr = t.gppd_idnr
-        WHERE t.reject_reason IS NULL AND t.capacity_mw > 0""",
-        TYPED_CTE,
-        GENERATION_CTE,
-    ),
+_MIGRATION_SQL = with_views(
+    f"""SELECT row_number() OVER (ORDER BY t.gppd_idnr) AS plant_id, t.gppd_idnr, g.n_years, g.reported, g.estimated
+    FROM tagged t LEFT JOIN (
+      SELECT gppd_idnr, count(*) AS n_years, CAST(sum(CAST(generation_gwh AS DECIMAL(12,2))) AS DOUBLE) AS reported,
+        CAST(sum(CAST(estimated_generation_gwh AS DECIMAL(12,2))) AS DOUBLE) AS estimated
+      FROM ({_UNPIVOT_SQL}) GROUP BY gppd_idnr) g ON g.gppd_idnr = t.gppd_idnr
+    WHERE t.reject_reason IS NULL AND t.capacity_mw > 0""",
+    TYPED_CTE,
+    GENERATION_CTE,
 )
-def migration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job: wide text files in, two linked tables out, read back per plant."""
-    source = new_path(spark, "wide-csv")
-    files.write_csv(standin.raw_wide(spark, sf_dir), source)
-    job = Migration(spark, source, new_path(spark, "tables"))
-    job.run()
+
+
+def _loaded(job: Migration) -> DataFrame:
+    """What a migration left in its two tables, one row per plant."""
     per_plant = (
         job.table(GENERATION)
         .groupBy("power_plant_id")
@@ -561,6 +556,32 @@ def migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(joined.drop("power_plant_id"))
 
 
+@query("migration", _MIGRATION_SQL)
+def migration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: wide text files in, two linked tables out, read back per plant."""
+    source = new_path(spark, "wide-csv")
+    files.write_csv(standin.raw_wide(spark, sf_dir), source)
+    job = Migration(spark, source, new_path(spark, "tables"))
+    job.run()
+    return _loaded(job)
+
+
+@query("migration_incremental", _MIGRATION_SQL)
+def migration_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files arriving twice in a landing folder: streamed to staging, then loaded."""
+    landing, staging, checkpoint, target = (
+        new_path(spark, n) for n in ("landing", "staging", "checkpoint", "tables")
+    )
+    wide = materialize(standin.raw_wide(spark, sf_dir), "wide")
+    schema = text_schema(wide.columns)
+    for _ in range(2):
+        wide.write.mode("append").options(header="true", quote='"', escape='"').csv(landing)
+        ingest_available(spark, landing, schema, staging, checkpoint)
+        job = Migration(spark, staged_rows(spark, staging, schema, ["gppd_idnr"]), target)
+        job.run()
+    return _loaded(job)
+
+
 @query(
     "migration_bulk",
     f"""SELECT year, count(*) AS plants_with_data,
