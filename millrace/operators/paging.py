@@ -9,6 +9,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.contract import FUELS
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, all_of, contains_text, where_all
 from millrace.operators.keys import surrogate_key
@@ -80,7 +81,7 @@ class PlantFilter:
     max_capacity: float | None = None
     search: str | None = None
 
-    def predicate(self, fuels: Iterable[str]) -> Column:
+    def predicate(self, fuels: Iterable[str] = FUELS) -> Column:
         """Bounds are decimal literals: a double would force a cast on the stored column."""
         parts = []
         if self.country is not None:
@@ -165,7 +166,21 @@ def page_meta(df: DataFrame, page: int = 1, limit: int = DEFAULT_PAGE_SIZE) -> D
     )
 
 
-def top_plants(df: DataFrame, limit: int | None = None, fuel: str | None = None, fuels: Iterable[str] = ()) -> DataFrame:
+def list_plants(
+    plants: DataFrame,
+    filters: PlantFilter | None = None,
+    page: int = 1,
+    limit: int = DEFAULT_PAGE_SIZE,
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows of the page, page metadata)`` under the same filters.
+
+    Two jobs: a top-k for the rows and a count, which reads only the filtered columns.
+    """
+    matching = plants.where((filters or PlantFilter()).predicate())
+    return list_page(matching, page, limit), page_meta(matching, page, limit)
+
+
+def top_plants(df: DataFrame, limit: int | None = None, fuel: str | None = None, fuels: Iterable[str] = FUELS) -> DataFrame:
     """Largest plants with their position; ``fuel`` narrows the list."""
     k = clamp_limit(limit, 10, 100)
     if fuel:

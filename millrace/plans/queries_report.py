@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import FUELS
 from millrace.functions import labels
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, contains_text, has_all_tokens, where_all
@@ -174,7 +173,7 @@ _FILTER_SQL = """country_code = 'N07' AND primary_fuel = 'Solar' AND capacity_mw
 @query("list_filtered", with_views(f"SELECT {_LIST} FROM plants WHERE {_FILTER_SQL}", PLANTS_CTE))
 def list_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All optional filters at once."""
-    matching = standin.plants(spark, sf_dir).where(_FILTER.predicate(FUELS))
+    matching = standin.plants(spark, sf_dir).where(_FILTER.predicate())
     return plain(matching.select(*LIST_COLUMNS))
 
 
@@ -184,13 +183,13 @@ def list_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def list_capacity_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounds = PlantFilter(min_capacity=2500, max_capacity=5000)
-    return plain(standin.plants(spark, sf_dir).where(bounds.predicate(FUELS)).select(*LIST_COLUMNS))
+    return plain(standin.plants(spark, sf_dir).where(bounds.predicate()).select(*LIST_COLUMNS))
 
 
 @query("list_total", with_views("SELECT count(*) AS total FROM plants WHERE capacity_mw >= 1000", PLANTS_CTE))
 def list_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     large = PlantFilter(min_capacity=1000)
-    return paging.total(standin.plants(spark, sf_dir).where(large.predicate(FUELS)))
+    return paging.total(standin.plants(spark, sf_dir).where(large.predicate()))
 
 
 @query(
@@ -202,7 +201,7 @@ def list_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def list_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     large = PlantFilter(min_capacity=1000)
-    matching = standin.plants(spark, sf_dir).where(large.predicate(FUELS))
+    matching = standin.plants(spark, sf_dir).where(large.predicate())
     return plain(paging.list_page(matching, page=3, limit=20))
 
 
@@ -232,7 +231,7 @@ def list_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     large = PlantFilter(min_capacity=1000)
-    return paging.page_meta(standin.plants(spark, sf_dir).where(large.predicate(FUELS)), page=3, limit=20)
+    return paging.page_meta(standin.plants(spark, sf_dir).where(large.predicate()), page=3, limit=20)
 
 
 _TOP = """id, name, country, country_code, CAST(capacity_mw AS DOUBLE) AS capacity_mw, primary_fuel,
@@ -253,7 +252,7 @@ def top_plants(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def top_plants_by_fuel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A size above the maximum is cut to 100."""
-    return plain(paging.top_plants(standin.plants(spark, sf_dir), limit=250, fuel="Hydro", fuels=FUELS))
+    return plain(paging.top_plants(standin.plants(spark, sf_dir), limit=250, fuel="Hydro"))
 
 
 # -- predicates and sorting ------------------------------------------------------

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.contract import FUELS
 from millrace.functions.predicates import Condition, has_all_tokens, where_all
 from millrace.operators import paging
 from millrace.operators.paging import PlantFilter, order
@@ -52,7 +51,7 @@ def test_bad_conditions():
 @pytest.mark.parametrize("text,expected", [("_", [1, 2, 3, 4]), ("%", [1, 2, 3, 4]), ("\\_", [1]), ("XB", [2])])
 def test_search_keeps_wildcards_live(spark, things, text, expected):
     columns = things.select("id", "name", F.lit("USA").alias("country_code"))
-    assert ids(columns.where(PlantFilter(search=text).predicate(FUELS))) == expected
+    assert ids(columns.where(PlantFilter(search=text).predicate())) == expected
 
 
 def test_filter_validation(spark):
@@ -65,8 +64,8 @@ def test_filter_validation(spark):
         PlantFilter(max_capacity=float("nan")),
     ):
         with pytest.raises(ValueError):
-            bad.predicate(FUELS)
-    assert spark.range(3).where(PlantFilter(fuel="", search="").predicate(FUELS)).count() == 3
+            bad.predicate()
+    assert spark.range(3).where(PlantFilter(fuel="", search="").predicate()).count() == 3
 
 
 def test_null_order(things):
@@ -131,3 +130,22 @@ def test_token_search(spark):
     assert ids(df.where(has_all_tokens("t", "river"))) == [1, 2]
     with pytest.raises(ValueError):
         has_all_tokens("t", " - ")
+
+
+def test_list_plants_gives_rows_and_metadata(spark):
+    names = [f"CAST(NULL AS string) AS {c}" for c in paging.LIST_COLUMNS if c not in ("id", "capacity_mw")]
+    plants = spark.range(45).selectExpr("id", "CAST(id AS decimal(12,2)) AS capacity_mw", *names)
+    rows, meta = paging.list_plants(plants, PlantFilter(min_capacity=5), page=2, limit=15)
+    assert [r.id for r in rows.collect()] == list(range(29, 14, -1))
+    assert meta.collect()[0].total == 40
+
+
+def test_top_plants(spark):
+    schema = "id int, name string, country string, country_code string, capacity_mw double, primary_fuel string, commissioning_year int"
+    rows = [(i, "n", "c", "C", float(i // 2), "Gas" if i % 3 else "Coal", None) for i in range(30)]
+    plants = spark.createDataFrame(rows, schema)
+    got = paging.top_plants(plants, 3).collect()
+    assert [(r.rank, r.id) for r in got] == [(1, 28), (2, 29), (3, 26)]
+    assert {r.primary_fuel for r in paging.top_plants(plants, 5, fuel="Coal").collect()} == {"Coal"}
+    with pytest.raises(ValueError):
+        paging.top_plants(plants, fuel="coal")

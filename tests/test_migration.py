@@ -128,14 +128,25 @@ def test_command_line(job, capsys, monkeypatch):
 
 
 def test_list_filters_reach_the_loaded_table(job):
-    from millrace.contract import FUELS
     from millrace.operators.paging import PlantFilter
 
     job.run()
-    chosen = PlantFilter(country="usa", fuel="Gas", min_capacity=2.5, max_capacity=900).predicate(FUELS)
+    chosen = PlantFilter(country="usa", fuel="Gas", min_capacity=2.5, max_capacity=900).predicate()
     plan = job.table(PLANTS).where(chosen)._jdf.queryExecution().executedPlan().toString()
     assert "primary_fuel#" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
     pushed = plan[plan.index("PushedFilters") :]
     for part in ("EqualTo(country_code,USA)", "GreaterThanOrEqual(capacity_mw,2.50)", "LessThanOrEqual(capacity_mw,900.00)"):
         assert part in pushed
     assert job.table(PLANTS).where(chosen).count() == 1
+
+
+def test_detail_of_one_plant_reads_only_its_figures(job):
+    from millrace.operators import keys
+
+    job.run()
+    one = keys.lookup(job.table(PLANTS), "id", 1)
+    columns = ["generation_gwh", "estimated_generation_gwh", "estimation_method"]
+    detail = keys.nest(one, job.table(GENERATION), "id", "power_plant_id", columns, "year", "generation")
+    plan = detail._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(id,1)" in plan and "EqualTo(power_plant_id,1)" in plan
+    assert [g.year for g in detail.collect()[0].generation] == [2013, 2014]
