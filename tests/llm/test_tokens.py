@@ -1,0 +1,134 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from millrace.llm import packing, token_files, tokens
+from millrace.sources.workspace import new_path
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+SCHEMA = "doc_id bigint, text string, id string, `ids` string"
+TEXTS = ["", None, " two  spaces\n\nlines", "a" * 30000, "one two three " * 4000, "é ñ 日本 語 <|endoftext|>", "x", "x"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(tokens.default_path())
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=" \n\t\r\x1c\x85\xa0　ab1'!é日_", max_size=15), max_size=4))
+def test_words_give_the_ids_of_the_library(texts):
+    tokenizer = Tokenizer.from_file(tokens.default_path())
+    small = tokens.WordEncoder(tokens.default_path(), remembered=3)
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for x in small.encode(texts)]
+        assert got == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def _frame(spark, texts):
+    return spark.createDataFrame([(i, t, "x", None) for i, t in enumerate(texts)], SCHEMA)
+
+
+def check_pieces(rows, expected, capacity):
+    """Every id in exactly one piece; sequences gapless and within the capacity."""
+    docs, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        docs[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    assert set(docs) == set(expected)
+    for doc, pieces in docs.items():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.start):
+            ids = expected[doc][p.start : p.start + p.length]
+            assert (p.start, p.doc_tokens, len(ids)) == (at, len(expected[doc]), p.length)
+            assert p.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+            at += p.length
+        assert at == len(expected[doc])
+    for pieces in sequences.values():
+        at = 0
+        for p in sorted(pieces, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= capacity
+    return sum(p.length for p in rows), len(sequences)
+
+
+def test_packing_edge_cases(spark, library):
+    df = _frame(spark, TEXTS).coalesce(2)
+    rows = packing.pack_digests(df, capacity=64, end_id=7).collect()
+    used, windows = check_pieces(rows, {i: library(t) + [7] for i, t in enumerate(TEXTS)}, 64)
+    assert windows <= -(-used // 64) + 2
+    assert packing.pack(df.limit(0)).count() == 0
+    nothing = packing.pack_digests(df.withColumn("doc_id", F.lit(None).cast("bigint")), 64).collect()
+    assert len(nothing) >= len(TEXTS) and all(r.doc_id is None for r in nothing)
+
+
+def test_packing_whole_table(spark, library, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    from millrace.llm.queries import op2_packing
+
+    rows = op2_packing(spark, sf_dir).collect()
+    used, windows = check_pieces(rows, {r.doc_id: library(r.text) + [0] for r in docs.collect()}, 1024)
+    assert windows <= used // 1024 + docs.rdd.getNumPartitions() + 1
+
+
+def test_placing_minimises_the_sum_of_squares():
+    rng, levels = np.random.default_rng(1), packing.Levels(16)
+    for size in rng.integers(1, 16, 400).tolist():
+        before = levels.counts.copy()
+
+        def cost(h):
+            after = before.copy()
+            after[h] -= 1
+            after[h + size] += 1
+            return (after[1:16] ** 2).sum()
+
+        places = [h for h in range(17 - size) if h == 0 or before[h] > 0]
+        got = levels.place(size)
+        assert cost(got) == min(cost(h) for h in places) and got == max(h for h in places if cost(h) == cost(got))
+        levels.add((0, 0, size, bytes(4 * size)))
+        assert [len(x) for x in levels.open[1:]] == levels.counts[1:16].tolist()
+
+
+def test_drain_leaves_one_open_window():
+    windows = list(packing._windows(((i, bytes(4 * 599)) for i in range(500)), 1000, 0))
+    fills = [sum(len(p[3]) // 4 for p in w) for w in windows]
+    assert sum(fills) == 300_000 and sorted(fills)[1] == 1000
+
+
+def _check_files(rows, expected):
+    at = 0
+    for r, (doc, ids) in zip(rows, expected, strict=True):
+        assert (r.doc_id, r.start, r.n_tokens) == (doc, at, len(ids))
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        at += len(ids)
+
+
+def test_token_files_round_trip(spark, library):
+    df = _frame(spark, TEXTS).union(_frame(spark, ["null id"]).withColumn("doc_id", F.lit(None).cast("bigint")))
+    path = new_path(spark, "files")
+    token_files.write_token_files(df.repartition(5), path)
+    rows = sorted(token_files.file_digests(spark, path).collect(), key=lambda r: r.start)
+    _check_files(rows, [(None, library("null id") + [2])] + [(i, library(t) + [2]) for i, t in enumerate(TEXTS)])
+    manifest = token_files.read_manifest(path)
+    assert manifest["width"] == 2 and manifest["docs"] == 9 and sum(p["tokens"] for p in manifest["parts"]) == manifest["tokens"]
+
+
+def test_token_files_of_nothing(spark):
+    path = new_path(spark, "files")
+    token_files.write_token_files(_frame(spark, []), path)
+    assert token_files.file_digests(spark, path).count() == 0
+
+
+def test_token_files_whole_table(spark, library, sf_dir):
+    from millrace.llm.queries import op8_token_files
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
+    rows = sorted(op8_token_files(spark, sf_dir).collect(), key=lambda r: r.start)
+    _check_files(rows, [(r.doc_id, library(r.text) + [2]) for r in docs])
