@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, packing, token_files
+from millrace.llm import exact_dedup, packing, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,16 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, end_id=2)
     return token_files.file_digests(spark, path)
+
+
+@_query()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, network).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        F.col("toxic_predicted").alias("predicted"),
+    )

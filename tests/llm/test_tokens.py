@@ -14,21 +14,22 @@ SCHEMA = "doc_id bigint, text string, id string, `ids` string"
 TEXTS = ["", None, " two  spaces\n\nlines", "a" * 30000, "one two three " * 4000, "é ñ 日本 語 <|endoftext|>", "x", "x"]
 
 
+LIBRARY = Tokenizer.from_file(tokens.default_path())
+LIBRARY.encode_special_tokens = True
+SMALL = tokens.WordEncoder(tokens.default_path(), remembered=3)
+
+
 @pytest.fixture(scope="module")
 def library():
-    tokenizer = Tokenizer.from_file(tokens.default_path())
-    tokenizer.encode_special_tokens = True
-    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
+    return lambda text: LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(alphabet=" \n\t\r\x1c\x85\xa0　ab1'!é日_", max_size=15), max_size=4))
 def test_words_give_the_ids_of_the_library(texts):
-    tokenizer = Tokenizer.from_file(tokens.default_path())
-    small = tokens.WordEncoder(tokens.default_path(), remembered=3)
     for _ in range(2):
-        got = [np.frombuffer(x, "<u4").tolist() for x in small.encode(texts)]
-        assert got == [tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+        got = [np.frombuffer(x, "<u4").tolist() for x in SMALL.encode(texts)]
+        assert got == [LIBRARY.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def _frame(spark, texts):
