@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, packing, token_files, toxicity
+from millrace.llm import exact_dedup, packing, pseudonyms, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxic_score").alias("score"),
         F.col("toxic_predicted").alias("predicted"),
     )
+
+
+#: A fixed key makes runs comparable; a deployment passes its own secret.
+DEMO_KEY = "a key for tests only"
+
+
+@_query()
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with personal data replaced, and how much of each kind."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pseudonyms.pseudonymise(docs, DEMO_KEY, counts="kinds")
+    return out.select("doc_id", "text", F.size("kinds").alias("n_replaced"), F.array_join("kinds", ",").alias("kinds"))
