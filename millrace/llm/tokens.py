@@ -5,13 +5,14 @@ from __future__ import annotations
 import functools
 import os
 import re
+import struct
 from collections.abc import Iterable, Iterator
 
 #: Fixed value: the split that the byte-level vocabulary was made with.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Words a worker remembers; the rest of a batch is encoded and forgotten.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def default_path() -> str:
@@ -37,6 +38,7 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._pretokens = regex.compile(PRETOKENS).findall
+        self._visible, self._pack = _visible_bytes(), struct.pack
         self._words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {}
         self._remembered = remembered
@@ -47,7 +49,7 @@ class WordEncoder:
         cut = [_words(text) for text in texts]
         known = self._words
         new = {word for words in cut for word in words if word not in known}
-        fresh = self._encode_words(sorted(new))
+        fresh = self._encode_words(list(new))
         if len(known) + len(fresh) <= self._remembered:
             known.update(fresh)
             return [b"".join([known[w] for w in words]) for words in cut]
@@ -58,18 +60,13 @@ class WordEncoder:
     def _encode_words(self, words: list[str]) -> dict[str, bytes]:
         split = [self._pretokens(word) for word in words]
         known = self._parts
-        new = sorted({part for parts in split for part in parts if part not in known})
-        import numpy as np
-
+        new = {part for parts in split for part in parts if part not in known}
+        # The model takes bytes as visible characters and needs no second split.
+        merge, visible, pack = self._tokenizer.model.tokenize, self._visible, self._pack
         fresh = {}
-        for at in range(0, len(new), 20_000):
-            chunk = new[at : at + 20_000]
-            ids = [e.ids for e in self._tokenizer.encode_batch_fast(chunk, add_special_tokens=False)]
-            flat = np.fromiter((i for e in ids for i in e), "<u4").tobytes()
-            end = 0
-            for part, e in zip(chunk, ids):
-                start, end = end, end + 4 * len(e)
-                fresh[part] = flat[start:end]
+        for part in new:
+            ids = [t.id for t in merge(part.encode().decode("latin-1").translate(visible))]
+            fresh[part] = pack(f"<{len(ids)}I", *ids)
         out = {
             word: b"".join([known[p] if p in known else fresh[p] for p in parts])
             for word, parts in zip(words, split)
@@ -80,6 +77,13 @@ class WordEncoder:
         return out
 
 
+def _visible_bytes() -> dict[int, str]:
+    """Printable Latin-1 bytes stand for themselves, the rest for 256 and up."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in own)
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 _CUT = re.compile(r"(?<=\S)(?= )")
 _IRREGULAR = re.compile(r"\s ")
 
