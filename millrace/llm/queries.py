@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, packing, pseudonyms, token_files, toxicity
+from millrace.llm import exact_dedup, minhash, packing, pseudonyms, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,9 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = pseudonyms.pseudonymise(docs, DEMO_KEY, counts="kinds")
     return out.select("doc_id", "text", F.size("kinds").alias("n_replaced"), F.array_join("kinds", ",").alias("kinds"))
+
+
+@_query()
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of near copies of every document, at a similarity of 0.8 on five-word shingles."""
+    return minhash.near_groups(_table(spark, sf_dir, "documents"), threshold=0.8).drop("row")
