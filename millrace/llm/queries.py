@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, minhash, packing, pseudonyms, token_files, toxicity
+from millrace.llm import exact_dedup, minhash, packing, pseudonyms, substrings, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,9 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of near copies of every document, at a similarity of 0.8 on five-word shingles."""
     return minhash.near_groups(_table(spark, sf_dir, "documents"), threshold=0.8).drop("row")
+
+
+@_query()
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a repeated window of 20 words covers, and the digest of the others."""
+    return substrings.repeat_digests(_table(spark, sf_dir, "documents"), window=20)
