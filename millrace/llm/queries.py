@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, minhash, packing, pseudonyms, substrings, token_files, toxicity
+from millrace.llm import exact_dedup, minhash, packing, pseudonyms, sharding, substrings, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,13 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a repeated window of 20 words covers, and the digest of the others."""
     return substrings.repeat_digests(_table(spark, sf_dir, "documents"), window=20)
+
+
+#: Bytes of text in a shard.
+SHARD_BYTES = 16 << 20
+
+
+@_query(sharding.shard_sql(SHARD_BYTES))
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document, at most 16 MiB of text each."""
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
