@@ -18,6 +18,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """
     edges = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "links")
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     before = None
     while True:
         # Large star: all larger neighbours of a node hang on the smallest around it.
@@ -31,7 +33,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         edges = materialize(small, "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
+from millrace.llm.rows import numbered_rows
 from millrace.sources.workspace import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -25,12 +26,17 @@ def _merged(runs: DataFrame, fan_in: int, best) -> DataFrame:
 
 
 def exact_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest", fan_in: int = 8
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: str = "largest",
+    fan_in: int = 8,
+    row_col: str | None = None,
 ) -> DataFrame:
     """Group the rows whose normalised text is identical.
 
     One row per input row: ``doc_id``, ``keep_id`` (the id that stays), ``group_size``,
-    ``kept``, ``text_sha256``, and ``row`` (its place in the input, unique).  ``keep`` is
+    ``kept``, ``text_sha256``, and ``row`` (its place in the input, or ``row_col``; unique).  ``keep`` is
     "largest" or "smallest" id; a null id loses to any other; among rows of equal id the
     first in the input stays, so exactly one row per group is kept.  A null text is empty.
     Other columns are ignored; an empty table gives no rows.
@@ -50,13 +56,17 @@ def exact_groups(
     text = normalised(col(text_col))
     # Hashing happens once, below the split into columns.
     leaves = materialize(
-        docs.select(col(id_col).alias("doc_id"), text.alias("text")).select(
+        docs.select(
+            col(id_col).alias("doc_id"),
+            text.alias("text"),
+            (col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
+        ).select(
             "doc_id",
             F.unhex(F.sha2("text", 256)).alias("digest"),
             F.xxhash64("text").alias("proof"),
             F.octet_length("text").alias("size"),
             F.spark_partition_id().alias("run"),
-            F.monotonically_increasing_id().alias("row"),
+            "row",
         ),
         "digests",
     )
@@ -81,3 +91,11 @@ def exact_groups(
         F.lower(F.hex("digest")).alias("text_sha256"),
         "row",
     )
+
+
+def drop_exact(docs: DataFrame, keep: str = "largest") -> DataFrame:
+    """The documents without all but one of the rows of equal text, all columns as they are."""
+    numbered, row = numbered_rows(docs)
+    groups = exact_groups(numbered, keep=keep, row_col=row)
+    gone = groups.where("NOT kept").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").drop(row)

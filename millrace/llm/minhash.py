@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
 from millrace.llm.components import components
+from millrace.llm.rows import numbered_rows
 from millrace.llm.words import Words, mix
 from millrace.sources.workspace import materialize
 
@@ -257,10 +258,12 @@ def near_groups(
     text_col: str = "text",
     bands: int = BANDS,
     band_rows: int = BAND_ROWS,
+    row_col: str | None = None,
 ) -> DataFrame:
     """Group documents that are linked by a similarity of ``threshold`` or more.
 
-    One row per input row: ``doc_id``, ``row`` (its place in the input), ``class_id`` (the
+    One row per input row: ``doc_id``, ``row`` (its place in the input, or ``row_col``,
+    which must then be unique and the same at every reading), ``class_id`` (the
     smallest id in its group, its own if it is alone), ``class_size`` and ``kept`` (true for
     one row of each group).  Similarity is Jaccard's over shingles of five words (lower
     case), each once, or as often as it occurs if ``weighted``; texts shorter than a shingle
@@ -277,11 +280,9 @@ def near_groups(
     Every comparison is exact, on the whole sets.  Steps 3 and 4 deal a crowded bucket to
     many tasks.  All intermediate tables lie in the shared folder.
     """
-    source = materialize(
-        docs.select(col(id_col).alias("doc_id"), F.lower(col(text_col)).alias("text"))
-        .select("doc_id", "text", F.monotonically_increasing_id().alias("row")),
-        "near-texts",
-    )
+    if row_col is None:
+        docs, row_col = numbered_rows(docs.select(col(id_col), col(text_col)))
+    source = docs.select(col(id_col).alias("doc_id"), F.lower(col(text_col)).alias("text"), col(row_col).alias("row"))
     signed = materialize(
         source.select("row", "text").mapInArrow(_signed(weighted, bands, band_rows), SIGNED), "signatures"
     )
@@ -337,3 +338,11 @@ def near_groups(
     return members.join(best, "class").select(
         "doc_id", F.col("best.id").alias("class_id"), "class_size", (F.col("best.row") == F.col("row")).alias("kept"), "row"
     )
+
+
+def drop_near(docs: DataFrame, threshold: float = 0.8, **options) -> DataFrame:
+    """The documents without all but one row of each near-duplicate group, all columns as they are."""
+    numbered, row = numbered_rows(docs)
+    groups = near_groups(numbered, threshold, row_col=row, **options)
+    gone = groups.where("NOT kept").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").drop(row)
