@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, minhash, packing, pseudonyms, sharding, substrings, token_files, toxicity
+from millrace.llm import exact_dedup, minhash, packing, pieces, pseudonyms, sharding, substrings, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ SHARD_BYTES = 16 << 20
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document, at most 16 MiB of text each."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+@_query()
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every document, and the text decoded from them."""
+    return pieces.piece_digests(_table(spark, sf_dir, "documents"))
