@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, minhash, packing, pieces, pseudonyms, sharding, substrings, token_files, toxicity
+from millrace.llm import exact_dedup, hamming, minhash, packing, pieces, pseudonyms, sharding, substrings, token_files, toxicity
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SentencePiece ids of every document, and the text decoded from them."""
     return pieces.piece_digests(_table(spark, sf_dir, "documents"))
+
+
+@_query(hamming.nearest_sql(10))
+def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors, by sign code, of every hundredth vector."""
+    return hamming.nearest_vectors(_table(spark, sf_dir, "embeddings"), k=10)
