@@ -73,6 +73,48 @@ def merge_copies(df: DataFrame, key: Sequence[str], copies: str = "copies") -> D
     return merged.select(*keys, "_row.*", col(copies))
 
 
+def settle_copies(
+    df: DataFrame, key: Sequence[str], copies: str = "copies"
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(winners, losers, repeated)``: one row per key, the rows that lost, and the repeated keys.
+
+    Of rows that share a key the most complete one wins: nulls are compared first, in the
+    order of the columns, then values, smallest first.  ``winners`` carries the number of
+    rows it stands for; ``losers`` holds every row that differs from its winner, with its
+    number of occurrences; rows equal to their winner are merged.  Keys must not be null.
+
+    ``df`` is read more than once, so store it first.  Rows are counted by key alone, which
+    combines inside each task; only rows of repeated keys are compared, by an aggregate and
+    a join on the key whose crowded side the adaptive skew join splits.
+    """
+    keys = [col(k) for k in key]
+    rest = [c for c in df.columns if c not in key]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(copies)).where(col(copies) > 1)
+    repeated = materialize(counted, "repeated")
+    alone = F.lit(1).cast("bigint")
+    if repeated.isEmpty():
+        return df.withColumn(copies, alone), df.limit(0).withColumn("n_rows", alone), repeated
+    among = df.join(repeated.select(*keys), list(key), "left_semi")
+    order = [col(c).isNull().alias(f"n{i}") for i, c in enumerate(rest)]
+    place = F.struct(*order, *[col(c).alias(f"v{i}") for i, c in enumerate(rest)])
+    best = among.groupBy(*keys).agg(F.min(place).alias("_best"), F.count(F.lit(1)).alias(copies))
+    best = materialize(best, "winners")
+    won = best.select(*keys, *[F.col(f"_best.v{i}").alias(c) for i, c in enumerate(rest)], col(copies))
+    lost = among.join(best.select(*keys, "_best"), list(key)).where(~place.eqNullSafe(F.col("_best")))
+    losers = lost.groupBy(*[col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("n_rows"))
+    singles = df.join(repeated.select(*keys), list(key), "left_anti").withColumn(copies, alone)
+    return singles.select(*[col(c) for c in won.columns]).unionByName(won), losers, repeated
+
+
+def compare_loaded(rows: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Adds ``_state``: "new", "known" (the table holds the same values) or "changed"."""
+    rest = [c for c in rows.columns if c not in key and c in existing.columns]
+    held = existing.select(*[col(k) for k in key], F.struct(*[col(c) for c in rest]).alias("_held"))
+    same = F.col("_held").eqNullSafe(F.struct(*[col(c) for c in rest]))
+    state = F.when(F.col("_held").isNull(), "new").when(same, "known").otherwise("changed")
+    return rows.join(held, list(key), "left").withColumn("_state", state).drop("_held")
+
+
 def resolve_keys(children: DataFrame, parents: DataFrame, natural: str, key: str, as_name: str) -> DataFrame:
     """Replace the natural key of the children by the parent's key.
 

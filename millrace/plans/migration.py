@@ -6,12 +6,15 @@
 4. validate
 
 Each stage reads what the stage before wrote, and a load skips keys that are already
-there, so a run that died can simply be started again.
+there, so a run that died can simply be started again.  No row gets lost on the way: the
+counts of a run add up, for plants and for figures, to what was extracted.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +23,14 @@ from millrace.contract import GENERATION, PLANTS, TABLES, TableContract, text_sc
 from millrace.functions.clean import col, null_tokens, quoted
 from millrace.operators import stats
 from millrace.operators.checks import VIOLATIONS, with_violations
-from millrace.operators.keys import merge_copies, orphans, surrogate_key, unique_id, unique_violations
+from millrace.operators.keys import (
+    compare_loaded,
+    orphans,
+    settle_copies,
+    surrogate_key,
+    unique_id,
+    unique_violations,
+)
 from millrace.operators.reshape import (
     generation_unpivot,
     plants_transform,
@@ -29,10 +39,12 @@ from millrace.operators.reshape import (
 )
 from millrace.plans.pipeline import discard
 from millrace.sources.files import RAW_LINE, header_columns, ragged_sql, scan_csv
-from millrace.sources.tables import append, ensure_table, not_yet_loaded, read_table, stamp_new
+from millrace.sources.tables import append, ensure_table, read_table, stamp_new
 from millrace.sources.workspace import materialize
 
 NATURAL_KEY = "gppd_idnr"
+# Yearly columns that hold no figure.
+NOT_FIGURES = ("generation_data_source", "estimated_generation_note")
 NOT_RAGGED = "ragged_line IS NULL"
 
 
@@ -41,9 +53,17 @@ class Migration:
     """Files under ``source`` to ``power_plants`` and ``power_plant_generation`` under ``target``.
 
     ``source`` may also be a frame of text columns, such as rows a stream has staged.
-    What cannot be loaded goes to ``quarantine/*`` there, replaced by every run: ``rows``
-    (with their problems; a row with too many fields keeps its untouched line), ``figures``
-    (years that break a rule) and ``copies`` (natural keys that occur more than once).
+    What cannot be loaded goes to ``quarantine/*`` there, each run in a partition of its own:
+
+    * ``rows``: rows with their problems; one with too many fields keeps its untouched line
+    * ``figures``: years that break a rule
+    * ``orphans``: figures whose plant is in no table
+    * ``copies``: natural keys that occur more than once, with their number of rows
+    * ``conflicts``, ``figure_conflicts``: rows that lost against a more complete copy
+    * ``changed``, ``changed_figures``: rows that differ from what is loaded under their key
+
+    ``metrics`` counts rows: extracted plants are errors + broken + loaded + merged + conflicting
+    + known + changed, and extracted figures the same with orphans instead of errors.
     """
 
     spark: SparkSession
@@ -52,6 +72,7 @@ class Migration:
     encoding: str = "UTF-8"
     multi_line: bool = False
     metrics: dict[str, int] = field(default_factory=dict)
+    run_id: str = ""
 
     def path(self, table: str) -> str:
         return f"{self.target.rstrip('/')}/{table}"
@@ -61,6 +82,7 @@ class Migration:
 
     def run(self, dry_run: bool = False) -> dict[str, int]:
         """Run all stages; gives the row counts of the run."""
+        self.run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         seen = Observation("staged")
         typed = self._typed().observe(
             seen,
@@ -127,35 +149,57 @@ class Migration:
             f"ragged_line IS NULL AND reject_reason IS NULL AND size({VIOLATIONS}) = 0 AS loadable",
         )
 
+    def _settle(self, rows: DataFrame, contract: TableContract, label: str, conflicts: str, changed: str) -> DataFrame:
+        """New rows of the table, one per key; what else there was is counted and quarantined."""
+        key = list(contract.unique[0])
+        winners, losers, repeated = settle_copies(rows, key)
+        if label == "plants":
+            self._quarantine(repeated, "copies")
+        lost = self._quarantine_counted(losers, conflicts, "n_rows")
+        compared = materialize(compare_loaded(winners, self.table(contract), key), "compared", partition_by=["_state"])
+        count = {
+            r["_state"]: (r["n"], r["rows"])
+            for r in compared.groupBy("_state").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("rows")).collect()
+        }
+        self._quarantine(compared.where("_state = 'changed'").drop("_state", "copies"), changed)
+        total = sum(n for _, n in count.values())
+        self.metrics |= {
+            f"{label}_conflicting": lost,
+            f"{label}_merged": total - sum(n for n, _ in count.values()) - lost,
+            f"{label}_known": count.get("known", (0, 0))[0],
+            f"{label}_changed": count.get("changed", (0, 0))[0],
+        }
+        return compared.where("_state = 'new'").drop("_state")
+
     def _load_plants(self, loadable: DataFrame) -> int:
         rows = loadable.select(*[col(c) for c in PLANTS.loaded_columns])
-        existing = self.table(PLANTS)
-        new = not_yet_loaded(merge_copies(rows, [NATURAL_KEY]), existing, [NATURAL_KEY])
-        numbered = surrogate_key(new, [NATURAL_KEY], start_after=_last_id(existing))
-        self._quarantine(numbered.where("copies > 1").select(NATURAL_KEY, "copies"), "copies")
+        new = self._settle(rows, PLANTS, "plants", "conflicts", "changed").drop("copies")
+        numbered = surrogate_key(new, [NATURAL_KEY], start_after=_last_id(self.table(PLANTS)))
         return self._append(stamp_new(numbered), PLANTS)
 
     def _load_generation(self, staged: DataFrame) -> int:
-        # Ids are looked up on wide rows, which are fewer than the long ones.  The second
-        # shuffle, by plant and year, serves both the merge and the check against the table.
-        key = GENERATION.unique[0]
+        # Ids are looked up on wide rows, which are fewer than the long ones.
         ids = self.table(PLANTS).select(col(NATURAL_KEY), F.col("id").alias("power_plant_id"))
-        years = year_columns(staged)
-        has_text = f"coalesce({', '.join(quoted(c) for c in years)}) IS NOT NULL" if years else "false"
-        wide = staged.select(col(NATURAL_KEY), *[col(c) for c in years]).where(has_text)
-        long = generation_unpivot(wide.join(ids, NATURAL_KEY), keep=[NATURAL_KEY, "power_plant_id"])
-        broken = Observation("broken")
-        checked = with_violations(long, GENERATION).observe(
-            broken, F.count_if(F.size(VIOLATIONS) > 0).alias("n")
+        figures = [c for c in year_columns(staged) if not c.startswith(NOT_FIGURES)]
+        has_text = f"coalesce({', '.join(quoted(c) for c in figures)}) IS NOT NULL" if figures else "false"
+        wide = staged.select(col(NATURAL_KEY), *[col(c) for c in year_columns(staged)]).where(has_text)
+        long = generation_unpivot(wide.join(ids, NATURAL_KEY, "left"), keep=[NATURAL_KEY, "power_plant_id"])
+        state = f"CASE WHEN power_plant_id IS NULL THEN 'orphan' WHEN size({VIOLATIONS}) > 0 THEN 'broken' ELSE 'good' END"
+        seen = Observation("figures")
+        checked = with_violations(long, GENERATION).withColumn("_fate", F.expr(state)).observe(
+            seen,
+            F.count(F.lit(1)).alias("figures_extracted"),
+            F.count_if(F.col("_fate") == "orphan").alias("figures_orphaned"),
+            F.count_if(F.col("_fate") == "broken").alias("figures_broken"),
         )
-        good = checked.where(F.size(VIOLATIONS) == 0).drop(NATURAL_KEY, VIOLATIONS)
-        existing = self.table(GENERATION)
-        new = not_yet_loaded(merge_copies(good, key), existing, key)
-        loaded = self._append(unique_id(new, start_after=_last_id(existing)), GENERATION)
-        # Only worth a second pass when there are any.
-        figures = checked.where(F.size(VIOLATIONS) > 0) if broken.get["n"] else checked.limit(0)
-        self._quarantine(figures, "figures")
-        return loaded
+        checked = materialize(checked, "figures", partition_by=["_fate"])
+        self.metrics |= seen.get
+        values = checked.drop("_fate")
+        self._quarantine(values.where(F.col("_fate") == "orphan").drop("power_plant_id", VIOLATIONS), "orphans")
+        self._quarantine(values.where(F.col("_fate") == "broken"), "figures")
+        good = values.where(F.col("_fate") == "good").drop(NATURAL_KEY, VIOLATIONS)
+        new = self._settle(good, GENERATION, "figures", "figure_conflicts", "changed_figures").drop("copies")
+        return self._append(unique_id(new, start_after=_last_id(self.table(GENERATION))), GENERATION)
 
     def _append(self, df: DataFrame, contract: TableContract) -> int:
         written = Observation(contract.name)
@@ -164,7 +208,12 @@ class Migration:
         return written.get["n"]
 
     def _quarantine(self, df: DataFrame, reason: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(f"quarantine/{reason}"))
+        df.write.mode("overwrite").parquet(self.path(f"quarantine/{reason}/run={self.run_id}"))
+
+    def _quarantine_counted(self, df: DataFrame, reason: str, rows: str) -> int:
+        written = Observation(reason)
+        self._quarantine(df.observe(written, F.coalesce(F.sum(rows), F.lit(0)).alias("n")), reason)
+        return written.get["n"]
 
 
 def _last_id(existing: DataFrame) -> int:

@@ -38,11 +38,24 @@ def quarantine(job, reason):
     return job.spark.read.parquet(job.path(f"quarantine/{reason}"))
 
 
+def balanced(m):
+    plants = ("errors", "broken", *[f"plants_{x}" for x in ("loaded", "conflicting", "merged", "known", "changed")])
+    figures = [f"figures_{x}" for x in ("orphaned", "broken", "conflicting", "merged", "known", "changed")]
+    return (
+        sum(m[x] for x in plants) == m["plants_extracted"]
+        and sum(m[x] for x in figures) + m["generation_records"] == m["figures_extracted"]
+    )
+
+
 def test_run_twice(job):
     first = job.run()
     assert first == {
         "plants_extracted": 8, "errors": 2, "broken": 1, "plants_loaded": 4, "generation_records": 3,
+        "plants_conflicting": 1, "plants_merged": 0, "plants_known": 0, "plants_changed": 0,
+        "figures_extracted": 9, "figures_orphaned": 4, "figures_broken": 1,
+        "figures_conflicting": 1, "figures_merged": 0, "figures_known": 0, "figures_changed": 0,
     }
+    assert balanced(first)
     plants = job.table(PLANTS)
     assert rows_of(plants, "id", "gppd_idnr", "capacity_mw") == [
         (1, "P1", Decimal("12.00")),
@@ -65,7 +78,9 @@ def test_run_twice(job):
     assert bad[None].violations == ["capacity_positive"]
 
     second = job.run()
-    assert second["plants_loaded"] == second["generation_records"] == 0
+    assert second["plants_loaded"] == second["generation_records"] == 0 and balanced(second)
+    assert (second["plants_known"], second["figures_known"]) == (4, 3)
+    assert quarantine(job, "copies").where("copies = 2").count() == 2  # one row for each run
     assert job.table(PLANTS).count() == 4 and job.table(GENERATION).count() == 3
 
 
@@ -150,3 +165,25 @@ def test_detail_of_one_plant_reads_only_its_figures(job):
     plan = detail._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(id,1)" in plan and "EqualTo(power_plant_id,1)" in plan
     assert [g.year for g in detail.collect()[0].generation] == [2013, 2014]
+
+
+def test_a_figure_wins_over_a_missing_one(spark, tmp_path):
+    lines = ["FRA,France,a,A1,5,1,2,Wind,,,100,,,,", "FRA,France,a,A1,5,1,2,Wind,,,,,90,M,", "FRA,France,a,A1,5,1,2,Wind,,,100,,,,"]
+    (tmp_path / "c.csv").write_text("\n".join([HEADER, *lines]))
+    job = Migration(spark, str(tmp_path / "c.csv"), str(tmp_path / "out"))
+    done = job.run()
+    assert balanced(done) and (done["plants_merged"], done["figures_merged"], done["figures_conflicting"]) == (2, 1, 1)
+    assert rows_of(job.table(GENERATION), "generation_gwh", "estimated_generation_gwh") == [(Decimal("100.00"), None)]
+    lost = quarantine(job, "figure_conflicts")
+    assert rows_of(lost, "generation_gwh", "estimated_generation_gwh", "n_rows") == [(None, Decimal("90.00"), 1)]
+
+
+def test_changed_rows_are_reported(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\nFRA,France,a,A1,30,1,2,Wind,,,7,,,,\n")
+    (tmp_path / "b.csv").write_text(f"{HEADER}\nFRA,France,a,A1,555,1,2,Wind,,,9,,,,\n")
+    Migration(spark, str(tmp_path / "a.csv"), str(tmp_path / "out")).run()
+    job = Migration(spark, str(tmp_path / "b.csv"), str(tmp_path / "out"))
+    done = job.run()
+    assert balanced(done) and (done["plants_changed"], done["figures_changed"]) == (1, 1)
+    assert rows_of(quarantine(job, "changed"), "gppd_idnr", "capacity_mw") == [("A1", Decimal("555.00"))]
+    assert rows_of(quarantine(job, "changed_figures"), "year", "generation_gwh") == [(2013, Decimal("9.00"))]
