@@ -12,6 +12,7 @@ from millrace.functions.geo import RadiusGrid, bounding_box, great_circle_km
 from millrace.operators.paging import clamp_limit
 
 DEFAULT_RADIUS_KM = 100.0
+# The columns of a nearby plant.
 NEARBY_COLUMNS = (
     "id",
     "gppd_idnr",
@@ -44,15 +45,20 @@ def nearby(
     radius_km: float | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Nearest plants strictly inside the radius, nearest first.
+    """Nearest plants strictly inside the radius, nearest first: 20, or ``limit`` up to 100.
 
-    The circle's bounding box is a plain range on the stored columns, which reaches the
+    The bounds are those of a request; `within_radius` gives all plants.  The circle's bounding box is a plain range on the stored columns, which reaches the
     parquet scan; the distance is computed only for what is left.
     """
+    k = clamp_limit(limit, 20, 100)
+    return within_radius(plants, lat, lng, radius_km).orderBy("distance_km", "id").limit(k)
+
+
+def within_radius(plants: DataFrame, lat: float, lng: float, radius_km: float | None = None) -> DataFrame:
+    """All plants strictly inside the radius, in no order."""
     if lat != lat or lng != lng:
         raise ValueError("coordinates must be numbers")
     radius = _radius(radius_km)
-    k = clamp_limit(limit, 20, 100)
     south, north, west, east = bounding_box(lat, lng, radius)
     box = col("latitude").between(_micro(south, ROUND_FLOOR), _micro(north, ROUND_CEILING))
     if west is not None:
@@ -62,8 +68,6 @@ def nearby(
         plants.where(box)
         .select(*[col(c) for c in NEARBY_COLUMNS], distance.alias("distance_km"))
         .where(F.col("distance_km") < radius)
-        .orderBy("distance_km", "id")
-        .limit(k)
     )
 
 
@@ -104,15 +108,19 @@ def nearest_join(
     limit: int | None = None,
     centre_id: str = "centre_id",
 ) -> DataFrame:
-    """The nearest plants of every centre inside the radius, ranked.
+    """The nearest plants of every centre inside the radius, ranked; all of them without ``limit``.
 
     Plants at one and the same point are equally far from any centre, so only the first k
     of them can be among a centre's k nearest: a crowded point is trimmed before the join.
     Spark also trims each task's pairs to the k best per centre before the shuffle.
     """
-    k = clamp_limit(limit, 20, 100)
+    nearest = Window.partitionBy(col(centre_id)).orderBy("distance_km", "id")
+    rank = F.row_number().over(nearest)
+    if limit is None:
+        return nearby_join(centres, plants, radius_km, centre_id).withColumn("rank", rank)
+    if limit < 1:
+        raise ValueError("limit must be positive")
     here = Window.partitionBy("latitude", "longitude").orderBy("id")
-    candidates = plants.withColumn("_place", F.row_number().over(here)).where(F.col("_place") <= k)
+    candidates = plants.withColumn("_place", F.row_number().over(here)).where(F.col("_place") <= limit)
     pairs = nearby_join(centres, candidates.drop("_place"), radius_km, centre_id)
-    nearest = Window.partitionBy(col(centre_id)).orderBy("distance_km", "id")
-    return pairs.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= k)
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= limit)

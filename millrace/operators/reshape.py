@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -81,6 +82,12 @@ def year_columns(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c.startswith(("generation_", "estimated_generation_"))]
 
 
+def figure_years(columns: Iterable[str]) -> list[int]:
+    """The years for which a file carries a figure, from its header."""
+    found = (re.fullmatch(r"(?:estimated_)?generation_gwh_(\d+)", c) for c in columns)
+    return sorted({int(m[1]) for m in found if m})
+
+
 def generation_unpivot(
     raw: DataFrame,
     years: Iterable[int] = GENERATION_YEARS,

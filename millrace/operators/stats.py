@@ -52,17 +52,25 @@ def summary(plants: DataFrame) -> DataFrame:
 
 
 def by_country(plants: DataFrame, limit: int | None = None) -> DataFrame:
-    """Countries by total capacity, 20 by default and 200 at most."""
+    """Countries by total capacity: the largest 20, or ``limit`` up to 200, as a request bounds it.
+
+    `all_countries` gives every one.
+    """
     k = clamp_limit(limit, 20, 200)
+    ordering = [F.col("total_capacity_mw").desc_nulls_first(), "country_code", "country"]
+    return all_countries(plants).orderBy(*ordering).limit(k)
+
+
+def all_countries(plants: DataFrame) -> DataFrame:
+    """Every country with count, capacity and number of fuels."""
     cells = capacity_cells(plants, "country_code", "country", "primary_fuel")
-    grouped = cells.groupBy("country_code", "country").agg(
+    return cells.groupBy("country_code", "country").agg(
         F.sum("n").alias("plant_count"),
         _total_mw().alias("total_capacity_mw"),
         (_total_mw() / 1000).alias("total_capacity_gw"),
         _mean_mw().alias("avg_capacity_mw"),
         F.count("primary_fuel").alias("fuel_diversity"),
     )
-    return grouped.orderBy(F.col("total_capacity_mw").desc_nulls_first(), "country_code", "country").limit(k)
 
 
 def by_fuel(plants: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import GENERATION, PLANTS, TABLES, TableContract, text_schema
+from millrace.contract import GENERATION, GENERATION_YEARS, PLANTS, TABLES, TableContract, text_schema
 from millrace.functions.clean import col, null_tokens, quoted
 from millrace.operators import stats
 from millrace.operators.checks import VIOLATIONS, with_violations
@@ -32,13 +32,14 @@ from millrace.operators.keys import (
     unique_violations,
 )
 from millrace.operators.reshape import (
+    figure_years,
     generation_unpivot,
     plants_transform,
     with_reject_reason,
     year_columns,
 )
 from millrace.plans.pipeline import discard
-from millrace.sources.files import RAW_LINE, header_columns, ragged_sql, scan_csv
+from millrace.sources.files import RAW_LINE, header_columns, odd_quotes_sql, ragged_sql, scan_csv
 from millrace.sources.tables import append, ensure_table, read_table, stamp_new
 from millrace.sources.workspace import materialize
 
@@ -92,7 +93,7 @@ class Migration:
         )
         if dry_run:
             figures = Observation("figures")
-            long = generation_unpivot(typed.where(NOT_RAGGED))
+            long = generation_unpivot(typed.where(NOT_RAGGED), figure_years(typed.columns) or GENERATION_YEARS)
             discard(long.observe(figures, F.count(F.lit(1)).alias("figures")))
             self.metrics = seen.get | figures.get
             return self.metrics
@@ -121,7 +122,9 @@ class Migration:
     def _text(self) -> DataFrame:
         """All-text rows with missing values blanked, and the line of a row with too many fields."""
         if isinstance(self.source, DataFrame):
-            return null_tokens(self.source).selectExpr("*", "CAST(NULL AS string) AS ragged_line")
+            names = [c for c in self.source.columns if c != RAW_LINE]
+            line = f"CASE WHEN {ragged_sql(len(names))} THEN {RAW_LINE} END" if RAW_LINE in self.source.columns else "CAST(NULL AS string)"
+            return null_tokens(self.source, names).selectExpr(*[quoted(c) for c in names], f"{line} AS ragged_line")
         columns = header_columns(self.spark, self.source, self.encoding)
         scan = scan_csv(
             self.spark,
@@ -144,7 +147,8 @@ class Migration:
             *PLANTS.loaded_columns,
             *carried,
             "ragged_line",
-            "CASE WHEN ragged_line IS NOT NULL THEN 'too many fields' ELSE reject_reason END AS reject_reason",
+            f"CASE WHEN {odd_quotes_sql('ragged_line')} THEN 'unbalanced quotes' "
+            "WHEN ragged_line IS NOT NULL THEN 'too many fields' ELSE reject_reason END AS reject_reason",
             VIOLATIONS,
             f"ragged_line IS NULL AND reject_reason IS NULL AND size({VIOLATIONS}) = 0 AS loadable",
         )
@@ -180,10 +184,11 @@ class Migration:
     def _load_generation(self, staged: DataFrame) -> int:
         # Ids are looked up on wide rows, which are fewer than the long ones.
         ids = self.table(PLANTS).select(col(NATURAL_KEY), F.col("id").alias("power_plant_id"))
+        years = figure_years(staged.columns) or GENERATION_YEARS
         figures = [c for c in year_columns(staged) if not c.startswith(NOT_FIGURES)]
         has_text = f"coalesce({', '.join(quoted(c) for c in figures)}) IS NOT NULL" if figures else "false"
         wide = staged.select(col(NATURAL_KEY), *[col(c) for c in year_columns(staged)]).where(has_text)
-        long = generation_unpivot(wide.join(ids, NATURAL_KEY, "left"), keep=[NATURAL_KEY, "power_plant_id"])
+        long = generation_unpivot(wide.join(ids, NATURAL_KEY, "left"), keep=[NATURAL_KEY, "power_plant_id"], years=years)
         state = f"CASE WHEN power_plant_id IS NULL THEN 'orphan' WHEN size({VIOLATIONS}) > 0 THEN 'broken' ELSE 'good' END"
         seen = Observation("figures")
         checked = with_violations(long, GENERATION).withColumn("_fate", F.expr(state)).observe(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import FUELS, GENERATION, PLANTS, text_schema
+from millrace.contract import ESTIMATE_YEARS, FUELS, GENERATION, PLANTS, text_schema
 from millrace.functions import clean
 from millrace.functions.clean import col, null_tokens
 from millrace.operators import checks, keys, reshape, stats
@@ -24,7 +24,7 @@ from millrace.plans.standin import (
 )
 from millrace.sources import files, tables
 from millrace.sources.workspace import materialize, new_path
-from millrace.streaming.ingest import ingest_available, staged_rows
+from millrace.streaming.ingest import ingest_available, staged_batches, staged_quarantine, staged_rows
 
 # -- files -----------------------------------------------------------------------
 
@@ -76,23 +76,36 @@ _LINE_SQL = """SELECT CAST(p_partkey AS VARCHAR) || ',' ||
     ',' || p_brand AS raw_line, p_size FROM part"""
 
 
-@query("csv_quarantine", f"SELECT raw_line FROM ({_LINE_SQL}) WHERE p_size > 25")
-def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names with a bare comma make a row too long; quoted commas do not."""
-    lines = standin.table(spark, sf_dir, "part").selectExpr(
+def _part_lines(spark: SparkSession, sf_dir: str) -> str:
+    path = new_path(spark, "ragged-csv")
+    standin.table(spark, sf_dir, "part").selectExpr(
         """concat(p_partkey, ',',
              CASE WHEN p_size > 25 THEN concat(p_type, ', ', p_name)
                   WHEN p_size > 10 THEN concat('"', p_type, ', ', p_name, '"') ELSE p_name END,
              ',', p_brand) AS value"""
-    )
-    path = new_path(spark, "ragged-csv")
-    lines.write.text(path)
+    ).write.text(path)
+    return path
+
+
+@query("csv_quarantine", f"SELECT raw_line FROM ({_LINE_SQL}) WHERE p_size > 25")
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with a bare comma make a row too long; quoted commas do not."""
+    path = _part_lines(spark, sf_dir)
     schema = text_schema(["part_key", "name", "brand"])
     scanned = files.scan_csv(spark, path, schema, header=False, keep_raw_line=True)
     _, quarantine = files.split_ragged(materialize(scanned, "scanned"))
     return quarantine
 
 
+@query("ingest_quarantine", f"SELECT raw_line FROM ({_LINE_SQL}) WHERE p_size > 25")
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ragged lines arriving as a stream."""
+    staging, checkpoint = (new_path(spark, n) for n in ("staging", "checkpoint"))
+    schema = text_schema(["part_key", "name", "brand"])
+    ingest_available(spark, _part_lines(spark, sf_dir), schema, staging, checkpoint, header=False)
+    return staged_quarantine(spark, staging, schema)
+
+
 # -- cleaning --------------------------------------------------------------------
 
 
@@ -229,7 +242,8 @@ _UNPIVOT_SQL = """SELECT c_name AS gppd_idnr, year, CAST(generation_gwh AS DOUBL
 
 @query("generation_unpivot", with_views(_UNPIVOT_SQL, GENERATION_CTE))
 def generation_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(reshape.generation_unpivot(standin.raw_wide(spark, sf_dir)))
+    """The file lacks the last two years of estimates, as the real one does."""
+    return plain(reshape.generation_unpivot(standin.raw_wide(spark, sf_dir, ESTIMATE_YEARS)))
 
 
 # -- contract --------------------------------------------------------------------
@@ -533,7 +547,8 @@ _MIGRATION_SQL = with_views(
     FROM tagged t LEFT JOIN (
       SELECT gppd_idnr, count(*) AS n_years, CAST(sum(CAST(generation_gwh AS DECIMAL(12,2))) AS DOUBLE) AS reported,
         CAST(sum(CAST(estimated_generation_gwh AS DECIMAL(12,2))) AS DOUBLE) AS estimated
-      FROM ({_UNPIVOT_SQL}) GROUP BY gppd_idnr) g ON g.gppd_idnr = t.gppd_idnr
+      FROM (SELECT *, c_name AS gppd_idnr FROM generation JOIN customer ON c_custkey = power_plant_id)
+      GROUP BY gppd_idnr) g ON g.gppd_idnr = t.gppd_idnr
     WHERE t.reject_reason IS NULL AND t.capacity_mw > 0""",
     TYPED_CTE,
     GENERATION_CTE,
@@ -576,8 +591,8 @@ def migration_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = text_schema(wide.columns)
     for _ in range(2):
         wide.write.mode("append").options(header="true", quote='"', escape='"').csv(landing)
-        ingest_available(spark, landing, schema, staging, checkpoint)
-        job = Migration(spark, staged_rows(spark, staging, schema, ["gppd_idnr"]), target)
+        batches = ingest_available(spark, landing, schema, staging, checkpoint)
+        job = Migration(spark, staged_batches(spark, staging, schema, batches), target)
         job.run()
     return _loaded(job)
 
@@ -590,8 +605,7 @@ def migration_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM (
       SELECT l_orderkey, CAST(year(l_shipdate) + {standin.YEAR_SHIFT} AS INTEGER) AS year,
         sum(CAST(l_extendedprice AS DECIMAL(12,2))) FILTER (WHERE l_returnflag <> 'N') AS reported,
-        sum(CAST(l_extendedprice AS DECIMAL(12,2))) FILTER (WHERE l_returnflag = 'N' AND
-          year(l_shipdate) + {standin.YEAR_SHIFT} <= 2017) AS estimated
+        sum(CAST(l_extendedprice AS DECIMAL(12,2))) FILTER (WHERE l_returnflag = 'N') AS estimated
       FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2)
     WHERE reported IS NOT NULL OR estimated IS NOT NULL GROUP BY year""",
 )
@@ -602,3 +616,90 @@ def migration_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = Migration(spark, source, new_path(spark, "tables"))
     job.run()
     return stats.generation_trends(job.table(GENERATION))
+
+
+_DELIVERED = """delivered AS (
+  SELECT gppd_idnr, capacity_mw, CASE WHEN reject_reason IS NULL AND capacity_mw > 0 THEN 'good'
+    WHEN reject_reason IS NULL THEN 'broken' ELSE 'error' END AS fate FROM tagged)"""
+
+
+def _redelivery(spark: SparkSession, sf_dir: str) -> tuple[Migration, list[dict[str, int]]]:
+    """A delivery, and a second one: as it was, with other owners, and every row twice."""
+    wide = materialize(standin.raw_wide(spark, sf_dir), "wide")
+    every = wide.select([c for c in wide.columns if c != "owner"] + ["owner"])
+    changed = every.withColumn("owner", F.when(F.col("gppd_idnr").endswith("3"), F.lit("new owner")).otherwise(F.col("owner")))
+    target, counts = new_path(spark, "tables"), []
+    for rows in (every, changed.union(changed)):
+        job = Migration(spark, rows, target)
+        counts.append(job.run())
+    return job, counts
+
+
+@query(
+    "migration_changed",
+    with_views(
+        """SELECT gppd_idnr, 'new owner' AS owner FROM tagged
+        WHERE reject_reason IS NULL AND capacity_mw > 0 AND gppd_idnr LIKE '%3'""",
+        TYPED_CTE,
+    ),
+)
+def migration_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a second delivery that differ from what is loaded: reported, not dropped."""
+    job, _ = _redelivery(spark, sf_dir)
+    return spark.read.parquet(job.path("quarantine/changed")).select("gppd_idnr", "owner")
+
+
+@query(
+    "migration_accounting",
+    with_views(
+        """SELECT 'plants_extracted' AS metric, 2 * count(*) AS n FROM delivered
+        UNION ALL SELECT 'errors', 2 * count(*) FILTER (WHERE fate = 'error') FROM delivered
+        UNION ALL SELECT 'broken', 2 * count(*) FILTER (WHERE fate = 'broken') FROM delivered
+        UNION ALL SELECT 'plants_merged', count(*) FILTER (WHERE fate = 'good') FROM delivered
+        UNION ALL SELECT 'plants_changed', count(*) FILTER (WHERE fate = 'good' AND gppd_idnr LIKE '%3') FROM delivered
+        UNION ALL SELECT 'plants_known', count(*) FILTER (WHERE fate = 'good' AND gppd_idnr NOT LIKE '%3') FROM delivered
+        UNION ALL SELECT 'figures_extracted', 2 * count(*) FROM generation
+        UNION ALL SELECT 'figures_orphaned', 2 * count(*) FILTER (WHERE fate <> 'good')
+          FROM generation JOIN customer ON c_custkey = power_plant_id JOIN delivered ON gppd_idnr = c_name
+        UNION ALL SELECT 'figures_known', count(*) FILTER (WHERE fate = 'good')
+          FROM generation JOIN customer ON c_custkey = power_plant_id JOIN delivered ON gppd_idnr = c_name""",
+        TYPED_CTE,
+        _DELIVERED,
+        GENERATION_CTE,
+    ),
+)
+def migration_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the second delivery, which add up to what it held."""
+    _, counts = _redelivery(spark, sf_dir)
+    shown = (
+        "plants_extracted errors broken plants_merged plants_changed plants_known figures_extracted "
+        "figures_orphaned figures_known"
+    ).split()
+    return _metrics(spark, {k: counts[1][k] for k in shown})
+
+
+@query(
+    "migration_copies",
+    with_views(
+        """SELECT t.gppd_idnr, CAST(2 AS BIGINT) AS copies, g.year, CAST(g.generation_gwh AS DOUBLE) AS kept,
+          CAST(g.generation_gwh + 1 AS DOUBLE) AS lost
+        FROM tagged t JOIN customer ON c_name = t.gppd_idnr JOIN generation g ON g.power_plant_id = customer.c_custkey
+        WHERE t.reject_reason IS NULL AND t.capacity_mw > 0 AND g.generation_gwh IS NOT NULL""",
+        TYPED_CTE,
+        GENERATION_CTE,
+    ),
+)
+def migration_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row delivered twice, the copy with other reported figures: one wins, one is kept aside."""
+    wide = materialize(standin.raw_wide(spark, sf_dir), "wide")
+    names = [c for c in wide.columns if c.startswith("generation_gwh_")]
+    copy = wide.withColumns({c: (col(c).cast("decimal(12,2)") + 1).cast("string") for c in names})
+    job = Migration(spark, wide.union(copy.select(wide.columns)), new_path(spark, "tables"))
+    job.run()
+    lost = spark.read.parquet(job.path("quarantine/figure_conflicts"))
+    copies = spark.read.parquet(job.path("quarantine/copies")).select("gppd_idnr", "copies")
+    plants = job.table(PLANTS).select(col("id").alias("power_plant_id"), "gppd_idnr")
+    loaded = job.table(GENERATION).select("power_plant_id", "year", col("generation_gwh").alias("kept"))
+    pairs = loaded.join(lost.select("power_plant_id", "year", col("generation_gwh").alias("lost")), ["power_plant_id", "year"])
+    named = pairs.join(plants, "power_plant_id").join(copies, "gppd_idnr")
+    return plain(named.select("gppd_idnr", "copies", "year", "kept", "lost"))

@@ -391,13 +391,14 @@ def plant_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
         "year",
         col("generation_gwh").alias("reported"),
         col("estimated_generation_gwh").alias("estimated"),
+        "estimation_method",
     )
     return keys.nest(
         standin.plants(spark, sf_dir),
         figures,
         key="id",
         child_key="power_plant_id",
-        columns=["year", "reported", "estimated"],
+        columns=["year", "reported", "estimated", "estimation_method"],
         order_by="year",
         name="generation",
     )
@@ -407,7 +408,7 @@ def plant_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     "plant_detail_flat",
     with_views(
         """SELECT p.id, p.name, g.year, CAST(g.generation_gwh AS DOUBLE) AS reported,
-          CAST(g.estimated_generation_gwh AS DOUBLE) AS estimated,
+          CAST(g.estimated_generation_gwh AS DOUBLE) AS estimated, g.estimation_method,
           CASE WHEN g.year IS NOT NULL THEN
             CAST(row_number() OVER (PARTITION BY p.id ORDER BY g.year) - 1 AS INTEGER) END AS place
         FROM plants p LEFT JOIN generation g ON g.power_plant_id = p.id""",
@@ -418,7 +419,8 @@ def plant_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def plant_detail_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nested detail taken apart again, with each figure's place in its array."""
     nested = plant_detail(spark, sf_dir).select("id", "name", F.posexplode_outer("generation"))
-    return plain(nested.select("id", "name", "col.year", "col.reported", "col.estimated", col("pos").alias("place")))
+    figures = ["col.year", "col.reported", "col.estimated", "col.estimation_method"]
+    return plain(nested.select("id", "name", *figures, col("pos").alias("place")))
 
 
 # -- geography -------------------------------------------------------------------
@@ -503,6 +505,22 @@ def nearest_per_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("centre_id", "id", "rank")
 
 
+@query(
+    "nearest_all",
+    with_views(
+        f"""SELECT centre_id, id, rank FROM (
+          SELECT centre_id, id, CAST(row_number() OVER (PARTITION BY centre_id ORDER BY d, id) AS INTEGER) AS rank
+          FROM ({_PAIRS_SQL}) WHERE d < 6000) WHERE rank <= 150""",
+        PLANTS_CTE,
+    ),
+)
+def nearest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More neighbours than a request may ask for."""
+    plants = standin.plants(spark, sf_dir).select("id", "latitude", "longitude")
+    ranked = proximity.nearest_join(_centres(spark, sf_dir), plants, 6000, limit=150)
+    return ranked.select("centre_id", "id", "rank")
+
+
 # -- labels ----------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import ESTIMATE_YEARS, FUELS, GENERATION_YEARS
+from millrace.contract import FUELS, GENERATION_YEARS
 
 YEAR_SHIFT = 18
 
@@ -111,11 +111,8 @@ def raw_plants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customers(spark, sf_dir).selectExpr(*[f"{e} AS {c}" for c, e in _RAW.items()])
 
 
-def _wide(keyed: DataFrame, key: str, figures: DataFrame) -> DataFrame:
-    """Raw rows joined with their yearly figures as text columns, one set per row.
-
-    Estimates of the last two years are left out, as in the real file.
-    """
+def _wide(keyed: DataFrame, key: str, figures: DataFrame, estimates: tuple[int, ...]) -> DataFrame:
+    """Raw rows joined with their yearly figures as text columns, one set per row."""
 
     def yearly(measure: str, years: tuple[int, ...]) -> list[Column]:
         return [
@@ -127,21 +124,21 @@ def _wide(keyed: DataFrame, key: str, figures: DataFrame) -> DataFrame:
         ]
 
     wide = figures.groupBy("power_plant_id").agg(
-        *yearly("generation_gwh", GENERATION_YEARS), *yearly("estimated_generation_gwh", ESTIMATE_YEARS)
+        *yearly("generation_gwh", GENERATION_YEARS), *yearly("estimated_generation_gwh", estimates)
     )
     joined = keyed.join(wide, F.col(key) == F.col("power_plant_id"), "left")
     notes = [
         f"""CASE WHEN estimated_generation_gwh_{y} IS NOT NULL THEN 'CAPACITY-FACTOR-V1' END
         AS estimated_generation_note_{y}"""
-        for y in ESTIMATE_YEARS
+        for y in estimates
     ]
     return joined.selectExpr("*", "'orders' AS generation_data_source", *notes).drop(key, "power_plant_id")
 
 
-def raw_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text rows with reported 2013..2019 and estimated 2013..2017; one per customer."""
+def raw_wide(spark: SparkSession, sf_dir: str, estimates: tuple[int, ...] = GENERATION_YEARS) -> DataFrame:
+    """Raw text rows with reported 2013..2019 and the given years of estimates; one per customer."""
     keyed = _customers(spark, sf_dir).selectExpr("c_custkey", *[f"{e} AS {c}" for c, e in _RAW.items()])
-    return _wide(keyed, "c_custkey", order_figures(spark, sf_dir))
+    return _wide(keyed, "c_custkey", order_figures(spark, sf_dir), estimates)
 
 
 _RAW_ORDER = {
@@ -166,7 +163,7 @@ def raw_wide_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN l_returnflag <> 'N' THEN CAST(l_extendedprice AS decimal(12,2)) END AS generation_gwh",
         "CASE WHEN l_returnflag = 'N' THEN CAST(l_extendedprice AS decimal(12,2)) END AS estimated_generation_gwh",
     )
-    return _wide(keyed, "o_orderkey", figures)
+    return _wide(keyed, "o_orderkey", figures, GENERATION_YEARS)
 
 
 # The same views for the oracle.  Names: plants, order_figures, generation, raw.

@@ -56,13 +56,21 @@ def header_columns(spark: SparkSession, path: str, encoding: str = "UTF-8") -> l
 
 
 def ragged_sql(n_columns: int) -> str:
-    """True for a scanned row with more fields than the header; never null.
+    """True for a scanned row with more fields than the header or an open quote; never null.
 
     A shorter row is not ragged: its missing tail reads as null, as the source rules say.
-    Fields are counted after dropping quoted parts, whose commas do not separate.
+    A quoted line break read without ``multi_line`` leaves two lines with an odd number of
+    quotes each; both are ragged, unless the break is in the last column, whose first half
+    has all its fields and cannot be told from a whole row.  Fields are counted after dropping quoted parts, whose commas do not separate.
     """
     unquoted = f"""regexp_replace({RAW_LINE}, r'"([^"]|"")*"', '')"""
-    return f"({RAW_LINE} IS NOT NULL AND size(split({unquoted}, ',', -1)) > {n_columns})"
+    too_many = f"size(split({unquoted}, ',', -1)) > {n_columns}"
+    return f"({RAW_LINE} IS NOT NULL AND ({too_many} OR {odd_quotes_sql(RAW_LINE)}))"
+
+
+def odd_quotes_sql(column: str) -> str:
+    """True for text with an odd number of quotes; never null."""
+    return f"coalesce(length(regexp_replace({column}, '[^\"]', '')) % 2 = 1, false)"
 
 
 def split_ragged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:

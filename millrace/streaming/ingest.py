@@ -1,20 +1,22 @@
 """Batch-at-a-time ingest as a stream over a landing folder.
 
 The stream only parses and stages (its checkpoint remembers which files were taken, so
-a restart neither skips nor repeats one).  Removing repeated keys is a batch step over
-the staged rows, which keeps the stream free of state that would grow with the data.
+a restart neither skips nor repeats one).  Every batch is a partition of the staging
+folder, written whole, so a repeated batch replaces itself and later steps can read new
+batches alone.  Removing repeated keys is a batch step over the staged rows, which keeps
+the stream free of state that would grow with the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.clean import null_tokens
-from millrace.operators.keys import keep_first
-from millrace.sources.files import csv_options
+from millrace.functions.clean import col, null_tokens
+from millrace.sources.files import RAW_LINE, csv_options, ragged_sql
 
 
 def ingest_available(
@@ -24,27 +26,71 @@ def ingest_available(
     staging: str,
     checkpoint: str,
     files_per_batch: int = 1000,
-) -> None:
-    """Stage every file that arrived since the last call, in batches, then stop."""
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+    header: bool = True,
+) -> list[int]:
+    """Stage every file that arrived since the last call, in batches, then stop.
+
+    Gives the numbers of the batches it staged.  A row that does not fit the schema keeps
+    its raw line.
+    """
+    with_line = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType(), True)])
     arriving = (
-        spark.readStream.schema(schema)
-        .options(**csv_options())
+        spark.readStream.schema(with_line)
+        .options(**csv_options(encoding, multi_line, header))
+        .option("columnNameOfCorruptRecord", RAW_LINE)
+        .option("columnPruning", "false")
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(landing)
     )
+    staged: list[int] = []
+
+    def stage(batch: DataFrame, number: int) -> None:
+        null_tokens(batch, schema.names).write.mode("overwrite").parquet(f"{staging}/batch={number}")
+        staged.append(number)
+
     query = (
-        null_tokens(arriving)
-        .writeStream.format("parquet")
-        .option("path", staging)
+        arriving.writeStream.foreachBatch(stage)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    return staged
+
+
+def _staged(spark: SparkSession, staging: str, schema: T.StructType) -> DataFrame:
+    fields = [*schema.fields, T.StructField(RAW_LINE, T.StringType(), True), T.StructField("batch", T.LongType(), True)]
+    return spark.read.schema(T.StructType(fields)).parquet(staging)
+
+
+def staged_batches(spark: SparkSession, staging: str, schema: T.StructType, batches: Iterable[int]) -> DataFrame:
+    """All rows of the given batches, with the raw line of those that did not fit.
+
+    Other batches are pruned, so the cost does not grow with what was staged before.
+    """
+    wanted = list(batches)
+    if not wanted:
+        fields = [*schema.fields, T.StructField(RAW_LINE, T.StringType(), True)]
+        return spark.createDataFrame([], T.StructType(fields))
+    return _staged(spark, staging, schema).where(F.col("batch").isin(wanted)).drop("batch")
 
 
 def staged_rows(spark: SparkSession, staging: str, schema: T.StructType, key: Sequence[str]) -> DataFrame:
-    """Staged rows with one row per key."""
-    staged = spark.read.schema(schema).parquet(staging)
+    """Staged rows with one row per key: of the newest delivery, the smallest by the other columns.
+
+    The rank filter is applied before the shuffle too, so a key that holds a third of the
+    rows sends at most one row per task.
+    """
     rest = [c for c in schema.names if c not in key]
-    return keep_first(staged, key, rest)
+    newest = [F.col("batch").desc(), *[col(c).asc_nulls_last() for c in rest]]
+    rank = Window.partitionBy(*[col(k) for k in key]).orderBy(*newest)
+    fitting = _staged(spark, staging, schema).where(f"NOT {ragged_sql(len(schema.names))}")
+    return fitting.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").select(*[col(c) for c in schema.names])
+
+
+def staged_quarantine(spark: SparkSession, staging: str, schema: T.StructType) -> DataFrame:
+    """The untouched lines of staged rows with too many fields or an open quote."""
+    ragged = _staged(spark, staging, schema).where(ragged_sql(len(schema.names)))
+    return ragged.select(col(RAW_LINE).alias("raw_line"))
