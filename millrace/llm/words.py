@@ -58,11 +58,12 @@ class Words:
         import pyarrow.compute as pc
 
         array = pc.fill_null(array.cast(pa.large_string()), "")
-        if array.offset:
-            array = pa.concat_arrays([array])
-        offsets = np.frombuffer(array.buffers()[1], np.int64)[: len(array) + 1]
+        offsets = np.zeros(1, np.int64)
+        if len(array):
+            offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
         data = array.buffers()[2]
-        self.raw = np.frombuffer(data, np.uint8)[: offsets[-1]] if data is not None and len(array) else np.empty(0, np.uint8)
+        self.raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8)
+        offsets = offsets - offsets[0]
         edges = np.unique(offsets) if len(array) else np.empty(0, np.int64)
         first, last, hashed = [], [], []
         space = SPACE[self.raw]
