@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,13 +14,16 @@ from pyspark.sql import functions as F
 from millrace.contract import FUELS
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, all_of, contains_text, where_all
-from millrace.operators.keys import surrogate_key
 
 DEFAULT_PAGE_SIZE = 20
 MAX_PAGE_SIZE = 100
 
-# Rows each task of a top-k may send to the driver; a deeper page is cut by position instead.
-SHALLOW = 2_000
+# Positions that a top-k may reach, and values that cut a column into ranges at a time.
+REACH = 2_000
+CUTS = 64
+
+# A sort column and whether it descends.
+Key = tuple[str, bool]
 
 
 def order(column: str, descending: bool = False) -> Column:
@@ -26,32 +31,111 @@ def order(column: str, descending: bool = False) -> Column:
     return col(column).desc_nulls_first() if descending else col(column).asc_nulls_last()
 
 
-def limit_offset(df: DataFrame, limit: int | None = None, offset: int | None = None) -> DataFrame:
+def limit_offset(
+    df: DataFrame, limit: int | None = None, offset: int | None = None, ordering: Sequence[Key] = ()
+) -> DataFrame:
+    """Limit and offset of the rows as ``ordering`` sorts them; both optional.
+
+    An offset needs an order: without one the rows are taken in the order of all columns.
+    """
     for label, value in (("limit", limit), ("offset", offset)):
         if value is not None and value < 0:
             raise ValueError(f"{label} must not be negative")
-    if offset is not None:
-        df = df.offset(offset)
-    return df if limit is None else df.limit(limit)
+    if not offset and not ordering:
+        return df if limit is None else df.limit(limit)
+    return sorted_slice(df, list(ordering) or [(c, False) for c in df.columns], limit, offset or 0)
 
 
-def sorted_slice(
-    df: DataFrame,
-    ordering: Sequence[Column],
-    limit: int,
-    offset: int = 0,
-) -> DataFrame:
-    """Rows ``offset + 1 .. offset + limit`` of the sorted frame.
+def sorted_slice(df: DataFrame, ordering: Sequence[Key], limit: int | None, offset: int = 0) -> DataFrame:
+    """Rows ``offset + 1 .. offset + limit`` of the sorted frame, or all from there on.
 
-    Near the start this is one top-k: each task sends ``offset + limit`` rows at most.
-    Far from it that bound would grow with the offset, so the rows are numbered by a
-    distributed sort and the wanted positions are filtered.
+    While the last position is out of a top-k's reach, the leading sort column is cut into
+    ranges at values drawn by hash, rows are counted per range, and the search goes on in
+    the ranges that hold the wanted positions, by a condition on the column that a scan can
+    use.  Rows of one value go on with the next sort column.  A page near the start needs
+    no such round.  Nothing is written, no task sorts more than its share, and a top-k
+    passes over ``REACH`` rows at most.  ``ordering`` should identify a row.
     """
-    if offset + limit <= SHALLOW:
-        return limit_offset(df.orderBy(*ordering), limit, offset)
-    numbered = surrogate_key(df, ordering, name="_position")
-    wanted = numbered.where(F.col("_position").between(offset + 1, offset + limit))
-    return wanted.orderBy("_position").drop("_position")
+    ordering = list(ordering)
+    columns = [order(*key) for key in ordering]
+    parts = _slice(df, ordering, offset, None if limit is None else offset + limit)
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.orderBy(*columns) if limit is None else found.orderBy(*columns).limit(limit)
+
+
+def _slice(df: DataFrame, ordering: list[Key], start: int, stop: int | None) -> list[DataFrame]:
+    """Frames that together hold the positions ``start`` to ``stop`` (exclusive) of the sorted frame."""
+    if start == 0 and stop is None:
+        return [df]
+    if stop is not None and stop <= REACH:
+        return [df.orderBy(*[order(*key) for key in ordering]).offset(start).limit(stop - start)]
+    if not ordering:
+        # Rows that no sort column tells apart: any will do.
+        return [df.limit((df.count() if stop is None else stop) - start)]
+    name, descending = ordering[0]
+    cells = _cells(df, name, descending, [key for key, _ in ordering])
+    total = sum(n for _, _, n in cells)
+    stop = total if stop is None else min(stop, total)
+    out, before, whole = [], 0, []
+    for condition, is_value, n in cells:
+        low, high = max(start - before, 0), min(stop - before, n)
+        before += n
+        if low >= high:
+            continue
+        if low == 0 and high == n:
+            whole.append(condition)
+            continue
+        rest = df.where(condition)
+        if n <= REACH:
+            out.append(rest.orderBy(*[order(*key) for key in ordering]).offset(low).limit(high - low))
+        else:
+            out += _slice(rest, ordering[1:] if is_value else ordering, low, None if high == n else high)
+    if whole:
+        out.append(df.where(reduce(or_, whole)))
+    return out or [df.limit(0)]
+
+
+def _cells(df: DataFrame, name: str, descending: bool, ordering: list[str]) -> list[tuple[Column, bool, int]]:
+    """Conditions that part the rows by one column, in its order: (condition, one value only, rows)."""
+    column = col(name)
+    is_float = df.schema[name].dataType.typeName() in ("float", "double")
+    drawn = df.where(column.isNotNull() & ~F.isnan(column) if is_float else column.isNotNull())
+    drawn = drawn.select(column.alias("v"), F.xxhash64(*[col(c) for c in ordering]).alias("h"))
+    # At most CUTS values.
+    cuts = sorted({r.v for r in drawn.orderBy("h", "v").limit(CUTS).collect()})
+
+    def place(low: int, high: int) -> Column:
+        # Cell 2 i lies below cut i, cell 2 i + 1 is the cut itself.
+        if low == high:
+            return F.lit(2 * low)
+        middle = (low + high) // 2
+        cut = F.lit(cuts[middle])
+        return F.when(column < cut, place(low, middle)).when(column == cut, F.lit(2 * middle + 1)).otherwise(place(middle + 1, high))
+
+    # Not-a-number sorts above all numbers, null above that.
+    nan, null = 2 * len(cuts) + 1, 2 * len(cuts) + 3
+    cell = F.when(column.isNull(), F.lit(null))
+    if is_float:
+        cell = cell.when(F.isnan(column), F.lit(nan))
+    cell = cell.otherwise(place(0, len(cuts)))
+    counts = {r.cell: r.n for r in df.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def condition(at: int) -> Column:
+        if at == null:
+            return column.isNull()
+        if at == nan:
+            return F.isnan(column)
+        if at % 2:
+            return column == F.lit(cuts[at // 2])
+        above = column > F.lit(cuts[at // 2 - 1]) if at else column.isNotNull()
+        if at // 2 < len(cuts):
+            return above & (column < F.lit(cuts[at // 2]))
+        return above & ~F.isnan(column) if is_float else above
+
+    ordered = sorted(counts, reverse=descending)
+    return [(condition(at), at % 2 == 1, counts[at]) for at in ordered]
 
 
 def select_query(
@@ -66,9 +150,10 @@ def select_query(
 ) -> DataFrame:
     """Columns, AND-ed conditions, one sort column, limit and offset; all but columns optional."""
     picked = df.where(where_all(conditions))
-    if order_by is not None:
-        picked = picked.orderBy(order(order_by, descending), *[order(c) for c in tie_breaker])
-    return limit_offset(picked, limit, offset).select(*[col(c) for c in columns])
+    if order_by is None:
+        return limit_offset(picked, limit, offset).select(*[col(c) for c in columns])
+    ordering = [(order_by, descending), *[(c, False) for c in tie_breaker]]
+    return limit_offset(picked, limit, offset, ordering).select(*[col(c) for c in columns])
 
 
 @dataclass(frozen=True)
@@ -126,6 +211,7 @@ def clamp_limit(limit: int | None, default: int, most: int) -> int:
     return min(wanted, most)
 
 
+# The columns of a listed plant.
 LIST_COLUMNS = (
     "id",
     "gppd_idnr",
@@ -145,7 +231,7 @@ def list_page(df: DataFrame, page: int = 1, limit: int = DEFAULT_PAGE_SIZE) -> D
     """One page of (already filtered) plants, largest capacity first, id as tie-breaker."""
     offset, size = check_page(page, limit)
     rows = df.select(*[col(c) for c in LIST_COLUMNS])
-    return sorted_slice(rows, [order("capacity_mw", True), order("id")], size, offset)
+    return sorted_slice(rows, [("capacity_mw", True), ("id", False)], size, offset)
 
 
 def total(df: DataFrame) -> DataFrame:
@@ -185,7 +271,8 @@ def top_plants(df: DataFrame, limit: int | None = None, fuel: str | None = None,
     k = clamp_limit(limit, 10, 100)
     if fuel:
         df = df.where(col("primary_fuel") == F.lit(known_label(fuel, fuels)))
-    columns = "id name country country_code capacity_mw primary_fuel commissioning_year".split()
+    # The columns of a ranked plant.
+    columns = ("id", "name", "country", "country_code", "capacity_mw", "primary_fuel", "commissioning_year")
     ordering = [order("capacity_mw", True), order("id")]
     top = df.select(*[col(c) for c in columns]).orderBy(*ordering).limit(k)
     # At most k <= 100 rows are left, so one task for the position is enough.

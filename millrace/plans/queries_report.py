@@ -212,11 +212,11 @@ def list_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     LIMIT 100 OFFSET 30000""",
 )
 def list_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page far from the start, cut by position instead of by a growing top-k."""
+    """A page far from the start, found by counting ranges instead of by a growing top-k."""
     names = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
     rows = standin.table(spark, sf_dir, "lineitem").select(*names, "l_shipdate")
     ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
-    ordering = [order("l_extendedprice", True), *[order(c) for c in ties]]
+    ordering = [("l_extendedprice", True), *[(c, False) for c in ties]]
     return paging.sorted_slice(rows, ordering, limit=100, offset=30_000).select(*names)
 
 
@@ -338,8 +338,20 @@ def token_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def limit_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    rows = standin.table(spark, sf_dir, "lineitem").orderBy(order("l_extendedprice"), *[order(c) for c in ties])
-    return paging.limit_offset(rows, limit=25, offset=50).select("l_orderkey", "l_linenumber", "l_extendedprice")
+    ordering = [("l_extendedprice", False), *[(c, False) for c in ties]]
+    rows = paging.limit_offset(standin.table(spark, sf_dir, "lineitem"), 25, 50, ordering)
+    return rows.select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@query(
+    "offset_only",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderpriority, o_orderkey OFFSET 2500",
+)
+def offset_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything from a position on; the leading column has five values only."""
+    ordering = [("o_orderpriority", False), ("o_orderkey", False)]
+    rows = paging.limit_offset(standin.table(spark, sf_dir, "orders"), offset=2500, ordering=ordering)
+    return rows.select("o_orderkey", "o_totalprice")
 
 
 @query(

@@ -76,7 +76,7 @@ def test_null_order(things):
 
 
 def test_limit_and_offset_are_optional(spark):
-    df = spark.range(10).orderBy("id")
+    df = spark.range(10)
     assert [r.id for r in paging.limit_offset(df, 3, 2).collect()] == [2, 3, 4]
     assert paging.limit_offset(df, offset=8).count() == 2
     assert paging.limit_offset(df).count() == 10
@@ -106,13 +106,36 @@ def test_page_meta(spark):
     assert paging.page_meta(spark.range(0)).collect()[0].total_pages == 0
 
 
-def test_deep_slice_equals_shallow_slice(spark, monkeypatch):
-    df = spark.range(20_000).select(F.col("id"), (F.col("id") % 97).alias("n")).repartition(6)
-    ordering = [order("n", descending=True), order("id")]
-    expected = [tuple(r) for r in df.orderBy(*ordering).offset(15_000).limit(30).collect()]
-    assert [tuple(r) for r in paging.sorted_slice(df, ordering, 30, 15_000).collect()] == expected
-    monkeypatch.setattr(paging, "SHALLOW", 1_000_000)
-    assert [tuple(r) for r in paging.sorted_slice(df, ordering, 30, 15_000).collect()] == expected
+@pytest.fixture(scope="module")
+def numbers(spark):
+    """Nulls, NaN, and a value that a third of all rows share."""
+    n = F.when(F.col("id") % 3 == 0, 5.0).when(F.col("id") % 97 == 1, None).when(F.col("id") % 89 == 2, float("nan"))
+    return spark.range(6_000).select("id", n.otherwise(F.col("id") % 211).alias("n")).repartition(6).cache()
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_slices_at_any_depth(numbers, monkeypatch, descending):
+    monkeypatch.setattr(paging, "REACH", 50)
+    monkeypatch.setattr(paging, "CUTS", 5)
+    ordering = [("n", descending), ("id", False)]
+    every = [r.id for r in numbers.orderBy(*[order(*key) for key in ordering]).collect()]
+    for limit, offset in ((30, 0), (30, 2_990), (700, 1_400), (10, 5_995), (10, 9_000), (None, 5_900), (0, 70)):
+        got = [r.id for r in paging.sorted_slice(numbers, ordering, limit, offset).collect()]
+        assert got == every[offset : None if limit is None else offset + limit]
+
+
+def test_deep_pages_read_one_range_and_write_nothing(spark, tmp_path, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("a page writes nothing")
+
+    monkeypatch.setattr("millrace.operators.keys.materialize", refuse)
+    spark.range(60_000).selectExpr("id", "id % 1000 AS n").write.parquet(f"{tmp_path}/t")
+    page = paging.sorted_slice(spark.read.parquet(f"{tmp_path}/t"), [("n", True), ("id", False)], 20, 30_000)
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "n" in plan[plan.index("PushedFilters") :].split("]")[0]
+    assert "SinglePartition" not in plan
+    assert all(int(x.split(",")[0]) <= paging.REACH for x in plan.split("TakeOrderedAndProject(limit=")[1:])
+    assert [r.id for r in page.collect()] == sorted((i for i in range(60_000) if i % 1000 == 499))[:20]
 
 
 def test_select_query(spark):
