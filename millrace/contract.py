@@ -51,11 +51,12 @@ class Field:
 
     @property
     def ddl(self) -> str:
+        kind = self.type.upper()
         if self.exact_length:
-            return f"`{self.name}` CHAR({self.exact_length})"
-        if self.max_length:
-            return f"`{self.name}` VARCHAR({self.max_length})"
-        return f"`{self.name}` {self.type.upper()}"
+            kind = f"CHAR({self.exact_length})"
+        elif self.max_length:
+            kind = f"VARCHAR({self.max_length})"
+        return f"`{self.name}` {kind}{' NOT NULL' if self.required else ''}"
 
 
 @dataclass(frozen=True)
@@ -115,10 +116,11 @@ def _passes(test: str) -> str:
     return f"coalesce({test}, true)"
 
 
+# Names, types, lengths and ranges of the two tables.
 PLANTS = TableContract(
     name="power_plants",
     fields=(
-        Field("id", "bigint"),
+        Field("id", "bigint", required=True),
         Field("gppd_idnr", "string", required=True, max_length=20),
         Field("name", "string", required=True, max_length=500),
         Field("country_code", "string", required=True, exact_length=3),
@@ -152,7 +154,7 @@ PLANTS = TableContract(
 GENERATION = TableContract(
     name="power_plant_generation",
     fields=(
-        Field("id", "bigint"),
+        Field("id", "bigint", required=True),
         Field("power_plant_id", "bigint", required=True),
         Field("year", "int", required=True),
         Field("generation_gwh", "decimal(12,2)"),

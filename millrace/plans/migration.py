@@ -114,7 +114,7 @@ class Migration:
             "fuel_breakdown": stats.validate_fuel_breakdown(plants),
             "repeated_plants": unique_violations(plants, PLANTS.unique[0]),
             "repeated_years": unique_violations(generation, GENERATION.unique[0]),
-            "orphans": orphans(generation, plants, "power_plant_id", "id"),
+            "orphans": orphans(generation, plants, GENERATION.parent[0], GENERATION.parent[2]),
         }
 
     # -- stages ----------------------------------------------------------------

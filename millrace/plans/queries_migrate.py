@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.contract import ESTIMATE_YEARS, FUELS, GENERATION, PLANTS, text_schema
+from millrace.contract import ESTIMATE_YEARS, FUELS, GENERATION, PLANTS, create_tables, drop_tables, text_schema
 from millrace.functions import clean
 from millrace.functions.clean import col, null_tokens
 from millrace.operators import checks, keys, reshape, stats
@@ -281,6 +283,62 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.violation_counts(_typed(spark, sf_dir), PLANTS)
 
 
+_METHOD = "CASE WHEN power_plant_id % 7 = 0 THEN repeat('M', 51) ELSE 'CAPACITY-FACTOR-V1' END"
+_SOURCE = "CASE WHEN power_plant_id % 11 = 0 THEN repeat('s', 201) ELSE 'orders' END"
+_SHIFTED = "year + CASE power_plant_id % 13 WHEN 0 THEN 15 WHEN 1 THEN -14 ELSE 0 END"
+_NULLED = "CASE WHEN power_plant_id % 17 <> 0 THEN power_plant_id END"
+
+
+@query(
+    "generation_checks",
+    with_views(
+        f"""SELECT 'power_plant_id_required' AS rule, count(*) FILTER (WHERE {_NULLED} IS NULL) AS n_rows FROM generation
+        UNION ALL SELECT 'year_required', 0
+        UNION ALL SELECT 'estimation_method_max_50', count(*) FILTER (WHERE length({_METHOD}) > 50) FROM generation
+        UNION ALL SELECT 'data_source_max_200', count(*) FILTER (WHERE length({_SOURCE}) > 200) FROM generation
+        UNION ALL SELECT 'year_range', count(*) FILTER (WHERE {_SHIFTED} NOT BETWEEN 2000 AND 2030) FROM generation""",
+        GENERATION_CTE,
+    ),
+)
+def generation_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows breaking each rule of the generation table, with dirt added by rule."""
+    dirty = standin.generation(spark, sf_dir).selectExpr(
+        f"{_NULLED} AS power_plant_id", f"{_SHIFTED} AS year", f"{_METHOD} AS estimation_method", f"{_SOURCE} AS data_source"
+    )
+    return checks.violation_counts(dirty, GENERATION)
+
+
+@query(
+    "contract_tables",
+    with_views(
+        """SELECT 'power_plants' AS table_name, count(*) AS n_rows FROM plants WHERE capacity_mw > 0
+        UNION ALL SELECT 'power_plant_generation', count(*) FROM generation
+        UNION ALL SELECT 'tables after the drop', 0""",
+        PLANTS_CTE,
+        GENERATION_CTE,
+    ),
+)
+def contract_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Create both tables, load them, count what they hold, and drop them."""
+    database = f"contract_{uuid.uuid4().hex[:12]}"
+    rows = {
+        PLANTS.name: (PLANTS, standin.plants(spark, sf_dir).where("capacity_mw > 0")),
+        GENERATION.name: (GENERATION, standin.generation(spark, sf_dir).withColumn("id", F.monotonically_increasing_id())),
+    }
+    create_tables(spark, database)
+    counts = {}
+    for name, (contract, df) in rows.items():
+        known = [col(f.name).cast(f.type) if f.name in df.columns else F.lit(None).cast(f.type) for f in contract.fields]
+        named = df.select(*[c.alias(f.name) for c, f in zip(known, contract.fields)])
+        stored = spark.table(f"{database}.{name}").columns
+        named.select(*[col(c) for c in stored]).write.insertInto(f"{database}.{name}")
+        counts[name] = spark.table(f"{database}.{name}").count()
+    drop_tables(spark, database)
+    counts["tables after the drop"] = len(spark.catalog.listTables(database))
+    spark.sql(f"DROP DATABASE `{database}`")
+    return spark.createDataFrame(list(counts.items()), "table_name string, n_rows bigint")
+
+
 @query(
     "contract_quarantine",
     with_views(
