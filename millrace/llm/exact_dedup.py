@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
-from millrace.llm.rows import numbered_rows
+from millrace.llm.rows import numbered_rows, without
 from millrace.sources.workspace import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -59,7 +59,7 @@ def exact_groups(
         docs.select(
             col(id_col).alias("doc_id"),
             text.alias("text"),
-            (col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"),
+            (col(row_col).cast("bigint") if row_col else F.monotonically_increasing_id()).alias("row"),
         ).select(
             "doc_id",
             F.unhex(F.sha2("text", 256)).alias("digest"),
@@ -97,5 +97,4 @@ def drop_exact(docs: DataFrame, keep: str = "largest") -> DataFrame:
     """The documents without all but one of the rows of equal text, all columns as they are."""
     numbered, row = numbered_rows(docs)
     groups = exact_groups(numbered, keep=keep, row_col=row)
-    gone = groups.where("NOT kept").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").drop(row)
+    return without(numbered, row, groups.where("NOT kept"), docs.columns)

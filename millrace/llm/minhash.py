@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
 from millrace.llm.components import components
-from millrace.llm.rows import numbered_rows
+from millrace.llm.rows import numbered_rows, without
 from millrace.llm.words import Words, mix
 from millrace.sources.workspace import materialize
 
@@ -281,8 +281,10 @@ def near_groups(
     many tasks.  All intermediate tables lie in the shared folder.
     """
     if row_col is None:
-        docs, row_col = numbered_rows(docs.select(col(id_col), col(text_col)))
-    source = docs.select(col(id_col).alias("doc_id"), F.lower(col(text_col)).alias("text"), col(row_col).alias("row"))
+        docs, row_col = numbered_rows(docs.select(col(id_col), col(text_col)), id_col)
+    source = docs.select(
+        col(id_col).alias("doc_id"), F.lower(col(text_col)).alias("text"), col(row_col).cast("bigint").alias("row")
+    )
     signed = materialize(
         source.select("row", "text").mapInArrow(_signed(weighted, bands, band_rows), SIGNED), "signatures"
     )
@@ -344,5 +346,4 @@ def drop_near(docs: DataFrame, threshold: float = 0.8, **options) -> DataFrame:
     """The documents without all but one row of each near-duplicate group, all columns as they are."""
     numbered, row = numbered_rows(docs)
     groups = near_groups(numbered, threshold, row_col=row, **options)
-    gone = groups.where("NOT kept").select(F.col("row").alias(row))
-    return numbered.join(gone, row, "left_anti").drop(row)
+    return without(numbered, row, groups.where("NOT kept"), docs.columns)
