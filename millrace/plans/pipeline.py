@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,6 +35,7 @@ def discard(df: DataFrame) -> None:
 class Pipeline:
     """Fan-out: every transform gets the extracted rows, and its output goes to the loader
     of the same name.  Loaders run in the order of the transforms, so name parents first.
+    Rows of the outputs named in ``rejects`` count as errors.
     """
 
     spark: SparkSession
@@ -42,6 +43,7 @@ class Pipeline:
     transforms: Mapping[str, Transform]
     loaders: Mapping[str, Load]
     validate: Validate = dict
+    rejects: Collection[str] = ()
     stats: dict[str, int] = field(default_factory=dict)
 
     def run(self, dry_run: bool = False) -> dict[str, int]:
@@ -52,13 +54,14 @@ class Pipeline:
         # The raw text is parsed once, however many outputs read it.
         seen = Observation("extracted")
         staged = materialize(self.extract(self.spark).observe(seen, F.count(F.lit(1)).alias("n")), "extracted")
-        self.stats = {"extracted": seen.get["n"], "transformed": 0, "loaded": 0}
+        self.stats = {"extracted": seen.get["n"], "transformed": 0, "loaded": 0, "errors": 0}
         for name, transform in self.transforms.items():
             output = transform(staged)
             write = discard if dry_run else self.loaders[name]
             rows = _observed_write(output, name, write)
             self.stats[name] = rows
             self.stats["transformed"] += rows
+            self.stats["errors"] += rows if name in self.rejects else 0
             if not dry_run:
                 self.stats["loaded"] += rows
         return self.stats

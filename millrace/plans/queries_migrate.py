@@ -548,6 +548,7 @@ def _fan_out(spark: SparkSession, sf_dir: str) -> tuple[Pipeline, dict[str, str]
             ),
         },
         loaders={name: loader(name) for name in paths},
+        rejects={"rejects"},
     )
     return pipeline, paths
 
@@ -578,6 +579,7 @@ def _metrics_sql(loaded: str) -> str:
         "extracted": "count(*)",
         "transformed": "count(*)",
         "loaded": loaded,
+        "errors": "count(*) FILTER (WHERE reject_reason IS NOT NULL)",
         "plants": "count(*) FILTER (WHERE reject_reason IS NULL)",
         "rejects": "count(*) FILTER (WHERE reject_reason IS NOT NULL)",
     }

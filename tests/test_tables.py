@@ -71,13 +71,13 @@ def pipeline(spark, tmp_path):
 
 
 def test_every_transform_gets_the_raw_rows(spark, pipeline, tmp_path):
-    assert pipeline.run() == {"extracted": 3, "transformed": 5, "loaded": 5, "all": 3, "named": 2}
+    assert pipeline.run() == {"extracted": 3, "transformed": 5, "loaded": 5, "errors": 0, "all": 3, "named": 2}
     assert spark.read.parquet(str(tmp_path / "all")).count() == 3
     assert pipeline.validated()["named"].count() == 2
 
 
 def test_dry_run_counts_but_writes_nothing(pipeline, tmp_path):
-    assert pipeline.run(dry_run=True) == {"extracted": 3, "transformed": 5, "loaded": 0, "all": 3, "named": 2}
+    assert pipeline.run(dry_run=True) == {"extracted": 3, "transformed": 5, "loaded": 0, "errors": 0, "all": 3, "named": 2}
     assert not (tmp_path / "all").exists()
     assert pipeline.validated(dry_run=True) == {}
 
