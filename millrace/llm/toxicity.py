@@ -297,15 +297,25 @@ def scores(network: Network, texts: list[str]) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: tuple[int, int], most_chars: int) -> list:
-    """At most ``most`` labelled clean and toxic texts, the first by a hash of the id."""
+    """At most ``most`` labelled clean and toxic texts, the first by a hash of the id.
+
+    Ids are chosen on narrow rows; the chosen few then go to the documents.
+    """
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out(F.col("doc_id")))
-    texts = docs.select("doc_id", "text").where("text IS NOT NULL").where(F.length("text") <= most_chars)
-    rows = []
+    fitting = docs.where(F.length("text") <= most_chars)
+    usable = fitting.select("doc_id").join(known, "doc_id").distinct()
+    order = ["toxic", F.xxhash64("doc_id"), "doc_id"]
+    chosen = []
     for toxic, bound in enumerate(most):
-        of_class = texts.join(known.where(F.col("toxic") == toxic), "doc_id")
-        rows += of_class.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(bound).collect()
-    return sorted(rows, key=lambda r: zlib.crc32(f"{r.doc_id}/{len(r.text)}".encode()))
+        chosen += usable.where(F.col("toxic") == toxic).orderBy(*order).limit(bound).collect()
+    if not chosen:
+        return []
+    # At most sum(most) rows of two numbers.
+    listed = docs.sparkSession.createDataFrame(chosen, "doc_id bigint, toxic int")
+    rows = fitting.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(listed), "doc_id")
+    first = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return sorted(first.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.doc_id))
 
 
 def held_out(doc_id):
