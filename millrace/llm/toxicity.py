@@ -83,8 +83,11 @@ class Network:
 
     def project(self, words: list[str]) -> np.ndarray:
         """What each word adds to the gates, forward and backward."""
-        x = self.inputs(words)[0]
-        return np.concatenate([x @ self.p[f"W{way}"] + self.p[f"b{way}"] for way in "fb"], 1)
+        out = np.empty((len(words), 6 * HIDDEN), np.float32)
+        for at in range(0, len(words), 20_000):
+            x = self.inputs(words[at : at + 20_000])[0]
+            out[at : at + 20_000] = np.concatenate([x @ self.p[f"W{way}"] + self.p[f"b{way}"] for way in "fb"], 1)
+        return out
 
     def states(self, gates: np.ndarray, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
         """Both directions' states after every word of the windows: [n, WIDTH, 2 HIDDEN]."""
