@@ -208,6 +208,10 @@ class Migration:
 
     def _append(self, df: DataFrame, contract: TableContract) -> int:
         written = Observation(contract.name)
+        if contract.partition_by:
+            # Rows of a partition value meet in few tasks, so few files are written; a value
+            # with very many rows is split by size.
+            df = df.hint("rebalance", *[F.col(c) for c in contract.partition_by])
         observed = df.observe(written, F.count(F.lit(1)).alias("n"))
         append(observed, self.path(contract.name), contract.schema.names, contract.partition_by)
         return written.get["n"]
