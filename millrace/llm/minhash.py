@@ -156,7 +156,7 @@ def _text_key(words: Words, lane: int) -> np.ndarray:
     return mix(sums[words.ends] - sums[words.starts] + words.counts.astype(np.uint64)).view(np.int64)
 
 
-SETS = "row bigint, shingles array<bigint>, counts array<int>"
+SETS = "row bigint, n bigint, bands array<bigint>, shingles array<bigint>, counts array<int>"
 
 
 def _sets(weighted: bool):
@@ -170,7 +170,8 @@ def _sets(weighted: bool):
                     counts = np.ones_like(counts)
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(part)))]).astype(np.int32)
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (h.view(np.int64), counts.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *lists], ["row", "shingles", "counts"])
+                names = ["row", "n", "bands", "shingles", "counts"]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), *lists], names)
 
     return run
 
@@ -290,26 +291,24 @@ def near_groups(
     )
     same = signed.where("n > 0").groupBy("same1", "same2", "n")
     first = materialize(same.agg(F.min("row").alias("row"), F.min("bands").alias("bands")), "distinct")
-    buckets = first.select("row", "n", "bands", F.posexplode("bands").alias("band", "key"))
+    buckets = first.select("row", F.posexplode("bands").alias("band", "key"))
     crowded = buckets.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     met = materialize(buckets.join(crowded, ["band", "key"]), "buckets")
     # Only documents that meet another need their sets.
-    wanted = met.select("row").distinct()
-    sets = materialize(
-        source.select("row", "text").join(wanted, "row").mapInArrow(_sets(weighted), SETS), "sets"
-    )
+    wanted = first.select("row", "n", "bands").join(met.select("row").distinct(), "row")
+    texts = source.select("row", "text").join(wanted, "row").select("row", "text", "n", "bands")
+    sets = materialize(texts.mapInArrow(_sets(weighted), SETS), "sets")
     fame = met.groupBy("row").agg(F.sum("size").alias("fame"))
     hub = met.join(fame, "row").groupBy("band", "key").agg(F.max(F.struct("fame", -F.col("row"))).alias("h"))
-    star = met.join(hub, ["band", "key"]).select((-F.col("h.col2")).alias("hub"), "row", "n", "bands").distinct()
+    star = met.join(hub, ["band", "key"]).select((-F.col("h.col2")).alias("hub"), "row").distinct()
     star = materialize(star.where("hub <> row"), "stars")
     crowd = star.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("tasks"))
     spokes = star.join(crowd, "hub").select(
-        "hub", F.pmod(F.xxhash64("row"), "tasks").alias("task"), "row", "n", "bands", F.lit(1).alias("side")
+        "hub", F.pmod(F.xxhash64("row"), "tasks").alias("task"), "row", F.lit(1).alias("side")
+    )
+    hubs = crowd.select(
+        "hub", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.col("hub").alias("row"), F.lit(-1).alias("side")
     )
-    hubs = crowd.join(first.select(F.col("row").alias("hub"), "n", "bands"), "hub").select(
-        "hub", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), F.col("hub").alias("row"), "n", "bands",
-        F.lit(-1).alias("side"),
-    )
     meetings = spokes.union(hubs).join(sets, "row").withColumns({"part": F.col("row"), "band": F.lit(0)})
     linked = materialize(meetings.groupBy("hub", "task").applyInPandas(_links(threshold), "a bigint, b bigint"), "near")
     parts = materialize(components(linked, "a", "b"), "parts")
@@ -324,7 +323,7 @@ def near_groups(
     # A member meets every block once: (i, j) with i <= j; on the diagonal it is on both sides.
     met_again = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        F.signum(F.col("block") - F.col("other")).cast("int").alias("side"), "row", "n", "bands", "part",
+        F.signum(F.col("block") - F.col("other")).cast("int").alias("side"), "row", "part",
     )
     compared = met_again.join(sets, "row").groupBy("band", "key", "i", "j")
     more = materialize(compared.applyInPandas(_links(threshold), "a bigint, b bigint"), "near")
