@@ -17,7 +17,9 @@ from millrace.llm.tokens import text_blocks
 
 MARK = "▁"
 #: Words a worker remembers; the rest of a block is encoded and forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+#: Pairs of pieces for which it remembers whether they merge.
+REMEMBERED_PAIRS = 400_000
 #: Kinds of pieces in a model file, and the kinds of models.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 UNIGRAM, BPE = 1, 2
@@ -112,7 +114,7 @@ class PieceModel:
         key = left, right
         fits = self._apart.get(key)
         if fits is None:
-            if len(self._apart) > 2_000_000:
+            if len(self._apart) >= REMEMBERED_PAIRS:
                 self._apart.clear()
             fits = self._apart[key] = self._merge(left + right) == [left, right]
         return fits
