@@ -17,9 +17,9 @@ from millrace.llm.tokens import text_blocks
 
 MARK = "▁"
 #: Words a worker remembers; the rest of a block is encoded and forgotten.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 #: Pairs of pieces for which it remembers whether they merge.
-REMEMBERED_PAIRS = 400_000
+REMEMBERED_PAIRS = 300_000
 #: Kinds of pieces in a model file, and the kinds of models.
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
 UNIGRAM, BPE = 1, 2
