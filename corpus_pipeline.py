@@ -46,7 +46,7 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 1024 ids, with the ids."""
-    return packing.pack(docs, capacity=1024, end_id=0)
+    return packing.pack(docs, capacity=1024, end_id=0, added=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

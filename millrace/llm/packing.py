@@ -108,6 +108,7 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokenizer: str | None = None,
+    added: bool = False,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` ids.
 
@@ -120,7 +121,8 @@ def pack(
     the rest is placed by `Levels`.  What stays open is emptied by cutting, so a task pads
     at most its last sequence.  A null text is empty (its piece is the end id), a null id
     stays null, repeated rows are packed each on its own, other columns are ignored, an
-    empty table gives no rows.
+    empty table gives no rows.  ``added`` reads the tokenizer's added tokens in the texts as
+    the library does by default; without it they are ordinary text.
     """
     if capacity < 2:
         raise ValueError("a window holds at least two ids")
@@ -137,7 +139,7 @@ def pack(
             columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:6]]
             return pa.RecordBatch.from_arrays([*columns, pa.array([r[6] for r in rows], pa.binary())], [*names, "ids"])
 
-        for window in _windows(tokens.encoded(batches, path), capacity, end_id):
+        for window in _windows(tokens.encoded(batches, path, added), capacity, end_id):
             offset = 0
             for doc, start, total, ids in window:
                 length = len(ids) // 4

@@ -31,7 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query()
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents packed into sequences of 1024 ids."""
-    return packing.pack_digests(_table(spark, sf_dir, "documents"), capacity=1024, end_id=0)
+    return packing.pack_digests(_table(spark, sf_dir, "documents"), capacity=1024, end_id=0, added=True)
 
 
 EXACT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -53,7 +53,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all ids as flat files in the shared folder and read them back."""
     path = new_path(spark, "token-files")
-    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, end_id=2)
+    token_files.write_token_files(_table(spark, sf_dir, "documents"), path, end_id=2, added=True)
     return token_files.file_digests(spark, path)
 
 

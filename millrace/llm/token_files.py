@@ -41,6 +41,7 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokenizer: str | None = None,
+    added: bool = False,
 ) -> None:
     """Write the ids of all documents, in ascending id order, under ``uri``.
 
@@ -54,6 +55,8 @@ def write_token_files(
     column matters; a part is written again under the same names if its task is repeated.
     A null text is empty; rows with a null id come first and are marked in ``.nulls``; of
     equal ids the smaller text comes first; an empty table gives a manifest without parts.
+    ``added`` reads the tokenizer's added tokens in the texts as the library does by
+    default; without it they are ordinary text.
     """
     path = tokenizer or tokens.default_path()
     vocabulary = max(tokens.encoder(path).vocabulary, end_id + 1)
@@ -71,7 +74,7 @@ def write_token_files(
         name = f"part-{part:06d}"
         hidden = posixpath.join(folder, f".{name}.ids.{tag}")
         out = None
-        for doc, ids in tokens.encoded(batches, path):
+        for doc, ids in tokens.encoded(batches, path, added):
             out = out or store.open_output_stream(hidden)
             lengths.append(len(ids) // 4 + 1)
             out.write(np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() + end)

@@ -27,16 +27,18 @@ class WordEncoder:
     No pretoken goes on past a visible character into white space, so a text may be cut
     before a space that follows one and its words encoded apart.  Words, and the pretokens inside words
     not seen before, are looked up in two bounded tables and only new pretokens reach the
-    library.  Strings that look like special tokens are ordinary text.
+    library.  With ``added`` the file's added tokens (``<|endoftext|>``) are found in the
+    texts, as the library does by default; without, such strings are ordinary text.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED, added: bool = False) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not added
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()] if added else []
         self._pretokens = regex.compile(PRETOKENS).findall
         self._visible, self._pack = _visible_bytes(), struct.pack
         self._words: dict[str, bytes] = {}
@@ -46,6 +48,18 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
+        holding = [i for i, text in enumerate(texts) if any(token in text for token in self._added)]
+        if holding:
+            # These few go to the library whole.
+            whole = dict.fromkeys(holding)
+            out = self._encode_plain(["" if i in whole else text for i, text in enumerate(texts)])
+            for i in holding:
+                ids = self._tokenizer.encode(texts[i], add_special_tokens=False).ids
+                out[i] = self._pack(f"<{len(ids)}I", *ids)
+            return out
+        return self._encode_plain(texts)
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         cut = [_words(text) for text in texts]
         known = self._words
         new = {word for words in cut for word in words if word not in known}
@@ -97,9 +111,9 @@ def _words(text: str) -> list[str]:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and file."""
-    return WordEncoder(path)
+def encoder(path: str, added: bool = False) -> WordEncoder:
+    """One encoder per worker process, file and reading of added tokens."""
+    return WordEncoder(path, added=added)
 
 
 def text_blocks(texts: list[str], most_chars: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
@@ -114,9 +128,9 @@ def text_blocks(texts: list[str], most_chars: int = 4_000_000) -> Iterator[tuple
         yield start, texts[start:]
 
 
-def encoded(batches: Iterable, path: str) -> Iterator[tuple[int | None, bytes]]:
+def encoded(batches: Iterable, path: str, added: bool = False) -> Iterator[tuple[int | None, bytes]]:
     """(document id, ids) of every row of Arrow batches with the columns ``id`` and ``text``."""
-    encode = encoder(path).encode
+    encode = encoder(path, added).encode
     for batch in batches:
         ids = batch.column(0).to_pylist()
         texts = [text or "" for text in batch.column(1).to_pylist()]
