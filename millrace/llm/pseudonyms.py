@@ -17,14 +17,15 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)"
 #: or possessive repeats keep the search linear in the text.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + _END,
-    "iban": _START + r"[A-Z]{2}\d{2}[A-Z0-9]{11,30}" + _END,
+    "iban": _START + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
     "date": _START
     + "(?:"
     + r"\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}"
     + r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4}"
     + ")"
+    + r"(?:(?=[Tt]\d)|"  # a time may follow
     + _END
-    + r"(?![./-]?\d)",
+    + r")(?![./-]?\d)",
     "ip": r"(?<![\p{L}\p{N}_.])" + rf"(?:{_OCTET}\.){{3}}{_OCTET}" + _END + r"(?!\.\d)",
     "ssn": _START + r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}" + _END + r"(?!-\d)",
     "phone": r"(?<![\p{L}\p{N}_+])"
@@ -254,15 +255,35 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(_characters(text), F.lit(0), add)
 
 
+def _iban_within(m: Column) -> Column:
+    """The longest run of the match's groups, from its first, that is an IBAN; null if none is."""
+
+    def valid(text):
+        def rotated(bare):
+            whole = F.concat(bare.substr(F.lit(5), F.length(bare)), bare.substr(F.lit(1), F.lit(4)))
+            return F.length(bare).between(15, 34) & (_mod97(whole) == 1)
+
+        return _bound(F.replace(text, F.lit(" ")), rotated)
+
+    def runs(groups):
+        return F.transform(
+            F.sequence(F.size(groups), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(groups, F.lit(1), n), " ")
+        )
+
+    return F.get(F.filter(_bound(F.split(m, " "), runs), valid), F.lit(0))
+
+
 def _iban(m: Column, key: str) -> Column:
-    country, account = m.substr(F.lit(1), F.lit(2)), m.substr(F.lit(5), F.length(m))
+    bare = F.replace(m, F.lit(" "))
+    country, account = bare.substr(F.lit(1), F.lit(2)), bare.substr(F.lit(5), F.length(bare))
 
     def checked(new):
         check = 98 - _mod97(F.concat(new, country, F.lit("00")))
-        return F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
+        whole = F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
+        return F.when(m.contains(" "), F.regexp_replace(whole, "(.{4})(?=.)", "$1 ")).otherwise(whole)
 
-    valid = _mod97(F.concat(account, country, m.substr(F.lit(3), F.lit(2)))) == 1
-    return F.when(valid, _bound(_moved_characters(account, key, "iban"), checked))
+    # `_iban_within` has checked it.
+    return _bound(_moved_characters(account, key, "iban"), checked)
 
 
 RULES: dict[str, Callable[[Column, str], Column]] = {
@@ -276,50 +297,105 @@ RULES: dict[str, Callable[[Column, str], Column]] = {
 }
 
 
+#: Candidates that are joined at a time, so that a long text is not copied for each of them.
+BLOCK = 256
+
+
+def _replaced(m: Column, key: str) -> Column:
+    """Kind of a candidate, the value in its place (null if it fails its check), and how much of it that covers."""
+    kind = F.lit(None).cast("string")
+    for name in reversed(SHAPES):
+        kind = F.when(m.rlike(f"^(?:{SHAPES[name]})$"), F.lit(name)).otherwise(kind)
+
+    def moved(k):
+        def ruled(own):
+            new = F.lit(None).cast("string")
+            for name, rule in RULES.items():
+                new = F.when(k == name, rule(own, key)).otherwise(new)
+            return F.struct(k.alias("kind"), new.alias("value"), F.length(own).alias("covers"))
+
+        return _bound(F.when(k == "iban", _iban_within(m)).otherwise(m), ruled)
+
+    return _bound(kind, moved)
+
+
+def _joined(items: Column) -> Column:
+    """The text of (``piece``, ``found``) items in a row, and the kinds of the replaced values.
+
+    A piece begins with its candidate and ends where the next begins.  ``skip`` counts the
+    characters still covered by the last replaced value; candidates that begin there are
+    passed over, while those inside a candidate that failed its check are tried.
+    """
+    empty = F.array().cast("array<string>")
+
+    def put(state, item):
+        piece, found = item["piece"], item["found"]
+        take = (state["skip"] == 0) & found["value"].isNotNull()
+        gone = F.when(take, found["covers"]).otherwise(state["skip"])
+        return F.struct(
+            F.greatest(gone - F.length(piece), F.lit(0)).alias("skip"),
+            F.concat(state["text"], F.when(take, found["value"]).otherwise(""), piece.substr(gone + 1, F.length(piece))).alias("text"),
+            F.when(take, F.concat(state["kinds"], F.array(found["kind"]))).otherwise(state["kinds"]).alias("kinds"),
+        )
+
+    def put_block(state, first):
+        start = F.struct(state["skip"].alias("skip"), F.lit("").alias("text"), empty.alias("kinds"))
+        block = F.aggregate(F.slice(items, first, F.lit(BLOCK)), start, put)
+        return _bound(
+            block,
+            lambda b: F.struct(
+                b["skip"].alias("skip"),
+                F.concat(state["texts"], F.array(b["text"])).alias("texts"),
+                F.concat(state["kinds"], F.array(b["kinds"])).alias("kinds"),
+            ),
+        )
+
+    start = F.struct(F.lit(0).alias("skip"), empty.alias("texts"), F.array().cast("array<array<string>>").alias("kinds"))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.greatest(F.size(items), F.lit(1)), F.lit(BLOCK)),
+        start,
+        put_block,
+        lambda s: F.struct(F.array_join(s["texts"], "").alias("text"), F.flatten(s["kinds"]).alias("kinds")),
+    )
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str | None = None) -> DataFrame:
     """The documents with personal data in the text replaced by pseudonyms.
 
-    E-mail and IPv4 addresses, IBANs (checked modulo 97), dates (real days, 1904 to 2099), US social
-    security numbers (areas that can be issued), telephone numbers and payment cards (checked by Luhn)
+    E-mail and IPv4 addresses, IBANs (checked modulo 97, in one word or in groups of four), dates
+    (real days, 1904 to 2099, a time may follow), US social security numbers (areas that can be issued),
+    telephone numbers and payment cards (checked by Luhn)
     are permuted under ``key`` within their format: digits stay digits, separators stay,
     check digits are made anew, a date becomes a date.  One value gets one pseudonym in all
     documents, in whatever of its formats it is written, and two values never share one.
-    Text that has the shape but fails the check is left as it is.
+    Text that has the shape but fails the check is left as it is, and a value that begins
+    inside it is still found.
 
     ``counts`` names an optional column: an array with the kind of each replaced value.  A
     null text stays null; all other columns are passed on as they are.  Rows are handled
     one by one where they are read, with built-in functions only.
     """
     text = col(text_col)
-    found = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-
-    def replaced(m):
-        kind = F.lit(None).cast("string")
-        for name in reversed(SHAPES):
-            kind = F.when(m.rlike(f"^(?:{SHAPES[name]})$"), F.lit(name)).otherwise(kind)
-
-        def moved(k):
-            new = F.lit(None).cast("string")
-            for name, rule in RULES.items():
-                new = F.when(k == name, rule(m, key)).otherwise(new)
-            return F.struct(k.alias("kind"), F.coalesce(new, m).alias("value"), new.isNotNull().alias("moved"))
-
-        return _bound(kind, moved)
+    # Candidates at every place where one begins, and the text cut at these places.
+    found = F.transform(F.regexp_extract_all(text, F.lit(f"(?=({PATTERN}))"), F.lit(1)), lambda m: _replaced(m, key))
+    cut = F.split(text, f"(?={PATTERN})", -1)
+
+    def worked_out(cut, found):
+        # What is before the first candidate is a piece of its own.
+        head = F.size(cut) - F.size(found)
+        items = F.zip_with(
+            F.slice(cut, head + 1, F.size(found)), found, lambda piece, f: F.struct(piece.alias("piece"), f.alias("found"))
+        )
+        before = F.when(head > 0, cut.getItem(0)).otherwise("")
+        joined = _bound(items, _joined)
+        return _bound(joined, lambda j: F.struct(F.concat(before, j["text"]).alias("text"), j["kinds"].alias("kinds")))
 
-    values = F.transform(found, replaced)
-    pieces = F.split(text, PATTERN, -1)
-    holds = text.rlike("[0-9@]")
-    none = F.array().cast("array<struct<kind:string,value:string,moved:boolean>>")
     spare = "__pseudonyms"
     while spare in docs.columns:
         spare += "_"
-    out = docs.withColumn(spare, F.when(holds, values).otherwise(none))
-    joined = F.array_join(
-        F.zip_with(pieces, F.col(f"`{spare}`.value"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
-    )
-    out = out.withColumn(text_col, F.when(F.size(spare) > 0, joined).otherwise(text))
+    new = _bound(cut, lambda c: _bound(found, lambda f: worked_out(c, f)))
+    out = docs.withColumn(spare, F.when(text.rlike("[0-9@]"), new))
+    out = out.withColumn(text_col, F.coalesce(F.col(f"`{spare}`.text"), text))
     if counts:
-        moved = F.filter(F.col(spare), lambda v: v["moved"])
-        out = out.withColumn(counts, F.transform(moved, lambda v: v["kind"]))
+        out = out.withColumn(counts, F.coalesce(F.col(f"`{spare}`.kinds"), F.array().cast("array<string>")))
     return out.drop(spare)
-
