@@ -28,7 +28,11 @@ MOST_WORDS = 30_000
 
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed byte trigrams of all words in a row, and the number of each word."""
-    raw = np.frombuffer((EDGE + EDGE.join(words) + EDGE).encode("utf-8", "replace"), np.uint8)
+    joined = EDGE.join(words)
+    if joined.count(EDGE) >= len(words):
+        # Inside a word the edge is written as a blank, which no word holds.
+        joined = EDGE.join([word.replace(EDGE, " ") for word in words])
+    raw = np.frombuffer((EDGE + joined + EDGE).encode("utf-8", "replace"), np.uint8)
     inner = raw != ord(EDGE)
     edges = np.flatnonzero(~inner)
     x = raw.astype(np.uint32)
