@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
+from millrace.llm.rows import numbered_rows
 from millrace.sources.workspace import materialize
 
 #: Bits of the hash, and bits by which the directory grows at a time.
@@ -60,11 +61,15 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     rows.  Texts are not moved; every row meets its bucket by (depth, prefix), tried for
     each of the few depths that occur.
     """
-    sizes = docs.select(
-        col(id_col).alias("doc_id"),
-        bucket_hash(col(id_col)).alias("hash"),
-        F.coalesce(F.octet_length(col(text_col)), F.lit(0)).cast("bigint").alias("bytes"),
-    )
+    return _placed(docs.select(col(id_col).alias("doc_id"), bucket_hash(col(id_col)).alias("hash"), _bytes(text_col)), limit)
+
+
+def _bytes(text_col: str):
+    return F.coalesce(F.octet_length(col(text_col)), F.lit(0)).cast("bigint").alias("bytes")
+
+
+def _placed(sizes: DataFrame, limit: int) -> DataFrame:
+    """The shard of each row of (``doc_id``, ``hash``, ``bytes``)."""
     sizes = materialize(sizes, "sizes")
     buckets = directory(sizes.select("hash", "bytes"), limit)
     # At most BITS + 1 numbers.
@@ -78,11 +83,26 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
 def write_shards(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the documents, one folder per shard and one file in it.
 
-    Ids must be unique for this, since rows meet their shard by id.
+    Every row is written once.  Rows of one id, or of no id, are told apart by their number
+    in the table and hashed by it too, so that they split like others.
     """
-    shards = assign_shards(docs, limit, id_col, text_col).select(F.col("doc_id").alias(id_col), "shard")
-    placed = docs.join(shards, id_col).withColumn("shard", F.concat(F.lit("s"), "shard"))
-    placed.repartition("shard").write.partitionBy("shard").parquet(path)
+    numbered, row = numbered_rows(docs, id_col)
+    sizes = numbered.select(col(row).alias("doc_id"), col(id_col).alias("id"), _bytes(text_col))
+    if row != id_col:
+        known = sizes.where("id IS NOT NULL")
+        # Stored first, so that the adaptive skew join can split a hot id.
+        repeated = known.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("repeated"))
+        known = known.join(materialize(repeated, "repeated"), "id", "left")
+        sizes = known.unionByName(sizes.where("id IS NULL").withColumn("repeated", F.lit(True)))
+        apart = F.concat_ws("|", F.lit("row"), F.col("id").cast("string"), F.col("doc_id").cast("string"))
+        key = F.when(F.col("repeated"), apart).otherwise(F.col("id").cast("string"))
+    else:
+        key = F.col("id")
+    shards = _placed(sizes.select("doc_id", bucket_hash(key).alias("hash"), "bytes"), limit)
+    shards = shards.select(F.col("doc_id").alias("__shard_of"), F.concat(F.lit("s"), "shard").alias("shard"))
+    placed = numbered.join(shards, col(row) == F.col("__shard_of"))
+    kept = [col(c) for c in docs.columns]
+    placed.select(*kept, "shard").repartition("shard").write.partitionBy("shard").parquet(path)
 
 
 def shard_sql(limit: int) -> str:
