@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-import math
+import heapq
 import os
 import re
 import struct
@@ -101,14 +101,24 @@ class PieceModel:
 
     def _merge(self, text: str) -> list[str]:
         """Merge neighbours whose union ranks highest, the leftmost of equals, until none can."""
-        parts = list(text)
-        while len(parts) > 1:
-            ranked = [(-self.score.get(a + b, -math.inf), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            best, i = min(ranked)
-            if best == math.inf:
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        parts, n, get = list(text), len(text), self.score.get
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        heap = [(-rank, i, 2) for i in range(n - 1) if (rank := get(text[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, size = heapq.heappop(heap)
+            j = after[i]
+            # Of pairs that have changed since, another entry tells.
+            if not parts[i] or j == n or len(parts[i]) + len(parts[j]) != size:
+                continue
+            parts[i], parts[j] = parts[i] + parts[j], ""
+            after[i] = j = after[j]
+            if j < n:
+                before[j] = i
+            for a, b in ((before[i], i), (i, j)):
+                if a >= 0 and b < n and (rank := get(parts[a] + parts[b])) is not None:
+                    heapq.heappush(heap, (-rank, a, len(parts[a]) + len(parts[b])))
+        return [part for part in parts if part]
 
     def _fits(self, left: str, right: str) -> bool:
         key = left, right
