@@ -31,7 +31,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = (), **options: str) -> DataFrame:
     """Write the frame as parquet in the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, fixes the result of
@@ -39,5 +39,5 @@ def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) ->
     the real size (so a small result is broadcast by Spark's own size check).
     """
     path = new_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
