@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, hamming, minhash, packing, pieces, pseudonyms, sharding, substrings, token_files, toxicity
+from millrace.llm import (
+    exact_dedup,
+    fim,
+    hamming,
+    lexical,
+    minhash,
+    packing,
+    pieces,
+    pseudonyms,
+    sharding,
+    substrings,
+    token_files,
+    toxicity,
+    warc,
+)
 from millrace.sources.workspace import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +128,23 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors, by sign code, of every hundredth vector."""
     return hamming.nearest_vectors(_table(spark, sf_dir, "embeddings"), k=10)
+
+
+@_query(lexical.search_sql(20))
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
+@_query(warc.warc_sql())
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as web archives in the shared folder and read them back."""
+    path = new_path(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return warc.page_records(spark, path)
+
+
+@_query(fim.fim_sql())
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut for filling in its middle, with checksums of output and restored text."""
+    return fim.middle_digests(_table(spark, sf_dir, "documents"), seed=1, percent=90, spm_percent=20)
