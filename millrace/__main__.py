@@ -14,11 +14,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--target", "-t", required=True, help="folder of the tables")
     parser.add_argument("--dry-run", action="store_true", help="transform and count, write nothing")
     parser.add_argument("--validate", action="store_true", help="print checks after the load")
-    parser.add_argument("--multi-line", action="store_true", help="allow line breaks inside quotes")
     args = parser.parse_args(argv)
 
     spark = build_session()
-    job = Migration(spark, args.source, args.target, multi_line=args.multi_line)
+    job = Migration(spark, args.source, args.target)
     for name, value in job.run(dry_run=args.dry_run).items():
         print(f"{name}: {value:,}")
     if args.validate and not args.dry_run:

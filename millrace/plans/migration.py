@@ -39,7 +39,8 @@ from millrace.operators.reshape import (
     year_columns,
 )
 from millrace.plans.pipeline import discard
-from millrace.sources.files import RAW_LINE, header_columns, odd_quotes_sql, ragged_sql, scan_csv
+from millrace.sources.files import RAW_LINE, header_columns
+from millrace.sources.records import ragged_reason_sql, text_rows
 from millrace.sources.tables import append, ensure_table, read_table, stamp_new
 from millrace.sources.workspace import materialize
 
@@ -56,7 +57,7 @@ class Migration:
     ``source`` may also be a frame of text columns, such as rows a stream has staged.
     What cannot be loaded goes to ``quarantine/*`` there, each run in a partition of its own:
 
-    * ``rows``: rows with their problems; one with too many fields keeps its untouched line
+    * ``rows``: rows with their problems; one with too many fields or bad quotes keeps its untouched text
     * ``figures``: years that break a rule
     * ``orphans``: figures whose plant is in no table
     * ``copies``: natural keys that occur more than once, with their number of rows
@@ -71,7 +72,6 @@ class Migration:
     source: str | DataFrame
     target: str
     encoding: str = "UTF-8"
-    multi_line: bool = False
     metrics: dict[str, int] = field(default_factory=dict)
     run_id: str = ""
 
@@ -120,35 +120,27 @@ class Migration:
     # -- stages ----------------------------------------------------------------
 
     def _text(self) -> DataFrame:
-        """All-text rows with missing values blanked, and the line of a row with too many fields."""
-        if isinstance(self.source, DataFrame):
-            names = [c for c in self.source.columns if c != RAW_LINE]
-            line = f"CASE WHEN {ragged_sql(len(names))} THEN {RAW_LINE} END" if RAW_LINE in self.source.columns else "CAST(NULL AS string)"
-            return null_tokens(self.source, names).selectExpr(*[quoted(c) for c in names], f"{line} AS ragged_line")
-        columns = header_columns(self.spark, self.source, self.encoding)
-        scan = scan_csv(
-            self.spark,
-            self.source,
-            text_schema(columns),
-            encoding=self.encoding,
-            multi_line=self.multi_line,
-            keep_raw_line=True,
-        )
-        line = f"CASE WHEN {ragged_sql(len(columns))} THEN {RAW_LINE} END AS ragged_line"
-        return null_tokens(scan, columns).selectExpr(*[quoted(c) for c in columns], line)
+        """All-text rows with missing values blanked, and the text of a record that is none, with the reason."""
+        rows = self.source
+        if not isinstance(rows, DataFrame):
+            columns = header_columns(self.spark, rows, self.encoding)
+            rows = text_rows(self.spark, rows, text_schema(columns), self.encoding)
+        names = [c for c in rows.columns if c != RAW_LINE]
+        line = RAW_LINE if RAW_LINE in rows.columns else "CAST(NULL AS string)"
+        reason = ragged_reason_sql(line, len(names))
+        return null_tokens(rows, names).selectExpr(*[quoted(c) for c in names], f"{line} AS ragged_line", f"{reason} AS ragged_reason")
 
     def _typed(self) -> DataFrame:
         """Typed plant columns, the yearly text, and what is wrong with a row."""
         text = self._text()
         carried = [quoted(c) for c in year_columns(text)]
-        plants = with_reject_reason(plants_transform(text, extra=[*carried, "ragged_line"]))
+        plants = with_reject_reason(plants_transform(text, extra=[*carried, "ragged_line", "ragged_reason"]))
         checked = with_violations(plants, PLANTS)
         return checked.selectExpr(
             *PLANTS.loaded_columns,
             *carried,
             "ragged_line",
-            f"CASE WHEN {odd_quotes_sql('ragged_line')} THEN 'unbalanced quotes' "
-            "WHEN ragged_line IS NOT NULL THEN 'too many fields' ELSE reject_reason END AS reject_reason",
+            "coalesce(ragged_reason, reject_reason) AS reject_reason",
             VIOLATIONS,
             f"ragged_line IS NULL AND reject_reason IS NULL AND size({VIOLATIONS}) = 0 AS loadable",
         )

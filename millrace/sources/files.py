@@ -56,16 +56,29 @@ def header_columns(spark: SparkSession, path: str, encoding: str = "UTF-8") -> l
 
 
 def ragged_sql(n_columns: int) -> str:
-    """True for a scanned row with more fields than the header or an open quote; never null.
+    """True for a row of `scan_csv` with more fields than the header or an open quote; never null.
 
     A shorter row is not ragged: its missing tail reads as null, as the source rules say.
     A quoted line break read without ``multi_line`` leaves two lines with an odd number of
     quotes each; both are ragged, unless the break is in the last column, whose first half
-    has all its fields and cannot be told from a whole row.  Fields are counted after dropping quoted parts, whose commas do not separate.
+    has all its fields, so that the parser keeps no line of it.  `records.scan_records` has no such gap.
     """
-    unquoted = f"""regexp_replace({RAW_LINE}, r'"([^"]|"")*"', '')"""
-    too_many = f"size(split({unquoted}, ',', -1)) > {n_columns}"
-    return f"({RAW_LINE} IS NOT NULL AND ({too_many} OR {odd_quotes_sql(RAW_LINE)}))"
+    return f"({RAW_LINE} IS NOT NULL AND {ragged_text_sql(RAW_LINE, n_columns)})"
+
+
+def ragged_text_sql(column: str, n_columns: int) -> str:
+    """True for a record with more fields than columns or an odd number of quotes; never null.
+
+    Fields are counted after dropping quoted parts, whose commas do not separate.
+    """
+    unquoted = f"""regexp_replace({column}, r'"(?:[^"]++|"")*+"', '')"""
+    return f"(coalesce(size(split({unquoted}, ',', -1)), 0) > {n_columns} OR {odd_quotes_sql(column)})"
+
+
+def malformed_sql(column: str) -> str:
+    """True for a record with a field that starts with a quote but does not end with its pair; never null."""
+    stripped = f"""regexp_replace({column}, r'(?<![^,])"(?:[^"]++|"")*+"(?=,|\\z)', '')"""
+    return f"""coalesce({stripped} RLIKE r'(?<![^,])"', false)"""
 
 
 def odd_quotes_sql(column: str) -> str:

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.clean import col, null_tokens
-from millrace.sources.files import RAW_LINE, csv_options, ragged_sql
+from millrace.sources.files import RAW_LINE
+from millrace.sources.records import check_heads, parse_records, records, text_stream
 
 
 def ingest_available(
@@ -27,31 +28,25 @@ def ingest_available(
     checkpoint: str,
     files_per_batch: int = 1000,
     encoding: str = "UTF-8",
-    multi_line: bool = False,
     header: bool = True,
 ) -> list[int]:
     """Stage every file that arrived since the last call, in batches, then stop.
 
-    Gives the numbers of the batches it staged.  A row that does not fit the schema keeps
-    its raw line.
+    Gives the numbers of the batches it staged.  Records are put together within a batch,
+    which holds whole files; what is no row keeps its raw text and nothing else.
     """
-    with_line = T.StructType([*schema.fields, T.StructField(RAW_LINE, T.StringType(), True)])
-    arriving = (
-        spark.readStream.schema(with_line)
-        .options(**csv_options(encoding, multi_line, header))
-        .option("columnNameOfCorruptRecord", RAW_LINE)
-        .option("columnPruning", "false")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(landing)
-    )
     staged: list[int] = []
 
     def stage(batch: DataFrame, number: int) -> None:
-        null_tokens(batch, schema.names).write.mode("overwrite").parquet(f"{staging}/batch={number}")
+        found, heads = records(batch, header)
+        if header:
+            check_heads(heads, schema)
+        rows = null_tokens(parse_records(found, schema), schema.names)
+        rows.write.mode("overwrite").parquet(f"{staging}/batch={number}")
         staged.append(number)
 
     query = (
-        arriving.writeStream.foreachBatch(stage)
+        text_stream(spark, landing, files_per_batch, encoding).writeStream.foreachBatch(stage)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -86,11 +81,11 @@ def staged_rows(spark: SparkSession, staging: str, schema: T.StructType, key: Se
     rest = [c for c in schema.names if c not in key]
     newest = [F.col("batch").desc(), *[col(c).asc_nulls_last() for c in rest]]
     rank = Window.partitionBy(*[col(k) for k in key]).orderBy(*newest)
-    fitting = _staged(spark, staging, schema).where(f"NOT {ragged_sql(len(schema.names))}")
+    fitting = _staged(spark, staging, schema).where(f"{RAW_LINE} IS NULL")
     return fitting.withColumn("_rank", F.row_number().over(rank)).where("_rank = 1").select(*[col(c) for c in schema.names])
 
 
 def staged_quarantine(spark: SparkSession, staging: str, schema: T.StructType) -> DataFrame:
-    """The untouched lines of staged rows with too many fields or an open quote."""
-    ragged = _staged(spark, staging, schema).where(ragged_sql(len(schema.names)))
+    """The untouched text of staged records with too many fields or bad quotes."""
+    ragged = _staged(spark, staging, schema).where(f"{RAW_LINE} IS NOT NULL")
     return ragged.select(col(RAW_LINE).alias("raw_line"))

@@ -187,3 +187,20 @@ def test_changed_rows_are_reported(spark, tmp_path):
     assert balanced(done) and (done["plants_changed"], done["figures_changed"]) == (1, 1)
     assert rows_of(quarantine(job, "changed"), "gppd_idnr", "capacity_mw") == [("A1", Decimal("555.00"))]
     assert rows_of(quarantine(job, "changed_figures"), "year", "generation_gwh") == [(2013, Decimal("9.00"))]
+
+
+def test_a_quoted_break_is_neither_cut_nor_miscounted(spark, tmp_path):
+    head = "country,country_long,name,gppd_idnr,capacity_mw,latitude,longitude,primary_fuel,generation_gwh_2013,estimated_generation_note_2013"
+    lines = [
+        'USA,United States,a,K1,5,1,2,Gas,5,"note one',
+        'note two"',
+        'USA,United States,"b',
+        "USA,United States,c,K3,5,1,2,Gas,5,x",
+        'b",K2,5,1,2,Gas,6,',
+    ]
+    (tmp_path / "f.csv").write_bytes("\r\n".join([head, *lines, ""]).encode())
+    job = Migration(spark, str(tmp_path / "f.csv"), str(tmp_path / "out"))
+    done = job.run()
+    assert balanced(done) and (done["plants_extracted"], done["errors"], done["plants_loaded"]) == (2, 0, 2)
+    assert rows_of(job.table(PLANTS), "gppd_idnr", "name") == [("K1", "a"), ("K2", "b\r\nUSA,United States,c,K3,5,1,2,Gas,5,x\r\nb")]
+    assert rows_of(job.table(GENERATION).where("estimation_method IS NOT NULL"), "estimation_method") == [("note one\r\nnote two",)]
