@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
 from millrace.functions.geo import RadiusGrid, bounding_box, great_circle_km
+from millrace.operators.nearest import nearest_k
 from millrace.operators.paging import clamp_limit
 
 DEFAULT_RADIUS_KM = 100.0
@@ -110,17 +111,12 @@ def nearest_join(
 ) -> DataFrame:
     """The nearest plants of every centre inside the radius, ranked; all of them without ``limit``.
 
-    Plants at one and the same point are equally far from any centre, so only the first k
-    of them can be among a centre's k nearest: a crowded point is trimmed before the join.
-    Spark also trims each task's pairs to the k best per centre before the shuffle.
+    With a limit only pairs near the k-th neighbour are formed (`nearest.nearest_k`, which
+    also takes no radius at all); without one every pair within the radius is an answer.
     """
-    nearest = Window.partitionBy(col(centre_id)).orderBy("distance_km", "id")
-    rank = F.row_number().over(nearest)
     if limit is None:
-        return nearby_join(centres, plants, radius_km, centre_id).withColumn("rank", rank)
+        nearest = Window.partitionBy(col(centre_id)).orderBy("distance_km", "id")
+        return nearby_join(centres, plants, radius_km, centre_id).withColumn("rank", F.row_number().over(nearest))
     if limit < 1:
         raise ValueError("limit must be positive")
-    here = Window.partitionBy("latitude", "longitude").orderBy("id")
-    candidates = plants.withColumn("_place", F.row_number().over(here)).where(F.col("_place") <= limit)
-    pairs = nearby_join(centres, candidates.drop("_place"), radius_km, centre_id)
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= limit)
+    return nearest_k(centres, plants, limit, _radius(radius_km), centre_id)

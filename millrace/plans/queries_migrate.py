@@ -24,7 +24,7 @@ from millrace.plans.standin import (
     TYPED_CTE,
     with_views,
 )
-from millrace.sources import files, tables
+from millrace.sources import files, records, tables
 from millrace.sources.workspace import materialize, new_path
 from millrace.streaming.ingest import ingest_available, staged_batches, staged_quarantine, staged_rows
 
@@ -99,6 +99,31 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine
 
 
+# Breaks in every column, the last one too, one of them followed by what looks like a row.
+_BROKEN = {
+    "p_partkey": "CAST(p_partkey AS {text})",
+    "p_name": "CASE p_partkey % 4 WHEN 0 THEN replace(p_name, ' ', {lf}) WHEN 1 THEN concat(p_name, ', \"', p_type, '\"') ELSE p_name END",
+    "p_brand": "CASE p_partkey % 5 WHEN 0 THEN concat(p_brand, {cr}, {lf}, '1,fake,row') ELSE p_brand END",
+    "p_type": "CASE p_partkey % 6 WHEN 0 THEN concat(p_type, {lf}, p_type, {lf}, {lf}, p_type) ELSE p_type END",
+}
+
+
+def _broken(text: str, lf: str, cr: str) -> dict[str, str]:
+    return {c: e.format(text=text, lf=lf, cr=cr) for c, e in _BROKEN.items()}
+
+
+@query(
+    "csv_multiline",
+    f"SELECT {', '.join(f'{e} AS {c}' for c, e in _broken('VARCHAR', 'chr(10)', 'chr(13)').items())} FROM part",
+)
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks inside quotes in any column; files stay splittable and no value is cut."""
+    path = new_path(spark, "broken-csv")
+    fields = [f"""concat('"', replace({e}, '"', '""'), '"')""" for e in _broken("string", "chr(10)", "chr(13)").values()]
+    standin.table(spark, sf_dir, "part").selectExpr(f"concat_ws(',', {', '.join(fields)}) AS value").write.text(path)
+    return records.scan_records(spark, path, text_schema(list(_BROKEN)), header=False).drop(files.RAW_LINE)
+
+
 @query("ingest_quarantine", f"SELECT raw_line FROM ({_LINE_SQL}) WHERE p_size > 25")
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same ragged lines arriving as a stream."""

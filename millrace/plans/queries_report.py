@@ -9,6 +9,7 @@ from millrace.functions import labels
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, contains_text, has_all_tokens, where_all
 from millrace.operators import keys, paging, proximity, stats
+from millrace.operators.nearest import nearest_k
 from millrace.operators.paging import LIST_COLUMNS, PlantFilter, order
 from millrace.plans import standin
 from millrace.plans.registry import plain, query
@@ -533,6 +534,21 @@ def nearest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("centre_id", "id", "rank")
 
 
+@query(
+    "nearest_unbounded",
+    with_views(
+        f"""SELECT centre_id, id, rank FROM (
+          SELECT centre_id, id, CAST(row_number() OVER (PARTITION BY centre_id ORDER BY d, id) AS INTEGER) AS rank
+          FROM ({_PAIRS_SQL})) WHERE rank <= 7""",
+        PLANTS_CTE,
+    ),
+)
+def nearest_unbounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest plants however far they are."""
+    plants = standin.plants(spark, sf_dir).select("id", "latitude", "longitude")
+    return nearest_k(_centres(spark, sf_dir), plants, 7).select("centre_id", "id", "rank")
+
+
 # -- labels ----------------------------------------------------------------------
 
 

@@ -4,7 +4,9 @@ import random
 import pytest
 
 from millrace.functions.geo import bounding_box
+from millrace.operators import nearest as nearest_module
 from millrace.operators import proximity
+from millrace.operators.nearest import nearest_k
 
 SCHEMA = "id bigint, latitude double, longitude double"
 FULL = (
@@ -106,3 +108,57 @@ def test_box_reaches_the_parquet_scan(spark, tmp_path):
     plan = proximity.nearby(spark.read.parquet(path), 1.0, 1.0)._jdf.queryExecution().executedPlan().toString()
     scan = plan[plan.index("PushedFilters") :]
     assert "GreaterThanOrEqual(latitude" in scan and "LessThanOrEqual(longitude" in scan
+
+
+CENTRES = "centre_id int, centre_lat double, centre_lng double"
+
+
+def nearest(points, centre, k, radius=math.inf):
+    return sorted(d for d in (distance(centre, q) for q in points) if d < radius)[:k]
+
+
+@pytest.mark.parametrize("k,radius", [(1, math.inf), (4, math.inf), (500, math.inf), (5, 700.0)])
+def test_nearest_k_equals_brute_force(spark, k, radius):
+    r = random.Random(k)
+    plants = cloud(6, 150) + [(r.gauss(40, 1e-4), r.gauss(-70, 1e-4)) for _ in range(80)]
+    centres = cloud(7, 20) + [(40.0, -70.0), (41.0, -71.0), (-40.0, 110.0)]
+    c = spark.createDataFrame([*[(i, *map(float, p)) for i, p in enumerate(centres)], (99, None, 1.0)], CENTRES)
+    p = spark.createDataFrame([*[(i, *map(float, q)) for i, q in enumerate(plants)], (-1, 1.0, None)], SCHEMA)
+    got = sorted((x.centre_id, x.rank, x.distance_km) for x in nearest_k(c, p, k, radius).collect())
+    expected = sorted((i, n + 1, d) for i, centre in enumerate(centres) for n, d in enumerate(nearest(plants, centre, k, radius)))
+    assert [g[:2] for g in got] == [e[:2] for e in expected]
+    assert all(abs(g[2] - e[2]) < 0.01 for g, e in zip(got, expected))
+
+
+def test_pairs_are_a_small_multiple_of_k(spark):
+    """Open land, a city seen from afar and from inside, and one point with thousands of plants."""
+    r = random.Random(9)
+    land = [(math.degrees(math.asin(r.uniform(-1, 1))), r.uniform(-180, 180)) for _ in range(3000)]
+    city = [(r.gauss(48.85, 0.05), r.gauss(2.35, 0.05)) for _ in range(6000)]
+    plants = land + city + [(0.0, 100.0)] * 3000
+    centres = land[:100] + city[:100] + [(49.5, 2.35), (48.0, 2.0), (0.0, 100.0), (0.0, 100.01)]
+    c = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(centres)], CENTRES)
+    p = spark.createDataFrame([(i, *map(float, q)) for i, q in enumerate(plants)], SCHEMA)
+    cells = []
+    made = nearest_module.candidate_cells
+
+    def seen(*args):
+        cells.append(made(*args))
+        return cells[0]
+
+    nearest_module.candidate_cells = seen
+    try:
+        got = nearest_k(c, p, 8).collect()
+    finally:
+        nearest_module.candidate_cells = made
+    assert len(got) == 8 * len(centres)
+    formed = {x["_centre"]: x["pairs"] for x in cells[0].groupBy("_centre").agg({"n": "sum"}).toDF("_centre", "pairs").collect()}
+    assert len(formed) == len(centres) and max(formed.values()) <= nearest_module.CROWD * 8
+
+
+def test_nearest_k_of_nothing(spark):
+    c, p = spark.createDataFrame([(1, 1.0, 1.0)], CENTRES), spark.createDataFrame([(1, 1.0, 1.0)], SCHEMA)
+    assert nearest_k(c.limit(0), p, 3).collect() == [] == nearest_k(c, p.limit(0), 3).collect()
+    assert nearest_k(c, p, 3, 5.0).count() == 1
+    with pytest.raises(ValueError):
+        nearest_k(c, p, 0)
