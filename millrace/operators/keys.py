@@ -75,9 +75,11 @@ def merge_copies(df: DataFrame, key: Sequence[str], copies: str = "copies") -> D
 
 def settle_copies(
     df: DataFrame, key: Sequence[str], copies: str = "copies"
-) -> tuple[DataFrame, DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """``(winners, losers, repeated)``: one row per key, the rows that lost, and the repeated keys.
 
+    There are no losers (None) where no key repeats.
+
     Of rows that share a key the most complete one wins: nulls are compared first, in the
     order of the columns, then values, smallest first.  ``winners`` carries the number of
     rows it stands for; ``losers`` holds every row that differs from its winner, with its
@@ -93,7 +95,7 @@ def settle_copies(
     repeated = materialize(counted, "repeated")
     alone = F.lit(1).cast("bigint")
     if repeated.isEmpty():
-        return df.withColumn(copies, alone), df.limit(0).withColumn("n_rows", alone), repeated
+        return df.withColumn(copies, alone), None, repeated
     among = df.join(repeated.select(*keys), list(key), "left_semi")
     order = [col(c).isNull().alias(f"n{i}") for i, c in enumerate(rest)]
     place = F.struct(*order, *[col(c).alias(f"v{i}") for i, c in enumerate(rest)])
@@ -106,15 +108,6 @@ def settle_copies(
     return singles.select(*[col(c) for c in won.columns]).unionByName(won), losers, repeated
 
 
-def compare_loaded(rows: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Adds ``_state``: "new", "known" (the table holds the same values) or "changed"."""
-    rest = [c for c in rows.columns if c not in key and c in existing.columns]
-    held = existing.select(*[col(k) for k in key], F.struct(*[col(c) for c in rest]).alias("_held"))
-    same = F.col("_held").eqNullSafe(F.struct(*[col(c) for c in rest]))
-    state = F.when(F.col("_held").isNull(), "new").when(same, "known").otherwise("changed")
-    return rows.join(held, list(key), "left").withColumn("_state", state).drop("_held")
-
-
 def resolve_keys(children: DataFrame, parents: DataFrame, natural: str, key: str, as_name: str) -> DataFrame:
     """Replace the natural key of the children by the parent's key.
 

@@ -5,9 +5,11 @@
 3. facts     look up ids on the wide rows, years to rows, one row per plant and year, append
 4. validate
 
-Each stage reads what the stage before wrote, and a load skips keys that are already
-there, so a run that died can simply be started again.  No row gets lost on the way: the
-counts of a run add up, for plants and for figures, to what was extracted.
+Each stage reads what the stage before wrote.  Both tables become visible together, in a
+new version, and a load skips keys that are already there, so a run that died can simply be
+started again.  Loaded rows are met through an index of their keys, so the cost of a load
+follows the delivery.  No row gets lost on the way: the counts of a run add up, for plants
+and for figures, to what was extracted.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from millrace.functions.clean import col, null_tokens, quoted
 from millrace.operators import stats
 from millrace.operators.checks import VIOLATIONS, with_violations
 from millrace.operators.keys import (
-    compare_loaded,
     orphans,
     settle_copies,
     surrogate_key,
@@ -41,7 +42,9 @@ from millrace.operators.reshape import (
 from millrace.plans.pipeline import discard
 from millrace.sources.files import RAW_LINE, header_columns
 from millrace.sources.records import ragged_reason_sql, text_rows
-from millrace.sources.tables import append, ensure_table, read_table, stamp_new
+from millrace.sources.keyindex import digest
+from millrace.sources.tables import stamp_new
+from millrace.sources.versions import Store, Table, Version
 from millrace.sources.workspace import materialize
 
 NATURAL_KEY = "gppd_idnr"
@@ -55,7 +58,7 @@ class Migration:
     """Files under ``source`` to ``power_plants`` and ``power_plant_generation`` under ``target``.
 
     ``source`` may also be a frame of text columns, such as rows a stream has staged.
-    What cannot be loaded goes to ``quarantine/*`` there, each run in a partition of its own:
+    What cannot be loaded goes to ``quarantine/*`` there, each run that has such rows in a partition of its own:
 
     * ``rows``: rows with their problems; one with too many fields or bad quotes keeps its untouched text
     * ``figures``: years that break a rule
@@ -64,6 +67,8 @@ class Migration:
     * ``conflicts``, ``figure_conflicts``: rows that lost against a more complete copy
     * ``changed``, ``changed_figures``: rows that differ from what is loaded under their key
 
+    With ``update`` such rows also replace the loaded ones, whose ids and creation times stay.
+
     ``metrics`` counts rows: extracted plants are errors + broken + loaded + merged + conflicting
     + known + changed, and extracted figures the same with orphans instead of errors.
     """
@@ -72,14 +77,22 @@ class Migration:
     source: str | DataFrame
     target: str
     encoding: str = "UTF-8"
+    update: bool = False
     metrics: dict[str, int] = field(default_factory=dict)
     run_id: str = ""
+    _base: Version = field(default_factory=Version, repr=False)
+    _tables: dict[str, Table] = field(default_factory=dict, repr=False)
 
     def path(self, table: str) -> str:
         return f"{self.target.rstrip('/')}/{table}"
 
-    def table(self, contract: TableContract) -> DataFrame:
-        return read_table(self.spark, self.path(contract.name), contract.schema)
+    @property
+    def store(self) -> Store:
+        return Store(self.spark, self.target)
+
+    def table(self, contract: TableContract, version: int | None = None) -> DataFrame:
+        """A table as the newest version has it, or the one of that number."""
+        return self.store.read(self.store.version(version).table(contract.name), contract.schema)
 
     def run(self, dry_run: bool = False) -> dict[str, int]:
         """Run all stages; gives the row counts of the run."""
@@ -97,13 +110,20 @@ class Migration:
             discard(long.observe(figures, F.count(F.lit(1)).alias("figures")))
             self.metrics = seen.get | figures.get
             return self.metrics
-        for contract in TABLES:
-            ensure_table(self.spark, self.path(contract.name), contract.schema)
         staged = materialize(typed, "staged", partition_by=["loadable"])
         self.metrics = dict(seen.get)
-        self._quarantine(staged.where("NOT loadable").drop("loadable"), "rows")
-        self.metrics["plants_loaded"] = self._load_plants(staged.where("loadable"))
-        self.metrics["generation_records"] = self._load_generation(staged.where(NOT_RAGGED))
+        if self.metrics["errors"] + self.metrics["broken"]:
+            self._quarantine(staged.where("NOT loadable").drop("loadable"), "rows")
+        self._base = self.store.version()
+        self._tables = {}
+        # Plants that are there already, as far as this delivery names them.
+        named = staged.where(NOT_RAGGED).where(col(NATURAL_KEY).isNotNull())
+        known = materialize(self.store.lookup(self._base.table(PLANTS.name), named, [NATURAL_KEY]), "known")
+        self.metrics["plants_loaded"], new_ids = self._load_plants(staged.where("loadable"), known)
+        ids = known.select(NATURAL_KEY, "id").unionByName(new_ids)
+        self.metrics["generation_records"] = self._load_generation(staged.where(NOT_RAGGED), ids)
+        if any(self._tables[t.name] != self._base.table(t.name) for t in TABLES):
+            self.store.commit(self._base, self._tables)
         return self.metrics
 
     def validate(self) -> dict[str, DataFrame]:
@@ -145,19 +165,36 @@ class Migration:
             f"ragged_line IS NULL AND reject_reason IS NULL AND size({VIOLATIONS}) = 0 AS loadable",
         )
 
-    def _settle(self, rows: DataFrame, contract: TableContract, label: str, conflicts: str, changed: str) -> DataFrame:
+    def _settle(
+        self, rows: DataFrame, contract: TableContract, label: str, conflicts: str, changed: str, known: DataFrame | None = None
+    ) -> DataFrame:
         """New rows of the table, one per key; what else there was is counted and quarantined."""
         key = list(contract.unique[0])
         winners, losers, repeated = settle_copies(rows, key)
-        if label == "plants":
-            self._quarantine(repeated, "copies")
-        lost = self._quarantine_counted(losers, conflicts, "n_rows")
-        compared = materialize(compare_loaded(winners, self.table(contract), key), "compared", partition_by=["_state"])
+        lost = 0
+        if losers is not None:
+            if label == "plants":
+                self._quarantine(repeated, "copies")
+            lost = self._quarantine_counted(losers, conflicts, "n_rows")
+        if known is None:
+            known = self.store.lookup(self._base.table(contract.name), winners, key)
+        held = known.select(*[col(k) for k in key], col("digest").alias("_held"))
+        values = [c for c in contract.schema.names if c in contract.loaded_columns and c not in key]
+        state = F.when(F.col("_held").isNull(), "new").when(F.col("_held") == digest(values), "known").otherwise("changed")
+        compared = winners.join(held, key, "left").withColumn("_state", state).drop("_held")
+        compared = materialize(compared, "compared", partition_by=["_state"])
         count = {
             r["_state"]: (r["n"], r["rows"])
             for r in compared.groupBy("_state").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("rows")).collect()
         }
-        self._quarantine(compared.where("_state = 'changed'").drop("_state", "copies"), changed)
+        if "changed" in count:
+            differing = compared.where("_state = 'changed'").drop("_state", "copies")
+            self._quarantine(differing, changed)
+            if self.update:
+                base = self._base.table(contract.name)
+                self._tables[contract.name], _ = self.store.upserted(
+                    contract.name, base, differing, contract.schema, key, contract.partition_by
+                )
         total = sum(n for _, n in count.values())
         self.metrics |= {
             f"{label}_conflicting": lost,
@@ -167,15 +204,19 @@ class Migration:
         }
         return compared.where("_state = 'new'").drop("_state")
 
-    def _load_plants(self, loadable: DataFrame) -> int:
+    def _load_plants(self, loadable: DataFrame, known: DataFrame) -> tuple[int, DataFrame]:
         rows = loadable.select(*[col(c) for c in PLANTS.loaded_columns])
-        new = self._settle(rows, PLANTS, "plants", "conflicts", "changed").drop("copies")
-        numbered = surrogate_key(new, [NATURAL_KEY], start_after=_last_id(self.table(PLANTS)))
-        return self._append(stamp_new(numbered), PLANTS)
+        new = self._settle(rows, PLANTS, "plants", "conflicts", "changed", known).drop("copies")
+        table = self._base.table(PLANTS.name)
+        numbered = surrogate_key(new, [NATURAL_KEY], start_after=table.last_id)
+        before = self._tables.get(PLANTS.name, table).folders
+        n = self._append(stamp_new(numbered), PLANTS)
+        added = Table([f for f in self._tables[PLANTS.name].folders if f not in before])
+        return n, self.store.read(added, PLANTS.schema).select(NATURAL_KEY, "id")
 
-    def _load_generation(self, staged: DataFrame) -> int:
+    def _load_generation(self, staged: DataFrame, ids: DataFrame) -> int:
         # Ids are looked up on wide rows, which are fewer than the long ones.
-        ids = self.table(PLANTS).select(col(NATURAL_KEY), F.col("id").alias("power_plant_id"))
+        ids = ids.withColumnRenamed("id", "power_plant_id")
         years = figure_years(staged.columns) or GENERATION_YEARS
         figures = [c for c in year_columns(staged) if not c.startswith(NOT_FIGURES)]
         has_text = f"coalesce({', '.join(quoted(c) for c in figures)}) IS NOT NULL" if figures else "false"
@@ -192,21 +233,20 @@ class Migration:
         checked = materialize(checked, "figures", partition_by=["_fate"])
         self.metrics |= seen.get
         values = checked.drop("_fate")
-        self._quarantine(values.where(F.col("_fate") == "orphan").drop("power_plant_id", VIOLATIONS), "orphans")
-        self._quarantine(values.where(F.col("_fate") == "broken"), "figures")
+        if self.metrics["figures_orphaned"]:
+            self._quarantine(values.where(F.col("_fate") == "orphan").drop("power_plant_id", VIOLATIONS), "orphans")
+        if self.metrics["figures_broken"]:
+            self._quarantine(values.where(F.col("_fate") == "broken"), "figures")
         good = values.where(F.col("_fate") == "good").drop(NATURAL_KEY, VIOLATIONS)
         new = self._settle(good, GENERATION, "figures", "figure_conflicts", "changed_figures").drop("copies")
-        return self._append(unique_id(new, start_after=_last_id(self.table(GENERATION))), GENERATION)
+        return self._append(unique_id(new, start_after=self._base.table(GENERATION.name).last_id), GENERATION)
 
     def _append(self, df: DataFrame, contract: TableContract) -> int:
-        written = Observation(contract.name)
-        if contract.partition_by:
-            # Rows of a partition value meet in few tasks, so few files are written; a value
-            # with very many rows is split by size.
-            df = df.hint("rebalance", *[F.col(c) for c in contract.partition_by])
-        observed = df.observe(written, F.count(F.lit(1)).alias("n"))
-        append(observed, self.path(contract.name), contract.schema.names, contract.partition_by)
-        return written.get["n"]
+        """Write new rows and index their keys; they count from the next version on."""
+        table = self._tables.get(contract.name, self._base.table(contract.name))
+        key, parts = contract.unique[0], contract.partition_by
+        self._tables[contract.name], n = self.store.added(contract.name, table, df, contract.schema, key, parts)
+        return n
 
     def _quarantine(self, df: DataFrame, reason: str) -> None:
         df.write.mode("overwrite").parquet(self.path(f"quarantine/{reason}/run={self.run_id}"))
@@ -216,6 +256,3 @@ class Migration:
         self._quarantine(df.observe(written, F.coalesce(F.sum(rows), F.lit(0)).alias("n")), reason)
         return written.get["n"]
 
-
-def _last_id(existing: DataFrame) -> int:
-    return existing.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]

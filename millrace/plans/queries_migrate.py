@@ -25,6 +25,7 @@ from millrace.plans.standin import (
     with_views,
 )
 from millrace.sources import files, records, tables
+from millrace.sources.versions import Store, Table, Version
 from millrace.sources.workspace import materialize, new_path
 from millrace.streaming.ingest import ingest_available, staged_batches, staged_quarantine, staged_rows
 
@@ -557,6 +558,32 @@ def audit_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "upsert_versioned",
+    with_views(
+        """SELECT gppd_idnr, coalesce(owner, 'State') AS owner, CASE WHEN id % 10 = 0 THEN 'new'
+          WHEN owner IS NULL THEN 'changed' ELSE 'as it was' END AS fate, CAST(capacity_mw AS DOUBLE) AS capacity_mw FROM plants""",
+        PLANTS_CTE,
+    ),
+)
+def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in two versions: the second gives owners to plants without one, and adds plants."""
+    store = Store(spark, new_path(spark, "store"))
+    loaded = F.lit("2020-01-01 00:00:00").cast("timestamp")
+    names = ["id", "gppd_idnr", "owner", "capacity_mw", "primary_fuel"]
+    rows = standin.plants(spark, sf_dir).select(*names, loaded.alias("created_at"), loaded.alias("updated_at"))
+    key, parts = ["gppd_idnr"], ["primary_fuel"]
+    first, _ = store.added("plants", Table(), rows.where("id % 10 <> 0"), rows.schema, key, parts)
+    base = store.commit(Version(), {"plants": first})
+    named = rows.where("owner IS NULL OR id % 10 = 0").withColumn("owner", F.coalesce("owner", F.lit("State")))
+    second, _ = store.upserted("plants", base.table("plants"), named.drop("id"), rows.schema, key, parts)
+    store.commit(base, {"plants": second})
+    fate = """CASE WHEN created_at > TIMESTAMP'2020-01-01 00:00:00' THEN 'new'
+        WHEN updated_at > created_at THEN 'changed' ELSE 'as it was' END AS fate"""
+    after = store.read(store.version().table("plants"), rows.schema)
+    return plain(after.selectExpr("gppd_idnr", "owner", fate, "capacity_mw"))
+
+
 def _fan_out(spark: SparkSession, sf_dir: str) -> tuple[Pipeline, dict[str, str]]:
     paths = {name: new_path(spark, name) for name in ("plants", "rejects")}
 
@@ -666,6 +693,21 @@ def migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(job)
 
 
+@query(
+    "migration_update",
+    with_views(
+        """SELECT row_number() OVER (ORDER BY gppd_idnr) AS plant_id, gppd_idnr,
+          CASE WHEN gppd_idnr LIKE '%3' THEN 'new owner' ELSE owner END AS owner, gppd_idnr LIKE '%3' AS changed FROM tagged
+        WHERE reject_reason IS NULL AND capacity_mw > 0""",
+        TYPED_CTE,
+    ),
+)
+def migration_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed rows of a second delivery replace the loaded ones under their old ids."""
+    job, _ = _redelivery(spark, sf_dir, update=True)
+    return job.table(PLANTS).selectExpr("id AS plant_id", "gppd_idnr", "owner", "updated_at > created_at AS changed")
+
+
 @query("migration_incremental", _MIGRATION_SQL)
 def migration_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same files arriving twice in a landing folder: streamed to staging, then loaded."""
@@ -708,14 +750,14 @@ _DELIVERED = """delivered AS (
     WHEN reject_reason IS NULL THEN 'broken' ELSE 'error' END AS fate FROM tagged)"""
 
 
-def _redelivery(spark: SparkSession, sf_dir: str) -> tuple[Migration, list[dict[str, int]]]:
+def _redelivery(spark: SparkSession, sf_dir: str, update: bool = False) -> tuple[Migration, list[dict[str, int]]]:
     """A delivery, and a second one: as it was, with other owners, and every row twice."""
     wide = materialize(standin.raw_wide(spark, sf_dir), "wide")
     every = wide.select([c for c in wide.columns if c != "owner"] + ["owner"])
     changed = every.withColumn("owner", F.when(F.col("gppd_idnr").endswith("3"), F.lit("new owner")).otherwise(F.col("owner")))
     target, counts = new_path(spark, "tables"), []
     for rows in (every, changed.union(changed)):
-        job = Migration(spark, rows, target)
+        job = Migration(spark, rows, target, update=update)
         counts.append(job.run())
     return job, counts
 

@@ -107,15 +107,43 @@ def test_later_file_adds_to_the_same_tables(job, tmp_path):
 
 
 def test_stopped_between_parents_and_children_can_restart(job, monkeypatch):
-    def stop(self, staged):
+    def stop(self, staged, ids):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
         patch.setattr(Migration, "_load_generation", stop)
         with pytest.raises(RuntimeError):
             job.run()
+    # Plants were written, but no version names them.
+    assert job.table(PLANTS).count() == 0 and job.store.numbers() == []
     done = job.run()
-    assert (done["plants_loaded"], done["generation_records"]) == (0, 3)
+    assert (done["plants_loaded"], done["generation_records"]) == (4, 3)
+    assert job.store.numbers() == [1] and len(job.store.vacuum()) == 2
+    assert job.table(PLANTS).count() == 4 and job.table(GENERATION).count() == 3
+
+
+def test_a_load_killed_between_the_tables_leaves_the_old_version_whole(job, tmp_path, monkeypatch):
+    job.run()
+    before = {t.name: sorted(map(str, job.table(t).collect())) for t in (PLANTS, GENERATION)}
+    more = tmp_path / "more.csv"
+    more.write_text("\n".join([HEADER, "USA,United States,new,P0,1,1,1,Coal,,,4,,,,", "USA,United States,other,P2,7,1,1,Gas,,,4,,,,"]))
+    later = Migration(job.spark, str(more), job.target, update=True)
+
+    def stop(self, staged, ids):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Migration, "_load_generation", stop)
+        with pytest.raises(RuntimeError):
+            later.run()
+    assert before == {t.name: sorted(map(str, later.table(t).collect())) for t in (PLANTS, GENERATION)}
+    done = later.run()
+    assert (done["plants_loaded"], done["plants_changed"], done["generation_records"]) == (1, 1, 2)
+    assert rows_of(later.table(PLANTS).where("gppd_idnr IN ('P0', 'P2')"), "id", "gppd_idnr", "capacity_mw") == [
+        (2, "P2", Decimal("7.00")),
+        (5, "P0", Decimal("1.00")),
+    ]
+    assert sorted(map(str, later.table(PLANTS, version=1).collect())) == before[PLANTS.name]
 
 
 def test_dry_run_writes_nothing(job, tmp_path):

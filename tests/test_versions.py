@@ -1,0 +1,125 @@
+"""Versioned tables and the key index that loads and upserts go through."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.sources import keyindex
+from millrace.sources.versions import FILE, Conflict, Store, Table, Version
+
+KEY = ["k"]
+
+
+def table(spark, n, start=0):
+    return spark.range(start, start + n).selectExpr(
+        "id", "concat('k', id) AS k", "CASE WHEN id % 3 > 0 THEN id END AS v", "concat('p', id % 2) AS part",
+        "TIMESTAMP'2020-01-01' AS created_at", "TIMESTAMP'2020-01-01' AS updated_at",
+    )
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, str(tmp_path / "store"))
+
+
+def test_two_tables_become_visible_together(spark, store):
+    rows = table(spark, 10)
+    a, n = store.added("a", Table(), rows, rows.schema, KEY, ["part"])
+    b, _ = store.added("b", Table(), rows, rows.schema, KEY)
+    assert n == 10 and store.version() == Version() and store.numbers() == []
+    first = store.commit(Version(), {"a": a, "b": b})
+    assert store.version() == first and first.table("a").last_id == 9
+    assert store.read(store.version().table("a"), rows.schema).orderBy("id").collect() == rows.orderBy("id").collect()
+    with pytest.raises(Conflict):
+        store.commit(Version(), {"a": a})
+    assert store.numbers() == [1] and store.read(store.version().table("c"), rows.schema).count() == 0
+
+
+def test_upsert_rewrites_touched_files_only(spark, store):
+    rows = table(spark, 40)
+    first, _ = store.added("t", Table(), rows.repartition(4, "id"), rows.schema, KEY, ["part"])
+    more, _ = store.added("t", first, table(spark, 40, 100), rows.schema, KEY, ["part"])
+    base = store.commit(Version(), {"t": more})
+    before = {r[FILE]: r.n for r in store.read(more, rows.schema, with_file=True).groupBy(FILE).agg(F.count("*").alias("n")).collect()}
+    changes = spark.createDataFrame([("k4", 77), ("k104", None), ("new", 5)], "k string, v bigint")
+    after, counts = store.upserted("t", base.table("t"), changes, rows.schema, KEY, ["part"])
+    # The old version is what it was until the commit, and can be read after it.
+    assert store.read(store.version().table("t"), rows.schema).count() == 80
+    store.commit(base, {"t": after})
+    assert counts == {"updated": 2, "inserted": 1, "files": len(after.dropped)}
+    now = {r.k: r for r in store.read(after, rows.schema).collect()}
+    assert len(now) == 81 and (now["k4"].v, now["k104"].v, now["k4"].id) == (77, None, 4)
+    assert now["new"].id > 139 and now["new"].part is None and now["new"].created_at == now["new"].updated_at
+    assert now["k4"].updated_at > now["k4"].created_at and now["k5"].updated_at == now["k5"].created_at
+    held = {r[FILE] for r in store.read(after, rows.schema, with_file=True).select(FILE).distinct().collect()}
+    assert set(before) - held == set(after.dropped) and 0 < len(after.dropped) < len(before)
+    # Keys are found where they lie now, and once.
+    found = store.lookup(after, spark.createDataFrame([("k4",), ("k6",), ("new",), ("no",), (None,)], "k string"), KEY).collect()
+    assert sorted(r.k for r in found) == ["k4", "k6", "new"] and {r[FILE] for r in found} <= held
+    again, counts = store.upserted("t", after, changes.where("k <> 'new'"), rows.schema, KEY, ["part"])
+    assert counts["updated"] == 2 and store.read(again, rows.schema).count() == 81
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        store.upserted("t", after, changes.union(changes), rows.schema, KEY)
+
+
+def test_dropped_files_are_not_read(spark, store):
+    rows = table(spark, 40)
+    first, _ = store.added("t", Table(), rows.repartition(4, "id"), rows.schema, KEY)
+    after, _ = store.upserted("t", first, spark.createDataFrame([("k4", 1)], "k string, v bigint"), rows.schema, KEY)
+    read = store.read(after, rows.schema).select(F.input_file_name().alias("f")).distinct().collect()
+    assert not any(d.rsplit("/", 1)[1] in r.f for d in after.dropped for r in read)
+
+
+@pytest.mark.parametrize("n", [1, 5, 300, 3000])
+def test_lookup_equals_a_join(spark, store, monkeypatch, n):
+    monkeypatch.setattr(keyindex, "BUCKET_KEYS", 64)
+    t, start = Table(), 0
+    for size in (n, 7, 0, 2 * n, 3, 1, 2):
+        t, added = store.added("t", t, table(spark, size, start), table(spark, 1).schema, KEY)
+        assert added == size
+        start += size
+    assert len({i.tier for i in t.index}) <= len(t.index) < 7
+    wanted = spark.range(0, 2 * start, 3).selectExpr("concat('k', id) AS k").union(spark.createDataFrame([("k0",), ("",)], "k string"))
+    found = store.lookup(t, wanted, KEY).select("k", "id", "digest").collect()
+    rows = store.read(t, table(spark, 1).schema)
+    expected = rows.join(wanted.distinct(), "k").select("k", "id", keyindex.digest(["v", "part"]).alias("digest")).collect()
+    assert sorted(found) == sorted(expected)
+
+
+def size_of(paths):
+    return sum(os.path.getsize(p.removeprefix("file://")) for p in paths)
+
+
+def files_of(df):
+    return {r.f for r in df.select(F.input_file_name().alias("f")).distinct().collect()}
+
+
+def test_what_a_lookup_reads_follows_the_keys_and_not_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyindex, "BUCKET_KEYS", 256)
+    read = {}
+    for n in (4_000, 32_000):
+        store = Store(spark, str(tmp_path / f"s{n}"))
+        t, _ = store.added("t", Table(), table(spark, n), table(spark, 1).schema, KEY)
+        (part,) = t.index
+        assert part.buckets >= n // 256
+        absent = spark.range(10).selectExpr("concat('x', id) AS k")
+        known = spark.range(0, 4000, 1000).selectExpr("concat('k', id) AS k")
+        for name, keys in (("absent", absent), ("known", known)):
+            asked = keys.withColumn("_h", keyindex._hash(KEY))
+            admitted = keyindex.candidates(spark, store.root, part, asked)
+            entries = keyindex.hit_entries(spark, store.root, part, admitted)
+            read[n, name] = size_of(files_of(entries))
+        whole = size_of(files_of(keyindex.entries(spark, store.root, [part])))
+        assert read[n, "known"] < whole / 2
+    assert read[32_000, "known"] < 2 * read[4_000, "known"]
+    assert read[32_000, "absent"] <= read[32_000, "known"]
+
+
+def test_vacuum(spark, store):
+    rows = table(spark, 10)
+    a, _ = store.added("a", Table(), rows, rows.schema, KEY)
+    lost, _ = store.added("a", Table(), rows, rows.schema, KEY)
+    base = store.commit(Version(), {"a": a})
+    assert store.vacuum() == sorted([*lost.folders, lost.index[0].folder])
+    assert store.read(base.table("a"), rows.schema).count() == 10 and store.vacuum() == []
