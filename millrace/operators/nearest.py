@@ -79,6 +79,10 @@ def candidate_cells(centres: DataFrame, points: DataFrame, k: int, radius_km: fl
         bound = F.min("bound").over(by_centre)
         cells = cells.withColumn("bound", enough).withColumn("bound", F.coalesce(bound, F.lit(4.0)))
         kept = cells.where(F.col("near") <= F.col("bound") + SLACK).withColumn("left", F.sum("n").over(by_centre))
+        if level == STEP:
+            # Too coarse to stop at, so not worth storing.
+            open_cells = kept.select("_centre", *[f"c{a}" for a in AXES], *[F.col(a).alias(f"up_{a}") for a in AXES])
+            continue
         ready = (F.col("left") <= CROWD * k) | F.lit(level == LEVELS)
         kept = kept.select("_centre", *[f"c{a}" for a in AXES], *AXES, "n", ready.alias("ready"))
         kept = materialize(kept, "cells", partition_by=["ready"])
