@@ -86,10 +86,18 @@ class Levels:
             high -= 1
 
 
-def _windows(documents: Iterator[tuple], capacity: int, end_id: int) -> Iterator[list]:
-    levels, end = Levels(capacity), np.array([end_id], "<u4").tobytes()
+def _documents(blocks: Iterator[tuple], end_id: int) -> Iterator[tuple]:
+    """(document id, its ids and the end id as bytes) from blocks of encoded texts."""
+    for docs, ids, starts in blocks:
+        data = memoryview(np.insert(ids, starts[1:], end_id).astype("<u4", copy=False)).cast("B")
+        ends = (4 * (starts + np.arange(len(starts)))).tolist()
+        for i, doc in enumerate(docs):
+            yield doc, bytes(data[ends[i] : ends[i + 1]])
+
+
+def _windows(documents: Iterator[tuple], capacity: int) -> Iterator[list]:
+    levels = Levels(capacity)
     for doc, ids in documents:
-        ids += end
         total = len(ids) // 4
         whole = total // capacity * capacity
         for start in range(0, whole, capacity):
@@ -108,7 +116,6 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokenizer: str | None = None,
-    added: bool = False,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` ids.
 
@@ -121,8 +128,8 @@ def pack(
     the rest is placed by `Levels`.  What stays open is emptied by cutting, so a task pads
     at most its last sequence.  A null text is empty (its piece is the end id), a null id
     stays null, repeated rows are packed each on its own, other columns are ignored, an
-    empty table gives no rows.  ``added`` reads the tokenizer's added tokens in the texts as
-    the library does by default; without it they are ordinary text.
+    empty table gives no rows.  The tokenizer's added tokens are read in the texts, as the
+    library does.
     """
     if capacity < 2:
         raise ValueError("a window holds at least two ids")
@@ -139,7 +146,7 @@ def pack(
             columns = [pa.array(c, pa.int64()) for c in list(zip(*rows))[:6]]
             return pa.RecordBatch.from_arrays([*columns, pa.array([r[6] for r in rows], pa.binary())], [*names, "ids"])
 
-        for window in _windows(tokens.encoded(batches, path, added), capacity, end_id):
+        for window in _windows(_documents(tokens.encoded(batches, path), end_id), capacity):
             offset = 0
             for doc, start, total, ids in window:
                 length = len(ids) // 4

@@ -41,7 +41,6 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     tokenizer: str | None = None,
-    added: bool = False,
 ) -> None:
     """Write the ids of all documents, in ascending id order, under ``uri``.
 
@@ -55,8 +54,7 @@ def write_token_files(
     column matters; a part is written again under the same names if its task is repeated.
     A null text is empty; rows with a null id come first and are marked in ``.nulls``; of
     equal ids the smaller text comes first; an empty table gives a manifest without parts.
-    ``added`` reads the tokenizer's added tokens in the texts as the library does by
-    default; without it they are ordinary text.
+    The tokenizer's added tokens are read in the texts, as the library does.
     """
     path = tokenizer or tokens.default_path()
     vocabulary = max(tokens.encoder(path).vocabulary, end_id + 1)
@@ -69,21 +67,20 @@ def write_token_files(
         context = TaskContext.get()
         part, tag = context.partitionId(), str(context.taskAttemptId())
         store, folder = _store(uri)
-        end = np.array([end_id], f"<u{width}").tobytes()
         doc_ids, lengths = [], []
         name = f"part-{part:06d}"
         hidden = posixpath.join(folder, f".{name}.ids.{tag}")
         out = None
-        for doc, ids in tokens.encoded(batches, path, added):
+        for docs, ids, starts in tokens.encoded(batches, path):
             out = out or store.open_output_stream(hidden)
-            lengths.append(len(ids) // 4 + 1)
-            out.write(np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() + end)
-            doc_ids.append(doc)
+            lengths.append(np.diff(starts) + 1)
+            out.write(memoryview(np.insert(ids, starts[1:], end_id).astype(f"<u{width}")).cast("B"))
+            doc_ids += docs
         if out is None:
             return
         out.close()
         store.move(hidden, posixpath.join(folder, f"{name}.ids"))
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<u8")
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))]).astype("<u8")
         _put(store, folder, f"{name}.offsets", [offsets.tobytes()], tag)
         _put(store, folder, f"{name}.docs", [np.array([d or 0 for d in doc_ids], "<i8").tobytes()], tag)
         nulls = np.array([d is None for d in doc_ids], "u1")
@@ -126,17 +123,20 @@ def _mapped(store, path: str, dtype: str) -> np.ndarray:
         return np.frombuffer(pa.py_buffer(f.read()), dtype)
 
 
-def part_documents(uri: str, part: dict, width: int) -> Iterator[tuple[int | None, int, np.ndarray]]:
-    """(document id, ids of all documents before, ids) of one part."""
+def part_blocks(uri: str, part: dict, width: int, most_ids: int = 4_000_000) -> Iterator[tuple]:
+    """(document ids, where each begins among all ids, ids) of one part, in blocks of whole documents."""
     store, folder = _store(uri)
     at = posixpath.join(folder, part["name"])
     ids = _mapped(store, f"{at}.ids", f"<u{width}")
-    offsets = _mapped(store, f"{at}.offsets", "<u8")
+    offsets = _mapped(store, f"{at}.offsets", "<u8").astype(np.int64)
     docs = _mapped(store, f"{at}.docs", "<i8")
-    nulls = _mapped(store, f"{at}.nulls", "u1") if part["nulls"] else np.zeros(len(docs), "u1")
-    for i, doc in enumerate(docs.tolist()):
-        first, last = int(offsets[i]), int(offsets[i + 1])
-        yield None if nulls[i] else doc, part["base"] + first, ids[first:last]
+    nulls = _mapped(store, f"{at}.nulls", "u1").astype(bool) if part["nulls"] else np.zeros(len(docs), bool)
+    start = 0
+    while start < len(docs):
+        stop = min(len(docs), max(start + 1, int(np.searchsorted(offsets, offsets[start] + most_ids))))
+        here = offsets[start : stop + 1]
+        yield np.ma.array(docs[start:stop], mask=nulls[start:stop]), part["base"] + here, ids[here[0] : here[-1]]
+        start = stop
 
 
 def read_token_files(spark: SparkSession, uri: str) -> DataFrame:
@@ -149,25 +149,15 @@ def read_token_files(spark: SparkSession, uri: str) -> DataFrame:
 
         for batch in batches:
             for number in batch.column(0).to_pylist():
-                rows, size = [], 0
-                for doc, start, ids in part_documents(uri, parts[number], width):
-                    rows.append((doc, start, len(ids), ids.astype("<u4").tobytes()))
-                    size += len(ids)
-                    if size > 4_000_000:
-                        yield _batch(pa, rows)
-                        rows, size = [], 0
-                if rows:
-                    yield _batch(pa, rows)
+                for docs, starts, ids in part_blocks(uri, parts[number], width):
+                    offsets = pa.py_buffer((4 * (starts - starts[0])).astype("<i4"))
+                    texts = pa.Array.from_buffers(pa.binary(), len(docs), [None, offsets, pa.py_buffer(ids.astype("<u4"))])
+                    columns = [pa.array(docs.data, mask=np.ma.getmaskarray(docs)), pa.array(starts[:-1]), pa.array(np.diff(starts)), texts]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids"])
 
     return spark.range(0, len(parts), 1, max(1, len(parts))).mapInArrow(read, READ)
 
 
-def _batch(pa, rows: list[tuple]):
-    columns = list(zip(*rows))
-    arrays = [pa.array(c, pa.int64()) for c in columns[:3]] + [pa.array(columns[3], pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "start", "n_tokens", "ids"])
-
-
 def file_digests(spark: SparkSession, uri: str) -> DataFrame:
     """The documents of the files with a checksum in place of the ids."""
     return read_token_files(spark, uri).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

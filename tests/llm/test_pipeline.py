@@ -47,7 +47,6 @@ def test_stages_against_brute_force(spark, sf_dir):
 
     given, pieces = rows["packing"]
     tokenizer = Tokenizer.from_file(tokens.default_path())
-    tokenizer.encode_special_tokens = True
     got = {}
     for p in sorted(pieces, key=lambda p: (p.doc_id, p.start)):
         got.setdefault(p.doc_id, []).extend(np.frombuffer(p.ids, "<u4").tolist())

@@ -2,6 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,6 @@ TEXTS = ["", None, " two  spaces\n\nlines", "a" * 30000, "one two three " * 4000
 
 
 LIBRARY = Tokenizer.from_file(tokens.default_path())
-LIBRARY.encode_special_tokens = True
 SMALL = tokens.WordEncoder(tokens.default_path(), remembered=3)
 
 
@@ -24,12 +24,31 @@ def library():
     return lambda text: LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
+def ids_of(encoder, texts):
+    ids, starts = encoder.encode(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, starts[1:-1])] if texts else []
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=" \n\t\r\x1c\x85\xa0　ab1'!é日_", max_size=15), max_size=4))
+@given(st.lists(st.text(alphabet=" \n\t\r\x1c\x85\xa0　ab1'!é日_×÷…s.,", max_size=15), max_size=4))
 def test_words_give_the_ids_of_the_library(texts):
     for _ in range(2):
-        got = [np.frombuffer(x, "<u4").tolist() for x in SMALL.encode(texts)]
-        assert got == [LIBRARY.encode(x, add_special_tokens=False).ids for x in texts]
+        assert ids_of(SMALL, texts) == [LIBRARY.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_slices_nulls_and_blocks_of_an_array():
+    encoder = tokens.WordEncoder(tokens.default_path())
+    texts = ["left out", None, "", "a b", "日本 語 " * 50, "", "x" * 300, "end "]
+    array = pa.array(texts, pa.string()).slice(1)
+    expected = [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+    ids, starts = encoder.encode(array)
+    assert [x.tolist() for x in np.split(ids, starts[1:-1])] == expected
+    for size in (1, 100, 1000):
+        ranges = list(tokens.array_blocks(array, size))
+        assert [i for a, b in ranges for i in range(a, b)] == list(range(len(array)))
+        got = [encoder.encode(array.slice(a, b - a)) for a, b in ranges]
+        assert [x.tolist() for ids, starts in got for x in np.split(ids, starts[1:-1])] == expected
+    assert encoder.encode(pa.array([], pa.string()))[1].tolist() == [0]
 
 
 def _frame(spark, texts):
@@ -98,7 +117,7 @@ def test_placing_minimises_the_sum_of_squares():
 
 
 def test_drain_leaves_one_open_window():
-    windows = list(packing._windows(((i, bytes(4 * 599)) for i in range(500)), 1000, 0))
+    windows = list(packing._windows(((i, bytes(4 * 600)) for i in range(500)), 1000))
     fills = [sum(len(p[3]) // 4 for p in w) for w in windows]
     assert sum(fills) == 300_000 and sorted(fills)[1] == 1000
 
