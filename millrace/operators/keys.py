@@ -30,17 +30,23 @@ def surrogate_key(
     order = [col(c) if isinstance(c, str) else c for c in order_by]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "ranged")
+    numbered = dense_numbers(placed, name, start_after)
+    return numbered.select(col(name), *[col(c) for c in df.columns])
+
+
+def dense_numbers(placed: DataFrame, name: str, start_after: int = 0) -> DataFrame:
+    """Numbers ``start_after + 1, ...`` for stored rows whose ``_place`` is their place when written."""
     part = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per partition of the range shuffle, whatever the number of rows.
+    # One row per partition that was written, whatever the number of rows.
     offsets = sizes.select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
     number = (F.col("_offset") + row + F.lit(start_after + 1)).cast("bigint")
     joined = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return joined.select(number.alias(name), *[col(c) for c in df.columns])
+    return joined.withColumn(name, number).drop("_part", "_offset", "_place")
 
 
 def unique_id(df: DataFrame, name: str = "id", start_after: int = 0) -> DataFrame:
@@ -63,14 +69,15 @@ def keep_first(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> Da
 
 
 def merge_copies(df: DataFrame, key: Sequence[str], copies: str = "copies") -> DataFrame:
-    """One row per key (the smallest by the other columns) and how many rows it stands for.
+    """One row per key and how many rows it stands for; the row is the one that `settle_copies` lets win.
 
     An aggregate, so copies are merged inside each task before the shuffle.
     """
     keys = [col(k) for k in key]
-    rest = [col(c) for c in df.columns if c not in key]
-    merged = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).alias(copies))
-    return merged.select(*keys, "_row.*", col(copies))
+    rest = [c for c in df.columns if c not in key]
+    place = F.struct(*[col(c).isNull().alias(f"n{i}") for i, c in enumerate(rest)], *[col(c).alias(f"v{i}") for i, c in enumerate(rest)])
+    merged = df.groupBy(*keys).agg(F.min(place).alias("_best"), F.count(F.lit(1)).alias(copies))
+    return merged.select(*keys, *[F.col(f"_best.v{i}").alias(c) for i, c in enumerate(rest)], col(copies))
 
 
 def settle_copies(

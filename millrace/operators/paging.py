@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from millrace.contract import FUELS
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, all_of, contains_text, where_all
+from millrace.operators.keys import dense_numbers
+from millrace.sources.workspace import materialize
 
 DEFAULT_PAGE_SIZE = 20
 MAX_PAGE_SIZE = 100
@@ -53,8 +55,10 @@ def sorted_slice(df: DataFrame, ordering: Sequence[Key], limit: int | None, offs
     ranges at values drawn by hash, rows are counted per range, and the search goes on in
     the ranges that hold the wanted positions, by a condition on the column that a scan can
     use.  Rows of one value go on with the next sort column.  A page near the start needs
-    no such round.  Nothing is written, no task sorts more than its share, and a top-k
-    passes over ``REACH`` rows at most.  ``ordering`` should identify a row.
+    no such round, so its frame is lazy; for others the counting runs while it is built.
+    Nothing is written, no task sorts more than its share, and a top-k passes over ``REACH``
+    rows at most.  ``ordering`` should identify a row; where many rows tie in all of it, some
+    of them are numbered and taken, each task its own.
     """
     ordering = list(ordering)
     columns = [order(*key) for key in ordering]
@@ -62,7 +66,10 @@ def sorted_slice(df: DataFrame, ordering: Sequence[Key], limit: int | None, offs
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    return found.orderBy(*columns) if limit is None else found.orderBy(*columns).limit(limit)
+    if limit is not None and offset + limit <= REACH:
+        return found.orderBy(*columns).limit(limit)
+    # Ranges of the sort can only part rows that differ: a number sets equal ones apart.
+    return found.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*columns, "_tie").drop("_tie")
 
 
 def _slice(df: DataFrame, ordering: list[Key], start: int, stop: int | None) -> list[DataFrame]:
@@ -73,7 +80,7 @@ def _slice(df: DataFrame, ordering: list[Key], start: int, stop: int | None) ->
         return [df.orderBy(*[order(*key) for key in ordering]).offset(start).limit(stop - start)]
     if not ordering:
         # Rows that no sort column tells apart: any will do.
-        return [df.limit((df.count() if stop is None else stop) - start)]
+        return [some_rows(df, (df.count() if stop is None else stop) - start)]
     name, descending = ordering[0]
     cells = _cells(df, name, descending, [key for key, _ in ordering])
     total = sum(n for _, _, n in cells)
@@ -97,6 +104,53 @@ def _slice(df: DataFrame, ordering: list[Key], start: int, stop: int | None) ->
     return out or [df.limit(0)]
 
 
+def some_rows(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` of the rows, left where they are: no task gathers them.
+
+    Rows are stored with their place, and counted per task; the counts before a task (one
+    row each) tell how many of its rows are wanted.
+    """
+    placed = materialize(df.withColumn("_place", F.monotonically_increasing_id()), "tied")
+    return dense_numbers(placed, "_number").where(F.col("_number") <= n).select(*[col(c) for c in df.columns])
+
+
+def list_after(
+    df: DataFrame, ordering: Sequence[Key], after: Sequence[object] | None = None, limit: int = DEFAULT_PAGE_SIZE
+) -> DataFrame:
+    """The next ``limit`` rows behind the row with the values ``after`` in the sort columns.
+
+    However deep the page lies, it costs one top-k over rows that a range on the leading
+    column admits, which reaches the scan.  ``ordering`` must identify a row; rows added or
+    removed before the position shift nothing.
+    """
+    if limit < 1:
+        raise ValueError("limit must be positive")
+    if after is not None:
+        if len(after) != len(ordering):
+            raise ValueError("one value is needed for each sort column")
+        df = df.where(_follows(df, list(ordering), list(after)))
+        name, descending = ordering[0]
+        if after[0] is not None and after[0] == after[0]:
+            reach = col(name) <= F.lit(after[0]) if descending else (col(name) >= F.lit(after[0])) | col(name).isNull()
+            df = df.where(reach)
+    return df.orderBy(*[order(*key) for key in ordering]).limit(limit)
+
+
+def _follows(df: DataFrame, ordering: list[Key], after: list[object]) -> Column:
+    """Whether a row comes after the values: nulls last ascending and first descending."""
+    (name, descending), value = ordering[0], after[0]
+    column = col(name)
+    if value is None:
+        later = column.isNotNull() if descending else F.lit(False)
+    else:
+        # Not-a-number counts as the largest number, as in the sort.
+        later = column < F.lit(value) if descending else (column > F.lit(value)) | column.isNull()
+    later = F.coalesce(later, F.lit(False))
+    if len(ordering) == 1:
+        return later
+    return later | (column.eqNullSafe(F.lit(value).cast(df.schema[name].dataType)) & _follows(df, ordering[1:], after[1:]))
+
+
 def _cells(df: DataFrame, name: str, descending: bool, ordering: list[str]) -> list[tuple[Column, bool, int]]:
     """Conditions that part the rows by one column, in its order: (condition, one value only, rows)."""
     column = col(name)

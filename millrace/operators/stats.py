@@ -38,7 +38,12 @@ def _mean_mw():
 
 def summary(plants: DataFrame) -> DataFrame:
     """One row about the whole table; without plants the counts are 0 and the rest null."""
-    return capacity_cells(plants).agg(
+    return summary_of(capacity_cells(plants))
+
+
+def summary_of(cells: DataFrame) -> DataFrame:
+    """The same from cells, such as those of `running`."""
+    return cells.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_plants"),
         _total_mw().alias("total_capacity_mw"),
         (_total_mw() / 1000).alias("total_capacity_gw"),
@@ -63,7 +68,11 @@ def by_country(plants: DataFrame, limit: int | None = None) -> DataFrame:
 
 def all_countries(plants: DataFrame) -> DataFrame:
     """Every country with count, capacity and number of fuels."""
-    cells = capacity_cells(plants, "country_code", "country", "primary_fuel")
+    return countries_of(capacity_cells(plants, "country_code", "country", "primary_fuel"))
+
+
+def countries_of(cells: DataFrame) -> DataFrame:
+    """The same from one cell per country and fuel."""
     return cells.groupBy("country_code", "country").agg(
         F.sum("n").alias("plant_count"),
         _total_mw().alias("total_capacity_mw"),

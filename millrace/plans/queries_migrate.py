@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.contract import ESTIMATE_YEARS, FUELS, GENERATION, PLANTS, create_tables, drop_tables, text_schema
 from millrace.functions import clean
 from millrace.functions.clean import col, null_tokens
-from millrace.operators import checks, keys, reshape, stats
+from millrace.operators import checks, keys, reshape, running, stats
 from millrace.operators.paging import order
 from millrace.plans import standin
 from millrace.plans.migration import Migration
@@ -584,6 +584,101 @@ def upsert_versioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(after.selectExpr("gppd_idnr", "owner", fate, "capacity_mw"))
 
 
+_GONE = "id % 11 = 0"
+_AFTER_CTE = """after AS (
+  SELECT id, country_code, country, primary_fuel, commissioning_year,
+    capacity_mw + CASE WHEN id % 10 <> 0 AND id % 7 = 0 THEN 1 ELSE 0 END AS capacity_mw
+  FROM plants WHERE id % 11 <> 0)"""
+
+
+@query(
+    "stats_incremental",
+    with_views(
+        """SELECT country_code, country, count(*) AS plant_count, CAST(sum(capacity_mw) AS DOUBLE) AS total_capacity_mw,
+          CAST(sum(capacity_mw) AS DOUBLE) / 1000 AS total_capacity_gw,
+          CAST(sum(capacity_mw) AS DOUBLE) / count(capacity_mw) AS avg_capacity_mw, count(DISTINCT primary_fuel) AS fuel_diversity,
+          CAST((SELECT max(capacity_mw) FROM after) AS DOUBLE) AS max_capacity_mw,
+          (SELECT min(commissioning_year) FROM after) AS oldest_plant_year
+        FROM after GROUP BY country_code, country""",
+        PLANTS_CTE,
+        _AFTER_CTE,
+    ),
+)
+def stats_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports from cells kept through a load, corrections, more rows and deletes."""
+    store, key = Store(spark, new_path(spark, "store")), ["gppd_idnr"]
+    names = ["id", "gppd_idnr", "country_code", "country", "primary_fuel", "commissioning_year", "capacity_mw"]
+    rows = standin.plants(spark, sf_dir).select(*names)
+    first, _ = store.added("plants", Table(), rows.where("id % 10 <> 0"), rows.schema, key)
+    base = store.commit(Version(), {"plants": first})
+    cells = materialize(running.cells_of(store.read(first, rows.schema)), "cells")
+    raised = F.col("capacity_mw") + F.when(F.expr("id % 10 <> 0"), 1).otherwise(0)
+    changed = rows.where("id % 10 = 0 OR id % 7 = 0").withColumn("capacity_mw", raised.cast("decimal(12,2)"))
+    second, _ = store.upserted("plants", first, changed.drop("id"), rows.schema, key)
+    gone = store.lookup(second, rows.where(_GONE), key)
+    third, _ = store.deleted("plants", second, gone)
+    for before, after in ((first, second), (second, third)):
+        added, removed = store.changes(before, after, rows.schema)
+        cells = running.updated_cells(cells, added, removed, store.read(after, rows.schema))
+    store.commit(base, {"plants": third})
+    total = stats.summary_of(running.regrouped(cells, "country_code", "primary_fuel"))
+    countries = stats.countries_of(running.regrouped(cells, "country_code", "country", "primary_fuel"))
+    # One row beside each country.
+    most, oldest = total.select("max_capacity_mw", "oldest_plant_year").first()
+    return countries.select("*", F.lit(most).alias("max_capacity_mw"), F.lit(oldest).alias("oldest_plant_year"))
+
+
+@query(
+    "cascade_delete_vectors",
+    with_views(
+        """SELECT id, power_plant_id, year FROM order_figures
+        WHERE power_plant_id NOT IN (SELECT id FROM plants WHERE capacity_mw <= 0)""",
+        FIGURES_CTE,
+        PLANTS_CTE,
+    ),
+)
+def cascade_delete_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plants and their figures deleted together in a version, without writing a file of either anew."""
+    store = Store(spark, new_path(spark, "store"))
+    figures = standin.order_figures(spark, sf_dir).select("id", "power_plant_id", "year")
+    plants = standin.plants(spark, sf_dir).select("id", "gppd_idnr", "capacity_mw")
+    children, _ = store.added("figures", Table(), figures, figures.schema, ["id"])
+    parents, _ = store.added("plants", Table(), plants, plants.schema, ["gppd_idnr"])
+    base = store.commit(Version(), {"figures": children, "plants": parents})
+    gone = store.read(parents, plants.schema, with_file=True).where("capacity_mw <= 0")
+    held = store.read(children, figures.select("power_plant_id").schema, with_file=True)
+    orphaned = held.join(gone.select(col("id").alias("power_plant_id")), "power_plant_id", "left_semi")
+    parents_left, _ = store.deleted("plants", parents, gone)
+    children_left, _ = store.deleted("figures", children, orphaned)
+    store.commit(base, {"figures": children_left, "plants": parents_left})
+    return store.read(store.version().table("figures"), figures.schema)
+
+
+@query(
+    "nan_to_null",
+    "SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN p_retailprice END AS price FROM part",
+)
+def nan_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-a-number becomes null before a table is written."""
+    price = F.when(F.expr("p_partkey % 3 = 0"), F.lit(float("nan"))).otherwise(F.col("p_retailprice"))
+    rows = standin.table(spark, sf_dir, "part").select("p_partkey", price.alias("price"))
+    return materialize(clean.nan_to_null(rows), "prices")
+
+
+@query("empty_load", "SELECT 0::BIGINT AS loaded, count(*) AS n_rows, 1::BIGINT AS versions FROM part")
+def empty_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without rows leaves a table and its version as they were."""
+    store = Store(spark, new_path(spark, "store"))
+    part = standin.table(spark, sf_dir, "part").select(col("p_partkey").alias("id"), "p_name")
+    first, _ = store.added("part", Table(), part, part.schema, ["id"])
+    base = store.commit(Version(), {"part": first})
+    after, loaded = store.added("part", first, part.limit(0), part.schema, ["id"])
+    if after != base.table("part"):
+        store.commit(base, {"part": after})
+    n = store.read(after, part.schema).count()
+    return spark.createDataFrame([(loaded, n, len(store.numbers()))], "loaded bigint, n_rows bigint, versions bigint")
+
+
 def _fan_out(spark: SparkSession, sf_dir: str) -> tuple[Pipeline, dict[str, str]]:
     paths = {name: new_path(spark, name) for name in ("plants", "rejects")}
 

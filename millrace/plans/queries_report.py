@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from millrace.functions import labels
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, contains_text, has_all_tokens, where_all
-from millrace.operators import keys, paging, proximity, stats
+from millrace.operators import keys, paging, proximity, stats, trigrams
 from millrace.operators.nearest import nearest_k
 from millrace.operators.paging import LIST_COLUMNS, PlantFilter, order
 from millrace.plans import standin
 from millrace.plans.registry import plain, query
 from millrace.plans.standin import GENERATION_CTE, PLANTS_CTE, with_views
-from millrace.sources.workspace import materialize
+from millrace.sources.workspace import materialize, new_path
 
 # -- statistics ------------------------------------------------------------------
 
@@ -321,6 +321,15 @@ def search_ilike(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.where(contains_text("p_name", "RING") & (col("p_retailprice") >= 950)).select("p_partkey", "p_name")
 
 
+@query("search_trigram", "SELECT p_partkey, p_name FROM part WHERE p_name ILIKE '%RING%' AND p_retailprice >= 950")
+def search_trigram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows through lists of character sequences."""
+    part, path = standin.table(spark, sf_dir, "part"), new_path(spark, "trigrams")
+    trigrams.build_trigrams(part, path, "p_partkey", "p_name")
+    found = trigrams.search_text(part.where(col("p_retailprice") >= 950), path, "RING", "p_partkey", "p_name")
+    return found.select("p_partkey", "p_name")
+
+
 @query(
     "token_search",
     """SELECT p_partkey, p_name FROM part
@@ -355,6 +364,32 @@ def offset_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", "o_totalprice")
 
 
+@query("offset_ties", "SELECT o_orderpriority FROM orders ORDER BY o_orderpriority OFFSET 2500")
+def offset_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An offset among thousands of equal rows."""
+    rows = standin.table(spark, sf_dir, "orders").select("o_orderpriority")
+    return paging.limit_offset(rows, offset=2500, ordering=[("o_orderpriority", False)])
+
+
+@query(
+    "list_after",
+    with_views(
+        """SELECT id, commissioning_year, CAST(capacity_mw AS DOUBLE) AS capacity_mw FROM plants
+        ORDER BY commissioning_year DESC NULLS FIRST, capacity_mw, id LIMIT 50 OFFSET 100""",
+        PLANTS_CTE,
+    ),
+)
+def list_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third page, each found behind the last row of the one before."""
+    rows = standin.plants(spark, sf_dir).select("id", "commissioning_year", "capacity_mw")
+    ordering = [("commissioning_year", True), ("capacity_mw", False), ("id", False)]
+    after = None
+    for _ in range(2):
+        last = paging.list_after(rows, ordering, after, 50).collect()[-1]
+        after = [last[name] for name, _ in ordering]
+    return plain(paging.list_after(rows, ordering, after, 50))
+
+
 @query(
     "select_query",
     """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_totalprice < 400000

@@ -30,7 +30,8 @@ MERGE = 4
 #: Columns that do not make a row another one.
 UNCOMPARED = ("id", "created_at", "updated_at")
 
-FILE = "_file"
+#: Where a row lies: its file, and its number in it.
+FILE, ROW = "_file", "_row"
 
 
 @dataclass
@@ -78,7 +79,7 @@ def _bucket(buckets: int) -> Column:
 
 
 def build(spark: SparkSession, root: str, folder: str, entries: DataFrame, key: Sequence[str], n: int) -> Index:
-    """Write a part: ``entries`` are the key columns, ``id``, ``digest`` and the file of the row."""
+    """Write a part: ``entries`` are the key columns, ``id``, ``digest``, and the row's file and number in it."""
     buckets = 1 << max(0, math.ceil(math.log2(max(1, n) / BUCKET_KEYS)))
     placed = entries.withColumn("_h", _hash(key)).withColumn("bucket", _bucket(buckets))
     path = f"{root}/{folder}"
@@ -110,8 +111,8 @@ def entries(spark: SparkSession, root: str, parts: Sequence[Index]) -> DataFrame
     return out
 
 
-def _admitted(position: Column) -> Column:
-    """Whether a bitmap has the bit: bit p is bit p mod 8 of byte p div 8."""
+def bit_is_set(position: Column) -> Column:
+    """Whether the bitmap ``bits`` has the bit: bit p is bit p mod 8 of byte p div 8."""
     byte = F.conv(F.hex(F.substring("bits", F.shiftright(position, 3) + 1, F.lit(1))), 16, 10).cast("int")
     return F.call_function("shiftright", byte, position.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1)) == 1
 
@@ -123,7 +124,7 @@ def candidates(spark: SparkSession, root: str, part: Index, asked: DataFrame) ->
     maps = _read(spark, f"{root}/{part.folder}/bloom", _BLOOM, hit)
     joined = placed.withColumn("slice", _slice()).join(maps, ["bucket", "slice"])
     test = _positions()
-    return joined.where(_admitted(test[0]) & _admitted(test[1]) & _admitted(test[2])).drop("slice", "bits")
+    return joined.where(bit_is_set(test[0]) & bit_is_set(test[1]) & bit_is_set(test[2])).drop("slice", "bits")
 
 
 def _distinct_buckets(placed: DataFrame, buckets: int) -> list[int] | None:
@@ -147,7 +148,7 @@ def lookup(spark: SparkSession, root: str, parts: Sequence[Index], keys: DataFra
     names = list(key)
     if not parts:
         fields = [keys.schema[k] for k in names]
-        more = [T.StructField("id", T.LongType()), T.StructField("digest", T.LongType()), T.StructField(FILE, T.StringType())]
+        more = [T.StructField("id", T.LongType())] * ("id" not in names) + [T.StructField("digest", T.LongType()), T.StructField(FILE, T.StringType()), T.StructField(ROW, T.LongType())]
         return spark.createDataFrame([], T.StructType([*fields, *more]))
     asked = keys.select(*[col(k) for k in names]).distinct().withColumn("_h", _hash(names))
     asked = materialize(asked, "asked")

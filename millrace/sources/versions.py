@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 
 from millrace.functions.clean import col
 from millrace.sources import keyindex
-from millrace.sources.keyindex import Index
+from millrace.sources.keyindex import BITMAP_BITS, FILE, ROW, Index, bit_is_set
 
-FILE = "_file"
+# A deletion vector: bit r of part p stands for row 32768 p + r of the file.
+_VECTORS = T.StructType([T.StructField(FILE, T.StringType()), T.StructField("_part", T.LongType()), T.StructField("bits", T.BinaryType())])
 
 
 class Conflict(RuntimeError):
@@ -30,12 +31,16 @@ class Conflict(RuntimeError):
 
 @dataclass
 class Table:
-    """One table of a version: its folders, the files in them that count no more, and its key index."""
+    """One table of a version: its folders, the files in them that count no more, and its key index.
+
+    ``vectors`` are folders of deletion vectors, each with the files that they mark rows of.
+    """
 
     folders: list[str] = field(default_factory=list)
     dropped: list[str] = field(default_factory=list)
     index: list[Index] = field(default_factory=list)
     last_id: int = 0
+    vectors: list[tuple[str, list[str]]] = field(default_factory=list)
 
 
 @dataclass
@@ -52,7 +57,10 @@ class Version:
     @classmethod
     def parse(cls, text: str) -> Version:
         given = json.loads(text)
-        tables = {k: Table(**v | {"index": [Index(**i) for i in v["index"]]}) for k, v in given["tables"].items()}
+        tables = {}
+        for name, t in given["tables"].items():
+            index, vectors = [Index(**i) for i in t["index"]], [(folder, files) for folder, files in t["vectors"]]
+            tables[name] = Table(**t | {"index": index, "vectors": vectors})
         return cls(given["number"], tables)
 
 
@@ -122,10 +130,10 @@ class Store:
         Also those of loads that died.  Not to be run while a load is at work.
         """
         numbers = self.numbers()
-        used = {name for n in numbers[-keep:] for t in self.version(n).tables.values() for name in (*t.folders, *[i.folder for i in t.index])}
+        used = {name for n in numbers[-keep:] for t in self.version(n).tables.values() for name in (*t.folders, *[i.folder for i in t.index], *[v[0] for v in t.vectors])}
         jvm, _, files = self._files()
         gone = []
-        for kind in ("data", "keys"):
+        for kind in ("data", "keys", "deletes"):
             top = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
             for table in files.listStatus(top) if files.exists(top) else []:
                 for status in files.listStatus(table.getPath()):
@@ -141,10 +149,10 @@ class Store:
         return f"{self.root}/{folder}"
 
     def read(self, table: Table, schema: T.StructType, with_file: bool = False) -> DataFrame:
-        """The rows of a table; ``with_file`` adds the name of the file a row lies in."""
+        """The rows of a table; ``with_file`` adds the file a row lies in and its number there."""
         if not table.folders:
-            schema = T.StructType([*schema.fields, *[T.StructField(FILE, T.StringType())] * with_file])
-            return self.spark.createDataFrame([], schema)
+            places = [T.StructField(FILE, T.StringType()), T.StructField(ROW, T.LongType())]
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *places * with_file]))
         # Folders are partitions of the table's own, so that they can be read together.
         top = self.path(table.folders[0].rsplit("/", 1)[0])
         rows = self.spark.read.option("basePath", top).schema(schema).parquet(*[self.path(f) for f in table.folders])
@@ -153,7 +161,24 @@ class Store:
         if table.dropped:
             rows = rows.where(~file.isin(table.dropped))
         columns = [col(c) for c in schema.names]
-        return rows.select(*columns, *[file.alias(FILE)] * with_file)
+        places = [file.alias(FILE), F.col("_metadata.row_index").alias(ROW)]
+        if not table.vectors:
+            return rows.select(*columns, *places * with_file)
+        marked = sorted({f for _, files in table.vectors for f in files})
+        # Files without deleted rows are read as ever.
+        clean = rows.where(~file.isin(marked)).select(*columns, *places * with_file)
+        rest = self._alive(table, rows.where(file.isin(marked)).select(*columns, *places))
+        return clean.unionByName(rest.select(*clean.columns))
+
+    def _alive(self, table: Table, rows: DataFrame) -> DataFrame:
+        """Rows (with their places) that no deletion vector marks."""
+        vectors = self.spark.read.schema(_VECTORS).parquet(*[self.path(f) for f, _ in table.vectors])
+        # At most 4 KB for 32768 rows of a file that has lost some.
+        bits = vectors.groupBy(FILE, "_part").agg(F.bitmap_or_agg("bits").alias("bits"))
+        parted = rows.withColumn("_part", F.expr(f"{ROW} div {BITMAP_BITS}"))
+        joined = parted.join(bits, [FILE, "_part"], "left")
+        gone = F.coalesce(bit_is_set((F.col(ROW) % BITMAP_BITS).cast("int")), F.lit(False))
+        return joined.where(~gone).drop("_part", "bits")
 
     def write(self, name: str, rows: DataFrame, columns: Sequence[str], partition_by: Iterable[str] = (), id_col: str = "id") -> tuple[str, int, int]:
         """Write rows to a folder that no version names yet: (folder, rows, largest id)."""
@@ -177,11 +202,11 @@ class Store:
         new = self.read(Table([folder]), schema, with_file=True)
         index = self.indexed(name, new, key, n)
         merged = self._merged(name, [*table.index, index], key, table.dropped)
-        return Table([*table.folders, folder], table.dropped, merged, max(table.last_id, last)), n
+        return Table([*table.folders, folder], table.dropped, merged, max(table.last_id, last), table.vectors), n
 
     def indexed(self, name: str, rows: DataFrame, key: Sequence[str], n: int) -> Index:
-        values = [c for c in rows.columns if c not in (*key, *keyindex.UNCOMPARED, FILE)]
-        entries = rows.select(*[col(k) for k in key], col("id"), keyindex.digest(values).alias("digest"), col(FILE))
+        values = [c for c in rows.columns if c not in (*key, *keyindex.UNCOMPARED, FILE, ROW)]
+        entries = rows.select(*[col(k) for k in dict.fromkeys([*key, "id"])], keyindex.digest(values).alias("digest"), FILE, ROW)
         return keyindex.build(self.spark, self.root, f"keys/{name}/{uuid.uuid4().hex}", entries, key, n)
 
     def _merged(self, name: str, index: list[Index], key: Sequence[str], dropped: Sequence[str]) -> list[Index]:
@@ -198,8 +223,54 @@ class Store:
         return index
 
     def lookup(self, table: Table, keys: DataFrame, key: Sequence[str]) -> DataFrame:
-        """``key``, ``id``, ``digest`` and file of those keys that the table holds."""
-        return keyindex.lookup(self.spark, self.root, table.index, keys, key, table.dropped)
+        """``key``, ``id``, ``digest`` and place of those keys that the table holds."""
+        found = keyindex.lookup(self.spark, self.root, table.index, keys, key, table.dropped)
+        return self._alive(table, found) if table.vectors else found
+
+    def deleted(self, name: str, table: Table, places: DataFrame) -> tuple[Table, int]:
+        """The table without the rows at these places (file and number), not yet committed, and their number.
+
+        No file of the table is written: the places go into bitmaps per file, which a read
+        applies to the rows of those files alone.
+        """
+        folder = f"deletes/{name}/{uuid.uuid4().hex}"
+        parts = places.select(FILE, ROW).distinct().groupBy(FILE, F.expr(f"{ROW} div {BITMAP_BITS}").alias("_part"))
+        bits = parts.agg(F.bitmap_construct_agg(F.col(ROW) % BITMAP_BITS).alias("bits"))
+        bits.write.parquet(self.path(folder))
+        written = self.spark.read.schema(_VECTORS).parquet(self.path(folder))
+        # One row per file that lost rows.
+        lost = written.groupBy(FILE).agg(F.sum(F.bitmap_count("bits")).alias("n")).collect()
+        if not lost:
+            return table, 0
+        vectors = [*table.vectors, (folder, sorted(r[FILE] for r in lost))]
+        return Table(table.folders, table.dropped, table.index, table.last_id, vectors), sum(r["n"] for r in lost)
+
+    def folded(self, name: str, table: Table, schema: T.StructType, key: Sequence[str], partition_by: Iterable[str] = ()) -> Table:
+        """The table with the files that lost rows written anew without them, not yet committed."""
+        marked = sorted({f for _, files in table.vectors for f in files} - set(table.dropped))
+        if not marked:
+            return table
+        rows = self.read(table, schema, with_file=True).where(col(FILE).isin(marked)).drop(FILE, ROW)
+        base = Table(table.folders, sorted({*table.dropped, *marked}), table.index, table.last_id)
+        return self.added(name, base, rows, schema, key, partition_by)[0]
+
+    def changes(self, before: Table, after: Table, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+        """``(added, removed)`` rows between two states of a table.
+
+        Reads new folders, and files that were dropped or lost rows.  Rows that were only
+        written anew are in both.
+        """
+        new = [f for f in after.folders if f not in before.folders]
+        added = self.read(Table(new, after.dropped, vectors=after.vectors), schema)
+        gone = sorted(set(after.dropped) - set(before.dropped))
+        fresh = {f for v in after.vectors if v not in before.vectors for f in v[1]} - set(after.dropped)
+        held = self.read(before, schema, with_file=True)
+        removed = held.where(col(FILE).isin(gone)) if gone else held.limit(0)
+        if fresh:
+            touched = held.where(col(FILE).isin(sorted(fresh)))
+            left = self.read(after, schema, with_file=True).where(col(FILE).isin(sorted(fresh))).select(FILE, ROW)
+            removed = removed.unionByName(touched.join(left, [FILE, ROW], "left_anti").select(*held.columns))
+        return added, removed.drop(FILE, ROW)
 
     def upserted(
         self,
@@ -228,7 +299,7 @@ class Store:
         old = self.read(table, schema, with_file=True)
         old = old.where(col(FILE).isin(touched)) if touched else old.limit(0)
         patch = changes.select(*[col(k) for k in key], F.lit(True).alias("_hit"), *[col(c).alias(f"_new_{c}") for c in given])
-        joined = old.drop(FILE).join(patch, list(key), "left")
+        joined = old.drop(FILE, ROW).join(patch, list(key), "left")
         hit = F.col("_hit").isNotNull()
 
         def value(c: str):
@@ -247,7 +318,7 @@ class Store:
         seen = Observation(f"new-{uuid.uuid4().hex[:8]}")
         numbered = stamped.withColumn("id", F.monotonically_increasing_id() + F.lit(table.last_id + 1))
         numbered = keyindex.stored(numbered.observe(seen, F.count(F.lit(1)).alias("n")), "inserted")
-        base = Table(table.folders, sorted({*table.dropped, *touched}), table.index, table.last_id)
+        base = Table(table.folders, sorted({*table.dropped, *touched}), table.index, table.last_id, table.vectors)
         rows = rewritten.unionByName(numbered.select(*[col(c) for c in schema.names]))
         new, _ = self.added(name, base, rows, schema, key, partition_by)
         return new, {"updated": held.count(), "inserted": seen.get["n"], "files": len(touched)}

@@ -172,3 +172,40 @@ def test_top_plants(spark):
     assert {r.primary_fuel for r in paging.top_plants(plants, 5, fuel="Coal").collect()} == {"Coal"}
     with pytest.raises(ValueError):
         paging.top_plants(plants, fuel="coal")
+
+
+def test_ties_stay_in_many_tasks(spark):
+    # Else the few bytes of this test are merged into one partition after the shuffle.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(0, 300_000, 1, 8).selectExpr("CAST(id % 2 AS int) AS a", "1 AS b")
+    for ordering in ((), [("a", True)]):
+        taken = paging.limit_offset(rows, offset=5, ordering=ordering)
+        sizes = [r["count"] for r in taken.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 299_995 and max(sizes) < 150_000
+    some = paging.limit_offset(rows, 200_001, 10, [("a", False)])
+    assert {r.a: r["count"] for r in some.groupBy("a").count().collect()} == {0: 149_990, 1: 50_011}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_pages_by_key_reach_every_row_once(spark, descending):
+    n = F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 3)
+    m = F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 2)
+    rows = spark.range(60).select("id", n.alias("n"), m.alias("m")).cache()
+    ordering = [("n", descending), ("m", not descending), ("id", False)]
+    every = [tuple(r) for r in rows.orderBy(*[order(*key) for key in ordering]).collect()]
+    got, after = [], None
+    while page := paging.list_after(rows, ordering, after, 13).collect():
+        got += [tuple(r) for r in page]
+        after = (page[-1].n, page[-1].m, page[-1].id)
+    assert got == every
+
+
+def test_a_page_by_key_filters_the_scan(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/t")
+    rows = spark.read.parquet(f"{tmp_path}/t")
+    plan = paging.list_after(rows, [("id", True)], [500])._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(id,500)" in plan and "TakeOrderedAndProject(limit=20" in plan
+    for bad in ({"after": [1, 2]}, {"limit": 0}):
+        with pytest.raises(ValueError):
+            paging.list_after(rows, [("id", True)], **bad)

@@ -1,6 +1,7 @@
 """Versioned tables and the key index that loads and upserts go through."""
 
 import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +124,42 @@ def test_vacuum(spark, store):
     base = store.commit(Version(), {"a": a})
     assert store.vacuum() == sorted([*lost.folders, lost.index[0].folder])
     assert store.read(base.table("a"), rows.schema).count() == 10 and store.vacuum() == []
+
+
+def files_under(store):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(f"{store.root}/data") for f in names)
+
+
+def test_deleted_rows_are_marked_and_later_folded_in(spark, store):
+    rows = table(spark, 100_000).coalesce(1)
+    first, _ = store.added("t", Table(), rows, rows.schema, KEY)
+    first, _ = store.added("t", first, table(spark, 50, 200_000), rows.schema, KEY)
+    written = files_under(store)
+    wanted = ["k0", "k32767", "k32768", "k65536", "k99999", "k200007", "absent"]
+    one, n = store.deleted("t", first, store.lookup(first, spark.createDataFrame([(k,) for k in wanted], "k string"), KEY))
+    assert n == 6 and files_under(store) == written
+    left = {r.k for r in store.read(one, rows.schema).collect()}
+    assert len(left) == 100_044 and not left & set(wanted)
+    # Deleted keys are new again, and a second deletion adds to the first.
+    assert store.lookup(one, spark.createDataFrame([("k0",), ("k1",)], "k string"), KEY).select("k").collect() == [("k1",)]
+    two, n = store.deleted("t", one, store.lookup(one, spark.createDataFrame([("k1",), ("k32769",)], "k string"), KEY))
+    assert n == 2 and store.read(two, rows.schema).count() == 100_042
+    assert store.deleted("t", two, store.lookup(two, spark.createDataFrame([("k1",)], "k string"), KEY)) == (two, 0)
+    assert store.commit(Version(), {"t": two}) == store.version()
+    again, _ = store.added("t", two, table(spark, 1), rows.schema, KEY)
+    assert store.lookup(again, spark.createDataFrame([("k0",)], "k string"), KEY).count() == 1
+    folded = store.folded("t", again, rows.schema, KEY)
+    assert folded.vectors == [] and store.read(folded, rows.schema).count() == 100_043
+    assert store.lookup(folded, spark.createDataFrame([("k0",), ("k1",), ("k2",)], "k string"), KEY).count() == 2
+    assert store.folded("t", folded, rows.schema, KEY) == folded
+
+
+def test_changes_between_states(spark, store):
+    rows = table(spark, 30)
+    first, _ = store.added("t", Table(), rows.repartition(3, "id"), rows.schema, KEY)
+    second, _ = store.upserted("t", first, spark.createDataFrame([("k4", 99), ("n", 1)], "k string, v bigint"), rows.schema, KEY)
+    third, _ = store.deleted("t", second, store.lookup(second, spark.createDataFrame([("k4",), ("k7",)], "k string"), KEY))
+    for before, after in ((first, second), (second, third), (first, third), (Table(), third)):
+        added, removed = (Counter(map(tuple, x.select("k", "v").collect())) for x in store.changes(before, after, rows.schema))
+        was, now = (Counter(map(tuple, store.read(t, rows.schema).select("k", "v").collect())) for t in (before, after))
+        assert was + added - removed == now and not (was + added + Counter()) - now - removed
