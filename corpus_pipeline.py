@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import exact_dedup, minhash, packing, pseudonyms, toxicity
-from millrace.sources.workspace import materialize
+from millrace.sources.workspace import new_path, scratch
 
 #: Documents are rejected from this probability on.
 TOXIC = 0.5
@@ -62,8 +62,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of the ``documents`` table."""
+    """The packed pieces of the ``documents`` table.
+
+    Results of stages are kept; what a stage stores on its way is deleted with it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs

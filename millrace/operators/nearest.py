@@ -66,14 +66,17 @@ def candidate_cells(centres: DataFrame, points: DataFrame, k: int, radius_km: fl
     Each round reads the points' cell numbers and one row per centre and open cell.
     """
     reach = 2 * math.sin(min(radius_km / EARTH_RADIUS_KM, math.pi) / 2)
-    # All centres start in the one cell above the first level.
-    open_cells = centres.select("_centre", *[f"c{a}" for a in AXES], *[F.lit(0).alias(f"up_{a}") for a in AXES])
+    # All centres start with every cell of the first level, 64 of them.
+    numbers = F.explode(F.sequence(F.lit(0), F.lit((1 << 3 * STEP) - 1)))
+    open_cells = centres.withColumn("_at", numbers).select(
+        "_centre", *[f"c{a}" for a in AXES], *[F.shiftright("_at", STEP * i).bitwiseAND(F.lit((1 << STEP) - 1)).alias(a) for i, a in enumerate(AXES)]
+    )
     found = None
     by_centre = Window.partitionBy("_centre")
     outward = by_centre.orderBy("far", *AXES).rowsBetween(Window.unboundedPreceding, 0)
     for level in range(STEP, LEVELS + 1, STEP):
         near, far = _bounds(level)
-        cells = open_cells.join(_counts(points, level), [f"up_{a}" for a in AXES])
+        cells = open_cells.join(_counts(points, level), [a if level == STEP else f"up_{a}" for a in AXES])
         cells = cells.withColumns({"near": near, "far": far}).where(F.col("near") <= reach + SLACK)
         enough = F.when(F.sum("n").over(outward) >= k, F.col("far"))
         bound = F.min("bound").over(by_centre)

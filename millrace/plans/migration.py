@@ -45,7 +45,7 @@ from millrace.sources.records import ragged_reason_sql, text_rows
 from millrace.sources.keyindex import digest
 from millrace.sources.tables import stamp_new
 from millrace.sources.versions import Store, Table, Version
-from millrace.sources.workspace import materialize
+from millrace.sources.workspace import materialize, scratch
 
 NATURAL_KEY = "gppd_idnr"
 # Yearly columns that hold no figure.
@@ -95,7 +95,11 @@ class Migration:
         return self.store.read(self.store.version(version).table(contract.name), contract.schema)
 
     def run(self, dry_run: bool = False) -> dict[str, int]:
-        """Run all stages; gives the row counts of the run."""
+        """Run all stages; gives the row counts of the run.  Its intermediate tables are deleted at the end."""
+        with scratch(self.spark):
+            return self._run(dry_run)
+
+    def _run(self, dry_run: bool) -> dict[str, int]:
         self.run_id = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
         seen = Observation("staged")
         typed = self._typed().observe(

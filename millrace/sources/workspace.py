@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +28,28 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_own: ContextVar[str | None] = ContextVar("own", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables of the block go into one folder, which is deleted when it ends.
+
+    For work that leaves nothing lazy behind: a frame over such a table cannot be read later.
+    """
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _own.set(folder)
+    try:
+        yield folder
+    finally:
+        _own.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder, or the `scratch` folder at work, that nothing else uses."""
+    return f"{_own.get() or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = (), **options: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from millrace.functions.clean import col, null_tokens
 from millrace.sources.files import RAW_LINE
 from millrace.sources.records import check_heads, parse_records, records, text_stream
+from millrace.sources.workspace import scratch
 
 
 def ingest_available(
@@ -38,11 +39,12 @@ def ingest_available(
     staged: list[int] = []
 
     def stage(batch: DataFrame, number: int) -> None:
-        found, heads = records(batch, header)
-        if header:
-            check_heads(heads, schema)
-        rows = null_tokens(parse_records(found, schema), schema.names)
-        rows.write.mode("overwrite").parquet(f"{staging}/batch={number}")
+        with scratch(spark):
+            found, heads = records(batch, header)
+            if header:
+                check_heads(heads, schema)
+            rows = null_tokens(parse_records(found, schema), schema.names)
+            rows.write.mode("overwrite").parquet(f"{staging}/batch={number}")
         staged.append(number)
 
     query = (
