@@ -56,20 +56,35 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     """One row per document: ``doc_id``, ``shard`` (its bits), ``depth``, ``shard_bytes``, ``shard_rows``.
 
     The bytes of a shard are those of its texts in UTF-8 and at most ``limit``, unless a
-    single document, or the rows of a single id, are larger.  A null text has no bytes, a
-    null id the hash of an empty one; other columns are ignored; an empty table gives no
-    rows.  Texts are not moved; every row meets its bucket by (depth, prefix), tried for
+    single document is larger.  An id that occurs once is hashed; rows of one id, or of no
+    id, are told apart by their number in the table and hashed by it too, so that they split
+    like others.  A null text has no bytes; other columns are ignored; an empty table gives
+    no rows.  Texts are not moved; every row meets its bucket by (depth, prefix), tried for
     each of the few depths that occur.
     """
-    return _placed(docs.select(col(id_col).alias("doc_id"), bucket_hash(col(id_col)).alias("hash"), _bytes(text_col)), limit)
+    _, placed = _assigned(docs, limit, id_col, text_col)
+    return placed.drop("row")
 
 
-def _bytes(text_col: str):
-    return F.coalesce(F.octet_length(col(text_col)), F.lit(0)).cast("bigint").alias("bytes")
+def _assigned(docs: DataFrame, limit: int, id_col: str, text_col: str) -> tuple[tuple[DataFrame, str], DataFrame]:
+    """The numbered rows with the name of their number, and the shard of each number."""
+    numbered, row = numbered_rows(docs, id_col)
+    sizes = numbered.select(
+        col(row).alias("row"), col(id_col).alias("doc_id"), F.coalesce(F.octet_length(col(text_col)), F.lit(0)).cast("bigint").alias("bytes")
+    )
+    key = F.col("doc_id").cast("string")
+    if row != id_col:
+        known = sizes.where("doc_id IS NOT NULL")
+        # Stored first, so that the adaptive skew join can split a hot id.
+        repeated = known.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("repeated"))
+        known = known.join(materialize(repeated, "repeated"), "doc_id", "left")
+        sizes = known.select(*sizes.columns, "repeated").unionByName(sizes.where("doc_id IS NULL").withColumn("repeated", F.lit(True)))
+        key = F.when(F.col("repeated"), F.concat_ws("|", F.lit("row"), key, F.col("row").cast("string"))).otherwise(key)
+    return (numbered, row), _placed(sizes.select("row", "doc_id", bucket_hash(key).alias("hash"), "bytes"), limit)
 
 
 def _placed(sizes: DataFrame, limit: int) -> DataFrame:
-    """The shard of each row of (``doc_id``, ``hash``, ``bytes``)."""
+    """The shard of each row of (``row``, ``doc_id``, ``hash``, ``bytes``)."""
     sizes = materialize(sizes, "sizes")
     buckets = directory(sizes.select("hash", "bytes"), limit)
     # At most BITS + 1 numbers.
@@ -77,29 +92,16 @@ def _placed(sizes: DataFrame, limit: int) -> DataFrame:
     tried = sizes.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths]) if depths else F.array().cast("array<int>")))
     placed = tried.withColumn("prefix", F.expr(f"shiftright(hash, {BITS} - depth)")).join(buckets, ["depth", "prefix"])
     bits = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(conv(prefix, 10, 2), depth, '0')"))
-    return placed.select("doc_id", bits.alias("shard"), "depth", "shard_bytes", "shard_rows")
+    return placed.select("row", "doc_id", bits.alias("shard"), "depth", "shard_bytes", "shard_rows")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the documents, one folder per shard and one file in it.
+    """Write the documents, one folder per shard and one file in it; shards are those of `assign_shards`.
 
-    Every row is written once.  Rows of one id, or of no id, are told apart by their number
-    in the table and hashed by it too, so that they split like others.
+    Every row is written once.
     """
-    numbered, row = numbered_rows(docs, id_col)
-    sizes = numbered.select(col(row).alias("doc_id"), col(id_col).alias("id"), _bytes(text_col))
-    if row != id_col:
-        known = sizes.where("id IS NOT NULL")
-        # Stored first, so that the adaptive skew join can split a hot id.
-        repeated = known.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("repeated"))
-        known = known.join(materialize(repeated, "repeated"), "id", "left")
-        sizes = known.unionByName(sizes.where("id IS NULL").withColumn("repeated", F.lit(True)))
-        apart = F.concat_ws("|", F.lit("row"), F.col("id").cast("string"), F.col("doc_id").cast("string"))
-        key = F.when(F.col("repeated"), apart).otherwise(F.col("id").cast("string"))
-    else:
-        key = F.col("id")
-    shards = _placed(sizes.select("doc_id", bucket_hash(key).alias("hash"), "bytes"), limit)
-    shards = shards.select(F.col("doc_id").alias("__shard_of"), F.concat(F.lit("s"), "shard").alias("shard"))
+    (numbered, row), shards = _assigned(docs, limit, id_col, text_col)
+    shards = shards.select(F.col("row").alias("__shard_of"), F.concat(F.lit("s"), "shard").alias("shard"))
     placed = numbered.join(shards, col(row) == F.col("__shard_of"))
     kept = [col(c) for c in docs.columns]
     placed.select(*kept, "shard").repartition("shard").write.partitionBy("shard").parquet(path)
