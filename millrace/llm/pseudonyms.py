@@ -17,26 +17,37 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d?\d)"
 #: or possessive repeats keep the search linear in the text.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + _END,
-    "iban": _START + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)" + _END,
+    "iban": _START
+    + "(?:"
+    + r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)"
+    + r"|[a-z]{2}\d{2}(?:[a-z0-9]{11,30}|(?: [a-z0-9]{4}){2,7}(?: [a-z0-9]{1,3})?)"
+    + ")"
+    + _END,
     "date": _START
     + "(?:"
-    + r"\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}"
+    + r"\d{4}-\d{1,2}-\d{1,2}|\d{4}/\d{1,2}/\d{1,2}|\d{4}\.\d{1,2}\.\d{1,2}"
     + r"|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4}"
     + ")"
     + r"(?:(?=[Tt]\d)|"  # a time may follow
     + _END
     + r")(?![./-]?\d)",
     "ip": r"(?<![\p{L}\p{N}_.])" + rf"(?:{_OCTET}\.){{3}}{_OCTET}" + _END + r"(?!\.\d)",
-    "ssn": _START + r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}" + _END + r"(?!-\d)",
+    "ssn": _START
+    + r"(?!000|666|9)(?:\d{3}-(?!00)\d{2}-(?!0000)\d{4}|\d{3} (?!00)\d{2} (?!0000)\d{4})"
+    + _END
+    + r"(?!-\d)",
     "phone": r"(?<![\p{L}\p{N}_+])"
     + "(?:"
-    + r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}"
-    + r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"
+    + r"\+\d{1,3}[ .-]\d{1,2}(?:[ .-]\d{2}){4}"
+    + r"|\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}"
+    + r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4}"
     + ")"
     + _END,
     "card": _START
     + "(?:"
-    + r"\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4} \d{6} \d{5}|\d{4}-\d{6}-\d{5}|\d{13,19}"
+    + r"\d{4}(?: \d{4}){3} \d{1,3}|\d{4}(?:-\d{4}){3}-\d{1,3}|\d{4}(?:\.\d{4}){3}\.\d{1,3}"
+    + r"|\d{4}(?: \d{4}){2} \d{1,7}|\d{4}(?:-\d{4}){2}-\d{1,7}|\d{4}(?:\.\d{4}){2}\.\d{1,7}"
+    + r"|\d{4} \d{6} \d{4,5}|\d{4}-\d{6}-\d{4,5}|\d{4}\.\d{6}\.\d{4,5}|\d{13,19}"
     + ")"
     + _END,
 }
@@ -136,6 +147,17 @@ def _luhn_sum(digits: Column, doubled_first: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
 
 
+def _is_card(m: Column) -> Column:
+    return _bound(_digits(m), lambda d: F.length(d).between(13, 19) & (_luhn_sum(d, False) % 10 == 0))
+
+
+def _card_within(m: Column) -> Column:
+    """The match, or its first four groups of four if only they are a card number; null if neither is."""
+    first = m.substr(F.lit(1), F.lit(19))
+    five = m.rlike(r"^\d{4}(?:[ .-]\d{4}){3}[ .-]\d{1,3}$")
+    return F.when(_is_card(m), m).when(five & _is_card(first), first)
+
+
 def _card(m: Column, key: str) -> Column:
     digits = _digits(m)
 
@@ -144,8 +166,8 @@ def _card(m: Column, key: str) -> Column:
         return F.concat(payload, check)
 
     payload = _permuted_digits(digits.substr(F.lit(1), F.length(digits) - 1), key, "card")
-    valid = F.length(digits).between(13, 19) & (_luhn_sum(digits, False) % 10 == 0)
-    return F.when(valid, _refilled(m, _bound(payload, checked)))
+    # `_card_within` has checked it.
+    return _refilled(m, _bound(payload, checked))
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -165,17 +187,19 @@ def _ip(m: Column, key: str) -> Column:
 
 
 def _ssn(m: Column, key: str) -> Column:
-    area, group, serial = (F.split_part(m, F.lit("-"), F.lit(i)).cast("bigint") for i in (1, 2, 3))
+    separator = m.substr(F.lit(4), F.lit(1))
+    area, group, serial = (F.split_part(m, separator, F.lit(i)).cast("bigint") for i in (1, 2, 3))
     rank = area - 1 - (area > 666).cast("bigint")
     value = (rank * 99 + group - 1) * 9999 + serial - 1
 
     def written(v):
         place = _quotient(v, _long(99 * 9999)) + 1
         rest = F.pmod(v, _long(99 * 9999))
-        return F.concat_ws(
-            "-",
+        return F.concat(
             _digit_string(place + (place >= 666).cast("bigint"), F.lit(3)),
+            separator,
             _digit_string(_quotient(rest, _long(9999)) + 1, F.lit(2)),
+            separator,
             _digit_string(F.pmod(rest, _long(9999)) + 1, F.lit(4)),
         )
 
@@ -263,7 +287,7 @@ def _iban_within(m: Column) -> Column:
             whole = F.concat(bare.substr(F.lit(5), F.length(bare)), bare.substr(F.lit(1), F.lit(4)))
             return F.length(bare).between(15, 34) & (_mod97(whole) == 1)
 
-        return _bound(F.replace(text, F.lit(" ")), rotated)
+        return _bound(F.upper(F.replace(text, F.lit(" "))), rotated)
 
     def runs(groups):
         return F.transform(
@@ -274,13 +298,14 @@ def _iban_within(m: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    bare = F.replace(m, F.lit(" "))
+    bare = F.upper(F.replace(m, F.lit(" ")))
     country, account = bare.substr(F.lit(1), F.lit(2)), bare.substr(F.lit(5), F.length(bare))
 
     def checked(new):
         check = 98 - _mod97(F.concat(new, country, F.lit("00")))
         whole = F.concat(country, F.lpad(check.cast("string"), 2, "0"), new)
-        return F.when(m.contains(" "), F.regexp_replace(whole, "(.{4})(?=.)", "$1 ")).otherwise(whole)
+        cased = F.when(m.rlike("^[a-z]"), F.lower(whole)).otherwise(whole)
+        return F.when(m.contains(" "), F.regexp_replace(cased, "(.{4})(?=.)", "$1 ")).otherwise(cased)
 
     # `_iban_within` has checked it.
     return _bound(_moved_characters(account, key, "iban"), checked)
@@ -314,7 +339,7 @@ def _replaced(m: Column, key: str) -> Column:
                 new = F.when(k == name, rule(own, key)).otherwise(new)
             return F.struct(k.alias("kind"), new.alias("value"), F.length(own).alias("covers"))
 
-        return _bound(F.when(k == "iban", _iban_within(m)).otherwise(m), ruled)
+        return _bound(F.when(k == "iban", _iban_within(m)).when(k == "card", _card_within(m)).otherwise(m), ruled)
 
     return _bound(kind, moved)
 
@@ -362,18 +387,29 @@ def _joined(items: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", counts: str | None = None) -> DataFrame:
     """The documents with personal data in the text replaced by pseudonyms.
 
-    E-mail and IPv4 addresses, IBANs (checked modulo 97, in one word or in groups of four), dates
-    (real days, 1904 to 2099, a time may follow), US social security numbers (areas that can be issued),
-    telephone numbers and payment cards (checked by Luhn)
-    are permuted under ``key`` within their format: digits stay digits, separators stay,
+    Replaced are values in these formats:
+
+    * e-mail and IPv4 addresses
+    * IBANs, checked modulo 97: in one word or in groups of four, all letters of one case
+    * dates, real days of 1904 to 2099: ``2024-01-05``, ``2024/01/05``, ``2024.01.05``, ``05.01.2024``,
+      ``05-01-2024``, ``01/05/2024``, leading zeros or not; ``T`` and a time may follow
+    * US social security numbers of areas that can be issued: ``123-45-6789``, ``123 45 6789``
+    * telephone numbers of 8 to 15 digits: ``+`` and a country code with groups of two to four
+      digits or of pairs, parted by blank, dot, hyphen or nothing; ``(555) 123-4567``,
+      ``555-123-4567``, ``555.123.4567``
+    * payment cards of 13 to 19 digits, checked by Luhn: in one word, in groups of four with a
+      shorter or longer last one, or 4-6-4 and 4-6-5, parted by blanks, hyphens or dots
+
+    They are permuted under ``key`` within their format: digits stay digits, separators stay,
     check digits are made anew, a date becomes a date.  One value gets one pseudonym in all
-    documents, in whatever of its formats it is written, and two values never share one.
+    documents, in whichever of these formats it is written, and two values never share one.
     Text that has the shape but fails the check is left as it is, and a value that begins
-    inside it is still found.
+    inside it is still found.  Other notations (numbers in words, other separators) are not.
 
     ``counts`` names an optional column: an array with the kind of each replaced value.  A
-    null text stays null; all other columns are passed on as they are.  Rows are handled
-    one by one where they are read, with built-in functions only.
+    null text stays null; all other columns are passed on as they are, repeated rows alike, and
+    an empty table stays empty.  Rows are handled one by one where they are read, with
+    built-in functions only.
     """
     text = col(text_col)
     # Candidates at every place where one begins, and the text cut at these places.

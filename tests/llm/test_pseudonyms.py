@@ -10,8 +10,31 @@ from millrace.llm.queries import DEMO_KEY, op10_pseudonyms
 from pyspark.sql import functions as F
 
 KEY = "k"
-SHAPES = {k: regex.compile(v) for k, v in P.SHAPES.items()}
-WHOLE = regex.compile(P.PATTERN)
+
+#: The formats as the docstring lists them, written out here.
+B, E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]|0[0-9])"
+
+
+def grouped(*sizes):
+    """Groups of digits with one separator throughout."""
+    return "|".join(sep.join(f"[0-9]{{{n}}}" for n in sizes) for sep in (" ", "-", r"\."))
+
+
+FORMATS = {
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}" + E,
+    "iban": B + "(?:" + "|".join(rf"{a}{a}[0-9][0-9](?:{c}{{11,30}}|(?: {c}{{4}}){{2,7}}(?: {c}{{1,3}})?)" for a, c in (("[A-Z]", "[A-Z0-9]"), ("[a-z]", "[a-z0-9]"))) + ")" + E,
+    "date": B + "(?:" + "|".join(x.replace("y", "[0-9]{4}").replace("n", "[0-9]{1,2}") for x in ("y-n-n", "y/n/n", r"y\.n\.n", r"n\.n\.y", "n/n/y", "n-n-y")) + ")(?:(?=[Tt][0-9])|" + E + ")(?![./-]?[0-9])",
+    "ip": r"(?<![\p{L}\p{N}_.])" + r"\.".join([OCTET] * 4) + E + r"(?!\.[0-9])",
+    "ssn": B + "(?!000|666|9)(?:[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}|[0-9]{3} (?!00)[0-9]{2} (?!0000)[0-9]{4})" + E + "(?!-[0-9])",
+    "phone": r"(?<![\p{L}\p{N}_+])(?:" + "|".join((
+        r"\+[0-9]{1,3}[ .-][0-9]{1,2}(?:[ .-][0-9]{2}){4}",
+        r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}",
+        r"\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}", "[0-9]{3}-[0-9]{3}-[0-9]{4}", r"[0-9]{3}\.[0-9]{3}\.[0-9]{4}")) + ")" + E,
+    "card": B + "(?:" + "|".join((grouped(4, 4, 4, 4, "1,3"), grouped(4, 4, 4, "1,7"), grouped(4, 6, "4,5"), "[0-9]{13,19}")) + ")" + E,
+}
+SHAPES = {k: regex.compile(v) for k, v in FORMATS.items()}
+WHOLE = regex.compile("|".join(f"(?:{v})" for v in FORMATS.values()))
 
 
 def digest(key, *parts):
@@ -76,18 +99,22 @@ def pseudonym(kind, m, key):
         v = permuted(int.from_bytes(bytes(map(int, m.split("."))), "big"), 1 << 16, 1 << 16, key, "ip")
         return ".".join(map(str, v.to_bytes(4, "big")))
     if kind == "ssn":
-        a, g, s = map(int, m.split("-"))
+        sep = m[3]
+        a, g, s = map(int, m.split(sep))
         v = permuted(((a - 1 - (a > 666)) * 99 + g - 1) * 9999 + s - 1, 898, 99 * 9999, key, "ssn")
         a, rest = v // (99 * 9999) + 1, v % (99 * 9999)
-        return f"{a + (a >= 666):03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+        return f"{a + (a >= 666):03d}{sep}{rest // 9999 + 1:02d}{sep}{rest % 9999 + 1:04d}"
     if kind == "email":
         name, _, end = m.lower().rpartition(".")
         return moved_characters(name, key, "email") + "." + end
     if kind == "iban":
-        if mod97(m[4:] + m[:4]) != 1:
+        bare = m.replace(" ", "").upper()
+        if not 15 <= len(bare) <= 34 or mod97(bare[4:] + bare[:4]) != 1:
             return None
-        new = moved_characters(m[4:], key, "iban")
-        return m[:2] + f"{98 - mod97(new + m[:2] + '00'):02d}" + new
+        new = moved_characters(bare[4:], key, "iban")
+        new = bare[:2] + f"{98 - mod97(new + bare[:2] + '00'):02d}" + new
+        new = new.lower() if m[0].islower() else new
+        return " ".join(new[i : i + 4] for i in range(0, len(new), 4)) if " " in m else new
     sep = regex.search("[./-]", m).group()
     parts = m.split(sep)
     a, b, c = map(int, parts)
@@ -107,19 +134,27 @@ def pseudonym(kind, m, key):
     return sep.join(order)
 
 
-def brute(text, key):
-    kinds = []
+def parts(kind, m):
+    """What of a match may be the value, longest first."""
+    if kind == "iban":
+        return [m[:i] for i in range(len(m), 0, -1) if i == len(m) or m[i] == " "]
+    return [m, m[:19]] if kind == "card" and regex.fullmatch(r"[0-9]{4}([ .-][0-9]{4}){3}[ .-][0-9]{1,3}", m) else [m]
 
-    def replace(match):
-        m = match.group()
-        kind = next(k for k in SHAPES if SHAPES[k].fullmatch(m))
-        new = pseudonym(kind, m, key)
-        if new is None:
-            return m
-        kinds.append(kind)
-        return new
 
-    return (None, []) if text is None else (WHOLE.sub(replace, text), kinds)
+def brute(text, key):
+    kinds, out, at = [], "", 0
+    for match in WHOLE.finditer(text or "", overlapped=True):
+        if match.start() < at:
+            continue
+        kind = next(k for k in SHAPES if SHAPES[k].match(text, match.start()))
+        for m in parts(kind, SHAPES[kind].match(text, match.start()).group()):
+            new = pseudonym(kind, m, key)
+            if new is not None:
+                out += text[at : match.start()] + new
+                at = match.start() + len(m)
+                kinds.append(kind)
+                break
+    return (None, []) if text is None else (out + text[at:], kinds)
 
 
 TEXTS = [
@@ -136,6 +171,10 @@ TEXTS = [
     "+49 30 1234567 +123 +44 20 7946 0958 " + "a" * 200 + "@x.com " + "9" * 40,
     "x" * 200000 + " 4532015112830366 " + "1" * 100000,
     "4532015112830366\n4532015112830366\t\\$1 +",
+    "3056 930902 5904 3056-930902-5904 4111.1111.1111.1111 4111 1111 1111 1111 123 6304 0000 0000 0000 000",
+    "gb82west12345698765432 gb82 west 1234 5698 7654 32 Gb82West12345698765432 2024.01.05 2024.1.5",
+    "555.123.4567 +33 1 23 45 67 89 +33 1 23 45 67 89 12 123 45 6789 666 12 3456 123 456 789",
+    "1234 4111 1111 1111 1111 5678 AB12 4111 1111 1111 1111 at 2024-01-05T10:00:00Z",
 ]
 
 
