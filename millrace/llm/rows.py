@@ -18,14 +18,20 @@ def numbered_rows(docs: DataFrame, id_col: str = "doc_id") -> tuple[DataFrame, s
     rows, ids = docs.agg(F.count("*"), F.count_distinct(col(id_col))).first()
     if rows == ids and docs.schema[id_col].dataType.typeName() in ("integer", "long"):
         return docs, id_col
-    name = "__row"
-    while name in docs.columns:
-        name += "_"
+    name = spare_name(docs, "__row")
     return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def spare_name(docs: DataFrame, name: str) -> str:
+    """The name, lengthened until no column has it in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, row: str, gone: DataFrame, columns: list[str]) -> DataFrame:
     """The numbered rows that are not listed in ``gone``, with the given columns."""
-    listed = gone.select(F.col("row").alias("__gone"))
-    kept = docs.join(listed, col(row) == F.col("__gone"), "left_anti")
+    name = spare_name(docs, "__gone")
+    kept = docs.join(gone.select(F.col("row").alias(name)), col(row) == F.col(name), "left_anti")
     return kept.select(*[col(c) for c in columns])

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.clean import col
 from millrace.llm.tokens import text_blocks
@@ -340,24 +341,26 @@ def train(
     """Train on a bounded sample of labelled rows outside the held-out fold.
 
     The three bounds say how much reaches the driver; inputs are the texts alone.  A label
-    given twice counts as toxic if either does.  Without labelled rows the network is
-    untrained.
+    given twice counts as toxic if either does, and a text that occurs under two ids is two
+    rows.  Without labelled rows the network is untrained.
     """
     rows = training_rows(docs, labels, (most_clean, most_toxic), most_chars)
     return fit([r.text for r in rows], [r.toxic for r in rows])
 
 
-def score(docs: DataFrame, network: Network, threshold: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, network: Network, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
     """All columns of the documents, ``toxic_score`` (0 to 1) and ``toxic_predicted``.
 
     Every overlapping window of the whole text is scored; the highest counts.  A null or
-    empty text has the score of one empty window.  Rows are scored where they are read.
-    Two output names that the documents already have are replaced.
+    empty text has the score of one empty window.  Rows are scored where they are read,
+    repeated ones alike; an empty table gives no rows.  Columns that have the output names,
+    in any case, are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("toxic_score", "toxic_predicted")]
-    source = docs.select(*[col(c) for c in kept])
-    text_at = kept.index("text")
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema], "toxic_score double"])
+    kept = [c for c in docs.columns if c.lower() not in ("toxic_score", "toxic_predicted")]
+    # Plain names on the way through Arrow, whatever the columns are called.
+    source = docs.select(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)])
+    text_at = [c.lower() for c in kept].index(text_col.lower())
+    schema = T.StructType([*source.schema.fields, T.StructField("toxic_score", T.DoubleType())])
 
     def scored(batches):
         import pyarrow as pa
@@ -366,7 +369,8 @@ def score(docs: DataFrame, network: Network, threshold: float = 0.3) -> DataFram
             texts = [t or "" for t in batch.column(text_at).to_pylist()]
             found = [scores(network, block) for _, block in text_blocks(texts, 2_000_000)]
             values = pa.array(np.concatenate(found) if found else [], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*kept, "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, values], schema.names)
 
     out = source.mapInArrow(scored, schema)
+    out = out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "toxic_score")
     return out.withColumn("toxic_predicted", (F.col("toxic_score") >= threshold).cast("int"))

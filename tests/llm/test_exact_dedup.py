@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import oracle
 import pytest
-from millrace.llm.exact_dedup import exact_groups
+from millrace.llm.exact_dedup import drop_exact, exact_groups
 from millrace.llm.queries import ORACLES, op3_exact_dedup
 from pyspark.sql import functions as F
 
@@ -49,3 +49,10 @@ def test_whole_table(spark, sf_dir):
 def test_plan_is_native(spark, sf_dir):
     plan = op3_exact_dedup(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_columns_with_the_names_used_inside(spark):
+    rows = [(1, "a", 7, 8, "x"), (2, "A", 7, 8, "x"), (2, "b", 7, 8, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, `__GONE` int, `__Row` int, `row` string")
+    kept = drop_exact(df)
+    assert kept.columns == df.columns and sorted(r.text for r in kept.collect()) == ["A", "b"]

@@ -24,3 +24,12 @@ def test_all_rows_are_scored(spark):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string").coalesce(1)
     found = {r.doc_id: r.toxic_score for r in toxicity.score(df, net).collect()}
     assert set(found) == set(range(len(TEXTS))) and all(0 <= s <= 1 for s in found.values())
+
+
+def test_clashing_names(spark):
+    net = toxicity.Network({"b": 0}).start(np.random.default_rng(1))
+    df = spark.createDataFrame([(1, "a b", 2.0, "x", 3)], "doc_id bigint, Text string, Toxic_Score double, `a``b.c` string, TOXIC_predicted int")
+    out = toxicity.score(df, net)
+    assert out.columns == ["doc_id", "Text", "a`b.c", "toxic_score", "toxic_predicted"]
+    assert [r[2] for r in out.collect()] == ["x"]
+    assert toxicity.score(df.limit(0), net).count() == 0
