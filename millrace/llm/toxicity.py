@@ -234,8 +234,9 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 3, ref
     y = np.array(labels, np.float32)
     first = np.cumsum(counts) - counts
     adam = _Adam(network.p, 0.01)
-    rounds = max(rounds, -(-LEAST_STEPS * 256 // int(np.minimum(counts, 8).sum())))
-    refine = max(refine, -(-LEAST_STEPS * 256 // len(counts) // 4))
+    # A round is a step at least, so a tiny sample needs no more rounds than steps.
+    rounds = max(rounds, min(LEAST_STEPS, -(-LEAST_STEPS * 256 // int(np.minimum(counts, 8).sum()))))
+    refine = max(refine, min(LEAST_STEPS // 4, -(-LEAST_STEPS * 256 // len(counts) // 4)))
     for turn in range(rounds + refine):
         if turn < rounds:
             chosen = np.concatenate([f + rng.permutation(c)[:8] for f, c in zip(first, counts)])
