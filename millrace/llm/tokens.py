@@ -14,7 +14,7 @@ import numpy as np
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Words a worker remembers; the rest of a batch is encoded and forgotten.
-REMEMBERED = 600_000
+REMEMBERED = 200_000
 
 
 def default_path() -> str:
@@ -185,7 +185,7 @@ def text_blocks(texts: list[str], most_chars: int = 4_000_000) -> Iterator[tuple
         yield start, texts[start:]
 
 
-def array_blocks(texts, most_bytes: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def array_blocks(texts, most_bytes: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of whole texts of an Arrow string array of about so many bytes."""
     _, bounds = _buffers(texts)
     start, n = 0, len(texts)
