@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.clean import col
-from millrace.sources.workspace import materialize
+from millrace.sources.workspace import materialize, new_path
 
 #: Probes made at once by a task.
 PROBES = 100_000
@@ -101,9 +101,11 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
     finds on whole codes.  After it, every code within m * (r + 1) - 1 has been found, so a
     query is closed as soon as its kth verified distance is no larger, or all entries are
     found; it stays exact however far that is.  A crowded index value is an ordinary skewed
-    join key.
+    join key, and the index is never broadcast.  Each round stores the answers of the queries it
+    closes, so the last plan reads them and holds no round.
     """
-    words = -(-bits // 64)
+    spark, words = codes.sparkSession, -(-bits // 64)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     entries = materialize(codes.groupBy("code").agg(F.count("*").alias("n")).withColumn("c", F.monotonically_increasing_id()), "entries")
     total = entries.count()
     asked = queries.select("code").distinct().withColumn("q", F.monotonically_increasing_id())
@@ -114,11 +116,12 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
         )
     segments = _segments(bits, total)
     index = materialize(entries.select("c", "code", "n", _values("code", segments)), "index")
-    open_queries, found, closed = asked, None, None
+    open_queries, found, closed = asked, None, new_path(spark, "closed")
     for radius in range(max(w for _, _, w in segments) + 1):
         probes = open_queries.select("q", _values("code", segments)).select("q", F.col("segment").cast("bigint"), "value")
-        probes = probes.mapInArrow(_probes(radius, segments), "q bigint, segment bigint, value bigint")
-        hits = probes.join(index, ["segment", "value"]).select("q", "c", "code", "n").dropDuplicates(["q", "c"])
+        # A few rows become very many: dealt out first, whatever files they came from.
+        probes = probes.repartition(tasks, "q", "segment").mapInArrow(_probes(radius, segments), "q bigint, segment bigint, value bigint")
+        hits = probes.join(index.hint("merge"), ["segment", "value"]).select("q", "c", "code", "n").dropDuplicates(["q", "c"])
         told = hits.join(open_queries.select("q", F.col("code").alias("wanted")), "q")
         told = told.select("q", "c", "n", _distance("code", "wanted", words).alias("distance"))
         found = told if found is None else found.join(open_queries, "q", "left_semi").unionByName(told)
@@ -134,8 +137,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
         done = (F.col("kth") <= covered) | (F.col("entries") == total)
         state = materialize(state.withColumn("done", F.coalesce(done, F.lit(False))), "state")
         near = found.join(state, "q").where(F.col("kth").isNull() | (F.col("distance") <= F.col("kth")))
-        answer = near.where("done").select("q", "c", "distance")
-        closed = answer if closed is None else closed.unionByName(answer)
+        answer = near.where("done").select("q", "c", F.col("distance").cast("int").alias("distance"))
+        answer.write.parquet(f"{closed}/radius={radius}")
         open_queries = materialize(open_queries.join(state.where("done"), "q", "left_anti"), "open")
         if open_queries.isEmpty():
             break
@@ -144,8 +147,9 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
     members = codes.withColumn("place", F.row_number().over(first)).where(F.col("place") <= k)
     members = members.join(entries.select("code", "c"), "code").select("c", "id")
     best = Window.partitionBy("q").orderBy("distance", "id")
-    ranked = closed.join(members, "c").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    ranked = ranked.select("q", "id", F.col("distance").cast("int").alias("distance"), "rank")
+    answers = spark.read.schema("q bigint, c bigint, distance int").parquet(closed)
+    ranked = answers.join(members, "c").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    ranked = ranked.select("q", "id", "distance", "rank")
     names = queries.select(F.col("id").alias("query_id"), "code").join(asked, "code").select("query_id", "q")
     return names.join(ranked, "q").select("query_id", "id", "distance", "rank")
 
