@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from millrace.functions import labels
 from millrace.functions.clean import col
 from millrace.functions.predicates import Condition, contains_text, has_all_tokens, where_all
-from millrace.operators import keys, paging, proximity, stats, trigrams
+from millrace.operators import keys, paging, proximity, stats, trigrams, wordlists
 from millrace.operators.nearest import nearest_k
 from millrace.operators.paging import LIST_COLUMNS, PlantFilter, order
 from millrace.plans import standin
 from millrace.plans.registry import plain, query
 from millrace.plans.standin import GENERATION_CTE, PLANTS_CTE, with_views
+from millrace.sources.versions import Store, Table
 from millrace.sources.workspace import materialize, new_path
 
 # -- statistics ------------------------------------------------------------------
@@ -221,6 +222,23 @@ def list_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.sorted_slice(rows, ordering, limit=100, offset=30_000).select(*names)
 
 
+@query(
+    "list_page_stored",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem
+    ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
+    LIMIT 100 OFFSET 30000""",
+)
+def list_page_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same page from the list that is kept with the table's version: its range is read, nothing is counted."""
+    names = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
+    ties = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    store, rows = Store(spark, new_path(spark, "store")), standin.table(spark, sf_dir, "lineitem").select(*names, "l_shipdate")
+    folder, _, _ = store.write("lineitem", rows, rows.columns)
+    table = store.listed("lineitem", Table([folder]), rows.schema, "price", [("l_extendedprice", True), *[(c, False) for c in ties]])
+    version = store.commit(store.version(), {"lineitem": table})
+    return store.page(version.table("lineitem"), "price", limit=100, offset=30_000).select(*names)
+
+
 @query(
     "page_meta",
     with_views(
@@ -341,6 +359,19 @@ def token_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.where(has_all_tokens("p_name", "Small RING")).select("p_partkey", "p_name")
 
 
+@query(
+    "token_search_index",
+    """SELECT p_partkey, p_name FROM part
+    WHERE regexp_matches(lower(p_name), '(^|[^a-z])ring(s|ed|ing)?($|[^a-z])')
+      AND regexp_matches(lower(p_name), '(^|[^a-z])small(s|ed|ing)?($|[^a-z])')""",
+)
+def token_search_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole words in whatever inflection, through lists of the rows that hold a stem."""
+    part, path = standin.table(spark, sf_dir, "part"), new_path(spark, "words")
+    wordlists.build_words(part, path, "p_partkey", "p_name")
+    return wordlists.search_words(part, path, "The small RINGS", "p_partkey").select("p_partkey", "p_name")
+
+
 @query(
     "limit_offset",
     """SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem

@@ -11,14 +11,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.clean import col
-from millrace.sources import keyindex
+from millrace.sources import keyindex, pagelist
 from millrace.sources.keyindex import BITMAP_BITS, FILE, ROW, Index, bit_is_set
 
 # A deletion vector: bit r of part p stands for row 32768 p + r of the file.
@@ -34,6 +34,8 @@ class Table:
     """One table of a version: its folders, the files in them that count no more, and its key index.
 
     ``vectors`` are folders of deletion vectors, each with the files that they mark rows of.
+    ``lists`` are folders of the rows in the order of a list, with the list's columns; a
+    change of the table leaves them out, so a stored list is never older than its table.
     """
 
     folders: list[str] = field(default_factory=list)
@@ -41,6 +43,7 @@ class Table:
     index: list[Index] = field(default_factory=list)
     last_id: int = 0
     vectors: list[tuple[str, list[str]]] = field(default_factory=list)
+    lists: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
 @dataclass
@@ -130,10 +133,10 @@ class Store:
         Also those of loads that died.  Not to be run while a load is at work.
         """
         numbers = self.numbers()
-        used = {name for n in numbers[-keep:] for t in self.version(n).tables.values() for name in (*t.folders, *[i.folder for i in t.index], *[v[0] for v in t.vectors])}
+        used = {name for n in numbers[-keep:] for t in self.version(n).tables.values() for name in (*t.folders, *[i.folder for i in t.index], *[v[0] for v in t.vectors], *[v[0] for v in t.lists.values()])}
         jvm, _, files = self._files()
         gone = []
-        for kind in ("data", "keys", "deletes"):
+        for kind in ("data", "keys", "deletes", "lists"):
             top = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
             for table in files.listStatus(top) if files.exists(top) else []:
                 for status in files.listStatus(table.getPath()):
@@ -254,6 +257,34 @@ class Store:
         base = Table(table.folders, sorted({*table.dropped, *marked}), table.index, table.last_id)
         return self.added(name, base, rows, schema, key, partition_by)[0]
 
+    def listed(
+        self, name: str, table: Table, schema: T.StructType, label: str, ordering: Sequence[tuple[str, bool]], columns: Sequence[str] = ()
+    ) -> Table:
+        """The table with a stored list of its rows under that label, not yet committed.
+
+        ``ordering`` names the sort columns and whether each descends (nulls last ascending
+        and first descending); ``columns`` are kept in the list, all unless named.
+        """
+        folder = f"lists/{name}/{uuid.uuid4().hex}"
+        kept = list(dict.fromkeys([*(columns or schema.names), *[c for c, _ in ordering]]))
+        rows = self.read(table, schema).select(*[col(c) for c in kept])
+        pagelist.build(rows, self.path(folder), [col(c).desc_nulls_first() if down else col(c).asc_nulls_last() for c, down in ordering])
+        return replace(table, lists=table.lists | {label: (folder, rows.schema.json())})
+
+    def page(self, table: Table, label: str, limit: int, offset: int = 0) -> DataFrame:
+        """A page of a stored list, however deep, by the counts kept with it; reads the ranges that hold it alone."""
+        folder, schema = self._list(table, label)
+        return pagelist.page(self.spark, self.path(folder), schema, limit, offset)
+
+    def list_total(self, table: Table, label: str) -> int:
+        return pagelist.total(self.spark, self.path(self._list(table, label)[0]))
+
+    def _list(self, table: Table, label: str) -> tuple[str, T.StructType]:
+        if label not in table.lists:
+            raise KeyError(f"the table has no list {label!r}; a change of its rows leaves lists out")
+        folder, schema = table.lists[label]
+        return folder, T.StructType.fromJson(json.loads(schema))
+
     def changes(self, before: Table, after: Table, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
         """``(added, removed)`` rows between two states of a table.
 
