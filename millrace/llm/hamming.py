@@ -14,6 +14,8 @@ from millrace.sources.workspace import materialize, new_path
 
 #: Probes made at once by a task.
 PROBES = 100_000
+#: Bits of a segment at most, which bounds a bitmap of its values to 128 KB.
+WIDEST = 20
 
 
 def sign_codes(rows: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
@@ -38,15 +40,15 @@ def sign_codes(rows: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame
 
 
 def _segments(bits: int, codes: int) -> list[tuple[int, int, int]]:
-    """(word, shift, width) of the code's segments, each about log2(codes) bits wide."""
-    wide = min(20, max(4, round(math.log2(max(2, codes)))))
+    """(word, shift, width) of the code's segments, each about log2(codes) bits wide, narrow ones first."""
+    wide = min(WIDEST, max(4, round(math.log2(max(2, codes)))))
     out = []
     for at in range(0, bits, 64):
         size = min(64, bits - at)
         n = max(1, round(size / wide))
         edges = [size * i // n for i in range(n + 1)]
         out += [(at // 64, a, b - a) for a, b in zip(edges, edges[1:])]
-    return out
+    return sorted(out, key=lambda segment: segment[2])
 
 
 def _values(code, segments):
@@ -54,8 +56,18 @@ def _values(code, segments):
     return F.posexplode(F.array(*mask)).alias("segment", "value")
 
 
-def _probes(radius: int, segments: list[tuple[int, int, int]]):
-    """All values at exactly this distance from a query's segment."""
+def _taken(index: DataFrame, segments: list[tuple[int, int, int]]) -> list[np.ndarray]:
+    """For every segment, a bitmap of the values that entries have: 2 ** WIDEST bits each at most."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("value") % 64).cast("int"))
+    words = index.groupBy("segment", F.expr("value div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    out = [np.zeros(max(1, (1 << width) // 64), np.int64) for _, _, width in segments]
+    for batch in words.toPandas().itertuples(index=False):
+        out[batch.segment][batch.word] = batch.bits
+    return [w.view(np.uint64) for w in out]
+
+
+def _probes(radius: int, segments: list[tuple[int, int, int]], taken: list[np.ndarray]):
+    """The values at exactly this distance from a query's segment that some entry has."""
 
     def run(batches):
         import pyarrow as pa
@@ -78,6 +90,12 @@ def _probes(radius: int, segments: list[tuple[int, int, int]]):
                         np.repeat(segment[some], len(flip)),
                         (value[some][:, None] ^ flip[None]).reshape(-1),
                     ]
+                    held = np.zeros(len(columns[0]), bool)
+                    for s in np.unique(segment[some]):
+                        at_s = np.flatnonzero(columns[1] == s)
+                        v = columns[2][at_s]
+                        held[at_s] = taken[s][v >> 6] >> (v & 63).astype(np.uint64) & np.uint64(1) == 1
+                    columns = [c[held] for c in columns]
                     names = ["q", "segment", "value"]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
@@ -98,9 +116,11 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
     id) their ``k`` smallest ids; queries of equal code are searched once.  The code is cut
     into m segments of about log2(entries) bits, one index entry each.  In round r every
     open query looks up all values at distance r from its segments and verifies what it
-    finds on whole codes.  After it, every code within m * (r + 1) - 1 has been found, so a
-    query is closed as soon as its kth verified distance is no larger, or all entries are
-    found; it stays exact however far that is.  A crowded index value is an ordinary skewed
+    finds on whole codes.  After j of the segments, every code within m * r + j - 1 has been
+    found, so a query whose kth verified distance is d so far looks at d - m * r + 1 of them,
+    and is closed as soon as that distance is covered, or all entries are found; it stays
+    exact however far that is.  Values that no entry has, by bitmaps of a bounded size, are
+    not looked up.  A crowded index value is an ordinary skewed
     join key, and the index is never broadcast.  Each round stores the answers of the queries it
     closes, so the last plan reads them and holds no round.
     """
@@ -116,11 +136,14 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
         )
     segments = _segments(bits, total)
     index = materialize(entries.select("c", "code", "n", _values("code", segments)), "index")
-    open_queries, found, closed = asked, None, new_path(spark, "closed")
+    taken = _taken(index, segments)
+    open_queries, found, closed = asked.withColumn("kth", F.lit(None).cast("bigint")), None, new_path(spark, "closed")
     for radius in range(max(w for _, _, w in segments) + 1):
-        probes = open_queries.select("q", _values("code", segments)).select("q", F.col("segment").cast("bigint"), "value")
+        probes = open_queries.select("q", "kth", _values("code", segments))
+        enough = F.col("segment") <= F.col("kth") - len(segments) * radius
+        probes = probes.where(F.col("kth").isNull() | enough).select("q", F.col("segment").cast("bigint"), "value")
         # A few rows become very many: dealt out first, whatever files they came from.
-        probes = probes.repartition(tasks, "q", "segment").mapInArrow(_probes(radius, segments), "q bigint, segment bigint, value bigint")
+        probes = probes.repartition(tasks, "q", "segment").mapInArrow(_probes(radius, segments, taken), "q bigint, segment bigint, value bigint")
         hits = probes.join(index.hint("merge"), ["segment", "value"]).select("q", "c", "code", "n").dropDuplicates(["q", "c"])
         told = hits.join(open_queries.select("q", F.col("code").alias("wanted")), "q")
         told = told.select("q", "c", "n", _distance("code", "wanted", words).alias("distance"))
@@ -139,7 +162,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int, bits: int) -> Da
         near = found.join(state, "q").where(F.col("kth").isNull() | (F.col("distance") <= F.col("kth")))
         answer = near.where("done").select("q", "c", F.col("distance").cast("int").alias("distance"))
         answer.write.parquet(f"{closed}/radius={radius}")
-        open_queries = materialize(open_queries.join(state.where("done"), "q", "left_anti"), "open")
+        still = open_queries.drop("kth").join(state, "q", "left").where(~F.coalesce("done", F.lit(False)))
+        open_queries = materialize(still.select("q", "code", F.col("kth").cast("bigint").alias("kth")), "open")
         if open_queries.isEmpty():
             break
         found = near.where("NOT done").select("q", "c", "n", "distance")
