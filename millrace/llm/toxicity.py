@@ -23,8 +23,10 @@ PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) +
 MOST_TOXIC, MOST_CLEAN, MOST_CHARS = 1200, 3600, 20_000
 #: Steps of training at least.
 LEAST_STEPS = 120
-#: Most words of the sample that get a vector of their own; others are read by character.
+#: Most words and most beginnings of the sample that get a vector of their own; other words are read by character.
 MOST_WORDS = 30_000
+#: Letters that are the beginning of a word; beginnings that several texts hold get a vector too.
+BEGIN = 3
 
 
 def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -49,9 +51,10 @@ def _sigmoid(x):
 
 @dataclass
 class Network:
-    """Parameters, the words that have a vector, and the passes through the network."""
+    """Parameters, the words and beginnings that have a vector, and the passes through the network."""
 
     words: dict[str, int]
+    begins: dict[str, int] = field(default_factory=dict)
     scale: tuple[float, float] = (1.0, 0.0)
     p: dict[str, np.ndarray] = field(default_factory=dict)
 
@@ -59,10 +62,14 @@ class Network:
         def normal(*shape, scale=None):
             return rng.normal(0, scale or shape[0] ** -0.5, shape).astype(np.float32)
 
-        self.p = {"word": np.zeros((len(self.words) + 1, DIM), np.float32), "char": normal(TRIGRAMS, DIM, scale=0.1)}
+        self.p = {
+            "word": np.zeros((len(self.words) + 1, DIM), np.float32),
+            "begin": np.zeros((len(self.begins) + 1, DIM), np.float32),
+            "char": normal(TRIGRAMS, DIM, scale=0.1),
+        }
         for way in "fb":
             self.p |= {
-                f"W{way}": normal(2 * DIM, 3 * HIDDEN),
+                f"W{way}": normal(3 * DIM, 3 * HIDDEN),
                 f"U{way}": normal(HIDDEN, 3 * HIDDEN),
                 f"b{way}": np.zeros(3 * HIDDEN, np.float32),
             }
@@ -76,15 +83,17 @@ class Network:
         return self
 
     def inputs(self, words: list[str]) -> tuple[np.ndarray, tuple]:
-        """Word vector beside the mean of the vectors of the word's trigrams."""
+        """Vectors of the word and of its beginning beside the mean of those of its trigrams."""
         known = np.fromiter((self.words.get(w, len(self.words)) for w in words), np.int64, len(words))
+        begun = np.fromiter((self.begins.get(w[:BEGIN], len(self.begins)) for w in words), np.int64, len(words))
+        begin = np.where((begun < len(self.begins))[:, None], self.p["begin"][begun], 0)
         hashed, counts = trigrams(words)
         char = np.zeros((len(words), DIM), np.float32)
         full = counts > 0
         if full.any():
             starts = np.concatenate([[0], np.cumsum(counts[full])[:-1]])
             char[full] = np.add.reduceat(self.p["char"][hashed], starts) / counts[full, None]
-        return np.concatenate([self.p["word"][known], char], 1), (known, hashed, counts)
+        return np.concatenate([self.p["word"][known], char, begin], 1), (known, begun, hashed, counts)
 
     def project(self, words: list[str]) -> np.ndarray:
         """What each word adds to the gates, forward and backward."""
@@ -135,7 +144,7 @@ class Network:
         p, n = self.p, len(index)
         used, place = np.unique(index, return_inverse=True)
         place = place.reshape(index.shape)
-        x, (known, hashed, counts) = self.inputs([words[i] for i in used])
+        x, (known, begun, hashed, counts) = self.inputs([words[i] for i in used])
         projected = np.concatenate([x @ p[f"W{way}"] + p[f"b{way}"] for way in "fb"], 1)
         gates, keep = projected[place], []
         states = self.states(gates, mask, keep)
@@ -171,10 +180,12 @@ class Network:
             part = d_projected[:, 3 * HIDDEN * side : 3 * HIDDEN * (side + 1)]
             g[f"W{way}"], g[f"b{way}"] = x.T @ part, part.sum(0)
             d_x += part @ p[f"W{way}"].T
-        g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
+        g |= {k: np.zeros_like(p[k]) for k in ("word", "begin", "char")}
         np.add.at(g["word"], known, d_x[:, :DIM])
         g["word"][-1] = 0  # words without a vector of their own stay at the origin
-        np.add.at(g["char"], hashed, np.repeat(d_x[:, DIM:] / np.maximum(counts, 1)[:, None], counts, 0))
+        np.add.at(g["begin"], begun, d_x[:, 2 * DIM :])
+        g["begin"][-1] = 0
+        np.add.at(g["char"], hashed, np.repeat(d_x[:, DIM : 2 * DIM] / np.maximum(counts, 1)[:, None], counts, 0))
         return g
 
 
@@ -206,6 +217,14 @@ def _layout(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.where(mask, index, 0), mask, counts
 
 
+def _common(owner: np.ndarray, codes: np.ndarray, names: list[str]) -> dict[str, int]:
+    """Numbers of the names that more than one text holds, by falling number of texts."""
+    pairs = np.unique(owner * len(names) + codes) % len(names)
+    seen = np.bincount(pairs, minlength=len(names))
+    listed = sorted((i for i in range(len(names)) if seen[i] > 1), key=lambda i: (-seen[i], names[i]))[:MOST_WORDS]
+    return {names[i]: n for n, i in enumerate(listed)}
+
+
 def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 3, refine: int = 3) -> Network:
     """Train on whole texts.
 
@@ -224,10 +243,10 @@ def fit(texts: list[str], labels: list[int], seed: int = 7, rounds: int = 3, ref
     rng = np.random.default_rng(seed)
     flat, lengths, words = coded(texts)
     owner = np.repeat(np.arange(len(texts)), lengths)
-    pairs = np.unique(owner * len(words) + flat) % len(words) if len(texts) else np.empty(0, np.int64)
-    seen = np.bincount(pairs.astype(np.int64), minlength=len(words))
-    listed = sorted((i for i in range(len(words)) if seen[i] > 1), key=lambda i: (-seen[i], words[i]))[:MOST_WORDS]
-    network = Network({words[i]: n for n, i in enumerate(listed)}).start(rng)
+    begins = sorted({w[:BEGIN] for w in words})
+    number = {b: i for i, b in enumerate(begins)}
+    begun = np.array([number[w[:BEGIN]] for w in words])
+    network = Network(_common(owner, flat, words), _common(owner, begun[flat], begins)).start(rng)
     if not texts:
         return network
     index, mask, counts = _layout(flat, lengths)
