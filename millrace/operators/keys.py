@@ -180,12 +180,21 @@ def nest(
     """Parents with their children as an array sorted by ``order_by``; none gives ``[]``.
 
     For children whose (child_key, order_by) is unique under a bounded domain, such as
-    one row per plant and year: that bounds the array.
+    one row per plant and year: that bounds the array.  A repeated one fails the job;
+    repeats are counted inside each task before any array is made.
     """
     fields = [order_by, *[c for c in columns if c != order_by]]
-    packed = children.groupBy(col(child_key).alias("_parent")).agg(
-        F.sort_array(F.collect_list(F.struct(*[col(c) for c in fields]))).alias(name)
+    child = F.struct(*[col(c) for c in fields])
+    single = children.groupBy(col(child_key).alias("_parent"), col(order_by).alias("_order")).agg(
+        F.min(child).alias("_child"), F.count(F.lit(1)).alias("_copies")
     )
+    place = F.to_json(F.struct(F.col("_order").alias(order_by), F.col("_parent").alias(child_key)))
+    repeated = F.raise_error(F.concat(F.col("_copies").cast("string"), F.lit(" rows of "), place))
+    # A child without a parent's key is nobody's.
+    single = single.where("_parent IS NOT NULL").select(
+        "_parent", F.when(F.col("_copies") > 1, repeated.cast(single.schema["_child"].dataType)).otherwise(F.col("_child")).alias("_child")
+    )
+    packed = single.groupBy("_parent").agg(F.sort_array(F.collect_list("_child")).alias(name))
     joined = parents.join(packed, col(key) == F.col("_parent"), "left").drop("_parent")
     empty = F.array().cast(packed.schema[name].dataType)
     return joined.withColumn(name, F.coalesce(F.col(name), empty))

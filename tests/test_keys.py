@@ -103,3 +103,14 @@ def test_nest_sorts_and_gives_empty_arrays(spark):
         for r in keys.nest(plants, figures, "id", "pid", ["v"], "year", "generation").collect()
     }
     assert got == {1: [(2013, 1.0), (2014, 2.0)], 2: []}
+
+
+def test_nest_refuses_repeats(spark):
+    plants = spark.createDataFrame([(1,), (2,)], "id bigint")
+    rows = [(1, 2013, 1.0)] * 1000 + [(2, 2013, 1.0), (None, 2013, 1.0), (None, 2013, 2.0)]
+    figures = spark.createDataFrame(rows, "pid bigint, year int, v double")
+    with pytest.raises(Exception, match='1000 rows of {"year":2013,"pid":1}'):
+        keys.nest(plants, figures, "id", "pid", ["v"], "year", "generation").collect()
+    good = figures.where("pid = 2 OR pid IS NULL")
+    got = {r.id: len(r.generation) for r in keys.nest(plants, good, "id", "pid", ["v"], "year", "generation").collect()}
+    assert got == {1: 0, 2: 1}
