@@ -144,27 +144,28 @@ class Migration:
     # -- stages ----------------------------------------------------------------
 
     def _text(self) -> DataFrame:
-        """All-text rows with missing values blanked, and the text of a record that is none, with the reason."""
+        """All-text rows with missing values blanked, and the text of a record that is none."""
         rows = self.source
         if not isinstance(rows, DataFrame):
             columns = header_columns(self.spark, rows, self.encoding)
             rows = text_rows(self.spark, rows, text_schema(columns), self.encoding)
         names = [c for c in rows.columns if c != RAW_LINE]
         line = RAW_LINE if RAW_LINE in rows.columns else "CAST(NULL AS string)"
-        reason = ragged_reason_sql(line, len(names))
-        return null_tokens(rows, names).selectExpr(*[quoted(c) for c in names], f"{line} AS ragged_line", f"{reason} AS ragged_reason")
+        return null_tokens(rows, names).selectExpr(*[quoted(c) for c in names], f"{line} AS ragged_line")
 
     def _typed(self) -> DataFrame:
         """Typed plant columns, the yearly text, and what is wrong with a row."""
         text = self._text()
         carried = [quoted(c) for c in year_columns(text)]
-        plants = with_reject_reason(plants_transform(text, extra=[*carried, "ragged_line", "ragged_reason"]))
+        plants = with_reject_reason(plants_transform(text, extra=[*carried, "ragged_line"]))
         checked = with_violations(plants, PLANTS)
+        # Not beside the blanking of the wide row: together they make a method too large for the JIT compiler.
+        reason = ragged_reason_sql("ragged_line", len(text.columns) - 1)
         return checked.selectExpr(
             *PLANTS.loaded_columns,
             *carried,
             "ragged_line",
-            "coalesce(ragged_reason, reject_reason) AS reject_reason",
+            f"coalesce({reason}, reject_reason) AS reject_reason",
             VIOLATIONS,
             f"ragged_line IS NULL AND reject_reason IS NULL AND size({VIOLATIONS}) = 0 AS loadable",
         )
@@ -180,6 +181,10 @@ class Migration:
             if label == "plants":
                 self._quarantine(repeated, "copies")
             lost = self._quarantine_counted(losers, conflicts, "n_rows")
+        elif not self._base.table(contract.name).index:
+            # Nothing is loaded and no key repeats, so there is nothing to compare with and every row is new.
+            self.metrics |= {f"{label}_{fate}": 0 for fate in ("conflicting", "merged", "known", "changed")}
+            return winners
         if known is None:
             known = self.store.lookup(self._base.table(contract.name), winners, key)
         held = known.select(*[col(k) for k in key], col("digest").alias("_held"))

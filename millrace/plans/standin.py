@@ -117,12 +117,15 @@ def _wide(keyed: DataFrame, key: str, figures: DataFrame, estimates: tuple[int,
     def yearly(measure: str, years: tuple[int, ...]) -> list[Column]:
         return [
             F.expr(
-                f"""CAST(CAST(sum({measure}) FILTER (WHERE year = {y}) AS decimal(12,2)) AS string)
+                f"""CAST(CAST(CAST(sum({measure}) FILTER (WHERE year = {y}) AS decimal(20,0)) / 100 AS decimal(12,2)) AS string)
                 AS {measure}_{y}"""
             )
             for y in years
         ]
 
+    # Summed as whole hundredths, exactly: sums of this decimal do not fit a long, and each row adds to all of them.
+    cents = {c: F.expr(f"CAST({c} * 100 AS bigint)") for c in ("generation_gwh", "estimated_generation_gwh")}
+    figures = figures.withColumns(cents)
     wide = figures.groupBy("power_plant_id").agg(
         *yearly("generation_gwh", GENERATION_YEARS), *yearly("estimated_generation_gwh", estimates)
     )

@@ -69,21 +69,27 @@ def ragged_sql(n_columns: int) -> str:
 def ragged_text_sql(column: str, n_columns: int) -> str:
     """True for a record with more fields than columns or an odd number of quotes; never null.
 
-    Fields are counted after dropping quoted parts, whose commas do not separate.
+    Fields are counted after dropping quoted parts, whose commas do not separate.  Text
+    without a quote, as nearly all is, needs no regular expression.
     """
     unquoted = f"""regexp_replace({column}, r'"(?:[^"]++|"")*+"', '')"""
-    return f"(coalesce(size(split({unquoted}, ',', -1)), 0) > {n_columns} OR {odd_quotes_sql(column)})"
+    with_quotes = f"coalesce(size(split({unquoted}, ',', -1)), 0) > {n_columns} OR {odd_quotes_sql(column)}"
+    return f"CASE WHEN contains({column}, '\"') THEN {with_quotes} ELSE coalesce({_occurrences(column, ',')} >= {n_columns}, false) END"
 
 
 def malformed_sql(column: str) -> str:
     """True for a record with a field that starts with a quote but does not end with its pair; never null."""
     stripped = f"""regexp_replace({column}, r'(?<![^,])"(?:[^"]++|"")*+"(?=,|\\z)', '')"""
-    return f"""coalesce({stripped} RLIKE r'(?<![^,])"', false)"""
+    return f"""CASE WHEN contains({column}, '"') THEN {stripped} RLIKE r'(?<![^,])"' ELSE false END"""
 
 
 def odd_quotes_sql(column: str) -> str:
     """True for text with an odd number of quotes; never null."""
-    return f"coalesce(length(regexp_replace({column}, '[^\"]', '')) % 2 = 1, false)"
+    return f"coalesce({_occurrences(column, chr(34))} % 2 = 1, false)"
+
+
+def _occurrences(column: str, char: str) -> str:
+    return f"(octet_length({column}) - octet_length(replace({column}, '{char}', '')))"
 
 
 def split_ragged(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -85,10 +85,14 @@ def build(spark: SparkSession, root: str, folder: str, entries: DataFrame, key:
     path = f"{root}/{folder}"
     gathered = placed.drop("_h").hint("rebalance", F.col("bucket"))
     gathered.write.partitionBy("bucket").parquet(f"{path}/keys")
-    bits = placed.select("bucket", _slice().alias("slice"), F.explode(F.array(*_positions())).alias("at"))
-    maps = bits.groupBy("bucket", "slice").agg(F.bitmap_construct_agg(F.col("at").cast("bigint")).alias("bits"))
+    schema = T.StructType(entries.schema.fields)
+    # From the keys as written: a task meets the filters of its own buckets only, not those of all.
+    written = _read(spark, f"{path}/keys", T.StructType([schema[k] for k in key]), None).withColumn("_h", _hash(key))
+    at = [F.bitmap_construct_agg(p.cast("bigint")) for p in _positions()]
+    maps = written.groupBy("bucket", _slice().alias("slice")).agg(F.array(*at).alias("all"))
+    maps = maps.select("bucket", "slice", F.explode("all").alias("one")).groupBy("bucket", "slice").agg(F.bitmap_or_agg("one").alias("bits"))
     maps.hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{path}/bloom")
-    return Index(folder, n, buckets, T.StructType(entries.schema.fields).json())
+    return Index(folder, n, buckets, schema.json())
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, buckets: Sequence[int] | None) -> DataFrame:

@@ -77,3 +77,17 @@ def test_stream_takes_each_file_once_and_batch_removes_repeats(spark, tmp_path):
         ingest_available(spark, landing, schema, staging, checkpoint, files_per_batch=1)
     assert spark.read.parquet(staging).count() == 4
     assert sorted(staged_rows(spark, staging, schema, ["id"]).collect()) == [("1", "a"), ("2", "b"), ("3", "c")]
+
+
+def test_quotes_and_fields_are_counted_as_the_expressions_say(spark):
+    texts = [None, "", ",", "a,b", "a,b,c", 'a,"b,c"', 'a,"b', '"a""b",c,d', 'x"y,z', '"a"b,c', "é,ü,", "\x00,,"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    old_odd = "coalesce(length(regexp_replace(t, '[^\"]', '')) % 2 = 1, false)"
+    unquoted = """regexp_replace(t, r'"(?:[^"]++|"")*+"', '')"""
+    old_ragged = f"(coalesce(size(split({unquoted}, ',', -1)), 0) > 2 OR {old_odd})"
+    stripped = """regexp_replace(t, r'(?<![^,])"(?:[^"]++|"")*+"(?=,|\\z)', '')"""
+    old_malformed = f"""coalesce({stripped} RLIKE r'(?<![^,])"', false)"""
+    new = files.ragged_text_sql("t", 2), files.odd_quotes_sql("t"), files.malformed_sql("t")
+    got = rows.selectExpr("t", *[f"{e} AS n{i}" for i, e in enumerate(new)], *[f"{e} AS o{i}" for i, e in enumerate((old_ragged, old_odd, old_malformed))])
+    for r in got.collect():
+        assert r[1:4] == r[4:7], r

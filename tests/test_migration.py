@@ -1,9 +1,12 @@
+import re
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 
 from millrace import __main__ as command
 from millrace.contract import GENERATION, PLANTS
+from millrace.plans import migration
 from millrace.plans.migration import Migration
 
 HEADER = (
@@ -232,3 +235,31 @@ def test_a_quoted_break_is_neither_cut_nor_miscounted(spark, tmp_path):
     assert balanced(done) and (done["plants_extracted"], done["errors"], done["plants_loaded"]) == (2, 0, 2)
     assert rows_of(job.table(PLANTS), "gppd_idnr", "name") == [("K1", "a"), ("K2", "b\r\nUSA,United States,c,K3,5,1,2,Gas,5,x\r\nb")]
     assert rows_of(job.table(GENERATION).where("estimation_method IS NOT NULL"), "estimation_method") == [("note one\r\nnote two",)]
+
+
+def test_a_wide_row_is_typed_by_methods_that_the_jit_compiles(spark, tmp_path, capsys):
+    """HotSpot leaves methods of more than 8000 bytes to its interpreter."""
+    plants = [c for c in HEADER.split(",") if "gwh" not in c and "note" not in c]
+    figures = [f"{m}_{y}" for m in ("generation_gwh", "estimated_generation_gwh", "estimated_generation_note") for y in range(2013, 2020)]
+    source = tmp_path / "wide.csv"
+    source.write_text(",".join([*plants, *figures]) + "\n")
+    typed = Migration(spark, str(source), str(tmp_path / "out"))._typed()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        typed.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_a_first_load_is_not_compared(job, monkeypatch):
+    stored = []
+    write = migration.materialize
+    monkeypatch.setattr(migration, "materialize", lambda df, label, **more: (stored.append(label), write(df, label, **more))[1])
+    rows = [r.replace("P1", f"Q{i}") for i, r in enumerate(ROWS)]
+    Path(job.source).write_text("\n".join([HEADER, *rows, ""]))
+    first = job.run()
+    assert balanced(first) and first["plants_loaded"] == 5 and "compared" not in stored
+    second = job.run()
+    assert balanced(second) and second["plants_known"] == 5 and second["plants_loaded"] == 0 and "compared" in stored

@@ -163,3 +163,22 @@ def test_changes_between_states(spark, store):
         added, removed = (Counter(map(tuple, x.select("k", "v").collect())) for x in store.changes(before, after, rows.schema))
         was, now = (Counter(map(tuple, store.read(t, rows.schema).select("k", "v").collect())) for t in (before, after))
         assert was + added - removed == now and not (was + added + Counter()) - now - removed
+
+
+def test_filters_are_made_from_the_buckets(spark, store, monkeypatch):
+    """A task that reads the table in any order would hold filters of all buckets."""
+    monkeypatch.setattr(keyindex, "BUCKET_KEYS", 8)
+    entries = spark.range(64, numPartitions=8).selectExpr("id AS k", "id", "id AS digest", "'f' AS _file", "id AS _row")
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    index = keyindex.build(spark, store.root, "keys/t/x", entries.mapInArrow(read, entries.schema), ["k"], 64)
+    assert index.buckets == 8 and seen.value == 64
+    maps = spark.read.parquet(f"{store.root}/keys/t/x/bloom").agg(F.sum(F.bitmap_count("bits")), F.count_distinct("bucket")).first()
+    assert 64 < maps[0] <= 3 * 64 and maps[1] == 8
+    asked = spark.range(200).selectExpr("id AS k")
+    assert keyindex.lookup(spark, store.root, [index], asked, ["k"]).count() == 64
