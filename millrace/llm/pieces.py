@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import functools
 import heapq
-import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +78,11 @@ class PieceModel:
             raise ValueError("a piece spans two words")
         lone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in inner)
         self._cut = re.compile(f"[{re.escape(lone)}]|{MARK}+[^{MARK}{re.escape(lone)}]*|[^{MARK}{re.escape(lone)}]+" if lone else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self._whole = functools.lru_cache(maxsize=None)(lambda piece: self._merge(piece) == [piece])
+        # Every ending of a piece: whether it is one that merging alone leaves whole.
+        self._endings = {piece[at:]: False for piece in self.ids for at in range(len(piece) - 1)}
+        if self.kind == BPE:
+            self._endings |= {piece: True for piece in self.ids if len(piece) > 1 and self._merge(piece) == [piece]}
+        self._packed = {piece: struct.pack("<I", i) for piece, i in self.ids.items()}
         self._apart: dict[tuple[str, str], bool] = {}
         self._known: dict[str, bytes] = {}
         self._remembered = remembered
@@ -121,42 +125,55 @@ class PieceModel:
         return [part for part in parts if part]
 
     def _fits(self, left: str, right: str) -> bool:
-        key = left, right
-        fits = self._apart.get(key)
-        if fits is None:
-            if len(self._apart) >= REMEMBERED_PAIRS:
-                self._apart.clear()
-            fits = self._apart[key] = self._merge(left + right) == [left, right]
+        if len(self._apart) >= REMEMBERED_PAIRS:
+            self._apart.clear()
+        fits = self._apart[left, right] = self._merge(left + right) == [left, right]
         return fits
 
-    def segment(self, words: list[str]) -> Iterator[tuple[str, list[str]]]:
+    def segment(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each distinct word with its pieces, in sorted order: a depth-first walk of the trie."""
         before, last, total = "", [""], [0.0]
         score, longest, unigram = self.score, self.longest, self.kind == UNIGRAM
+        ending, apart, fits = self._endings.get, self._apart, self._fits
         for word in sorted(set(words)):
             if not unigram and word.startswith(MARK + MARK):
                 yield word, self._merge(word)
                 continue
-            depth = len(os.path.commonprefix([before, word]))
+            depth = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                depth += 1
             del last[depth + 1 :], total[depth + 1 :]
             before = word
             for end in range(depth + 1, len(word) + 1):
+                found = word[end - 1]
                 if unigram:
-                    char = word[end - 1]
-                    found = char
-                    best = total[end - 1] + score.get(char, self.worst)
+                    best = total[end - 1] + score.get(found, self.worst)
                     for start in range(max(0, end - longest), end - 1):
                         piece = word[start:end]
                         if piece in score and total[start] + score[piece] > best:
                             found, best = piece, total[start] + score[piece]
                     total.append(best)
                 else:
-                    found = word[end - 1]
-                    for start in range(max(0, end - longest), end - 1):
+                    # Pieces that end here, shortest first, as far back as any piece reaches.
+                    ends_here = []
+                    for start in range(end - 2, -1, -1):
                         piece = word[start:end]
-                        if piece in score and self._whole(piece) and (start == 0 or self._fits(last[start], piece)):
-                            found = piece
+                        whole = ending(piece)
+                        if whole is None:
                             break
+                        if whole:
+                            ends_here.append(piece)
+                    while ends_here:
+                        piece = ends_here.pop()
+                        left = last[end - len(piece)]
+                        if left:
+                            fit = apart.get((left, piece))
+                            if not (fits(left, piece) if fit is None else fit):
+                                continue
+                        found = piece
+                        break
                 last.append(found)
             pieces, end = [], len(word)
             while end:
@@ -178,17 +195,20 @@ class PieceModel:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        cut, known = [self.words(text) for text in texts], self._known
-        fresh = {}
-        for word, pieces in self.segment([w for words in cut for w in words if w not in known]):
-            ids = self._ids_of(pieces)
-            fresh[word] = struct.pack(f"<{len(ids)}I", *ids)
-        room = self._remembered - len(known)
-        if room >= len(fresh):
-            known.update(fresh)
-            return [b"".join([known[w] for w in words]) for words in cut]
-        known.update(list(fresh.items())[: max(0, room)])
-        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in cut]
+        cut, known, packed = [self.words(text) for text in texts], self._known, self._packed
+        new, room = set().union(*cut).difference(known), max(0, self._remembered - len(known))
+        for word, pieces in self.segment(new):
+            try:
+                known[word] = b"".join([packed[piece] for piece in pieces])
+            except KeyError:  # characters without a piece
+                ids = self._ids_of(pieces)
+                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+        out = [b"".join(map(known.__getitem__, words)) for words in cut]
+        if len(new) > room:
+            # The first ones stay, in the order of the table; the rest of the block is forgotten.
+            for word in list(islice(reversed(known), len(new) - room)):
+                del known[word]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids; the blank put before a text is taken away."""

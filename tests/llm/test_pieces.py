@@ -87,3 +87,25 @@ def test_whole_table(spark, sf_dir):
         ids = library.encode(docs[r.doc_id])
         assert (r.n_pieces, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         assert r.text_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_looks_back_no_further_than_a_piece_reaches():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counted.asked += 1
+            return super().get(key, default)
+
+    model = pieces.PieceModel(_bpe())
+    model._endings = Counted(model._endings)
+    word = "▁" + "zqxjkvwq" * 100
+    assert dict(model.segment([word]))[word] == model._merge(word)
+    assert len(word) < Counted.asked < 4 * len(word) and model.longest > 8
+
+
+def test_a_block_beyond_the_table_is_forgotten():
+    texts = [" ".join(f"w{i}x{j}" for j in range(50)) + " \U0001f600" for i in range(4)]
+    small = pieces.PieceModel(_bpe(), remembered=60)
+    assert [small.encode([t]) for t in texts] == [PAIRS["bpe"][0].encode([t]) for t in texts]
+    assert len(small._known) == 60
