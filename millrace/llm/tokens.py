@@ -7,6 +7,7 @@ import os
 import string
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 
@@ -84,32 +85,39 @@ class WordEncoder:
     def _runs(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word as bytes."""
         known = self._words
-        fresh = self._encode_words([w for w in words if w not in known])
-        room = self._remembered - len(known)
-        if len(fresh) <= room:
-            known.update(fresh)
-            return [known[w] for w in words]
-        for word in list(fresh)[: max(0, room)]:
-            known[word] = fresh[word]
-        return [known[w] if w in known else fresh[w] for w in words]
-
-    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        split = [self._pretokens(word.decode()) for word in words]
-        known = self._parts
-        new = {part for parts in split for part in parts if part not in known}
+        fresh = [w for w in words if w not in known]
+        room = max(0, self._remembered - len(known))
+        known.update(zip(fresh, self._encode_words(fresh)))
+        out = list(map(known.__getitem__, words))
+        # The rest of the block is forgotten.
+        for word in fresh[room:]:
+            del known[word]
+        return out
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Their ids; a pretoken that is not a word of its own is remembered too."""
+        known, out = self._parts, []
         # The model takes bytes as visible characters and needs no second split.
-        merge, visible, pack = self._tokenizer.model.tokenize, self._visible, self._pack
-        fresh = {}
-        for part in new:
-            ids = [t.id for t in merge(part.encode().decode("latin-1").translate(visible))]
-            fresh[part] = pack(f"<{len(ids)}I", *ids)
-        out = {
-            word: b"".join([known[p] if p in known else fresh[p] for p in parts])
-            for word, parts in zip(words, split)
-        }
-        room = self._remembered - len(known)
-        if room > 0:
-            known.update(list(fresh.items())[:room])
+        merge, visible, pack, pretokens = self._tokenizer.model.tokenize, self._visible, self._pack, self._pretokens
+        room = max(0, self._remembered - len(known))
+        fresh: dict[str, bytes] = {}
+        for word in words:
+            blank = word[:1] == b" "
+            body = word[1:] if blank else word
+            if body.isalpha() or body.isdigit():
+                # ASCII letters or digits are one pretoken, and visible as they are.
+                ids = [t.id for t in merge(("\u0120" if blank else "") + body.decode("ascii"))]
+                out.append(pack(f"<{len(ids)}I", *ids))
+                continue
+            runs = []
+            for part in pretokens(word.decode()):
+                run = known.get(part) or fresh.get(part)
+                if run is None:
+                    ids = [t.id for t in merge(part.encode().decode("latin-1").translate(visible))]
+                    run = fresh[part] = pack(f"<{len(ids)}I", *ids)
+                runs.append(run)
+            out.append(b"".join(runs))
+        known.update(islice(fresh.items(), room))
         return out
 
 

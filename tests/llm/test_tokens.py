@@ -152,3 +152,16 @@ def test_token_files_whole_table(spark, library, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
     rows = sorted(op8_token_files(spark, sf_dir).collect(), key=lambda r: r.start)
     _check_files(rows, [(r.doc_id, library(r.text) + [2]) for r in docs])
+
+
+def test_words_of_letters_need_no_second_split():
+    """Before, every word went through the regular expression."""
+    encoder, seen = tokens.WordEncoder(tokens.default_path(), remembered=5), []
+    split = encoder._pretokens
+    encoder._pretokens = lambda text: (seen.append(text), split(text))[1]
+    texts = ["plain words and 1234 more", " it's\tcafé x1 a_b 12ab", "again plain words it's"]
+    for text in texts:
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == encoder._tokenizer.encode(text, add_special_tokens=False).ids
+    assert "".join(seen) and not any(w.strip().isalpha() and w.isascii() or w.strip().isdigit() for w in seen)
+    assert len(encoder._words) <= 5 and len(encoder._parts) <= 5
